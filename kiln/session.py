@@ -25,6 +25,7 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
     if master:
         b = b.master(master)
     b = (b.config("spark.ui.enabled", "false")
+          .config("spark.ui.showConsoleProgress", "false")
           .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
           .config("spark.driver.memory", os.environ.get("KILN_DRIVER_MEMORY", "16g")))
     spark = b.getOrCreate()
