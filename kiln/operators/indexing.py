@@ -2,12 +2,15 @@
 
 A window with ``orderBy`` and no ``partitionBy`` moves every row into a single
 task. Here rows are range-partitioned on the order key, sorted inside each
-partition, numbered locally, and each partition is shifted by the total size of
-the partitions before it. Only the per-partition sizes (one row per partition)
-are combined in a single place.
-
-The size aggregate and the numbered rows read the same range exchange, which
-Spark plans once and reuses, so both see identical partition boundaries.
+partition and numbered locally; each partition is then shifted by the total
+size of the partitions before it. Only the per-partition sizes (one row per
+partition) are combined in one place.
+
+The numbered frame is frozen with a reliable ``checkpoint`` (the shared folder
+of ``spark.checkpoint.dir``) before the sizes are taken: range bounds come from
+a sample, and a second evaluation of an unmaterialised plan - possibly with
+other columns pruned, or after an executor loss - could draw other bounds and
+break the offsets. Checkpointing also cuts the lineage.
 """
 
 from __future__ import annotations
@@ -15,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kiln.session import checkpoint_root
+
 _P, _M, _O, _L = "_kiln_p", "_kiln_m", "_kiln_o", "_kiln_l"
 
 
@@ -30,27 +35,31 @@ def _as_cols(order) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order]
 
 
+def _offsets(sizes: DataFrame, total: str) -> DataFrame:
+    # one row per partition: the running total is tiny whatever the data size
+    return sizes.select(_P, F.coalesce(
+        F.sum(total).over(Window.orderBy(_P).rowsBetween(Window.unboundedPreceding, -1)),
+        F.lit(0)).alias(_O))
+
+
 def row_index(df: DataFrame, order, name: str = "row_id", start: int = 0,
               num_partitions: int | None = None) -> DataFrame:
     """Add the position of each row in ``order`` (``start``-based).
 
     ``order`` should be a total order (add tie-break columns); ties get
-    positions in an unspecified order, as with ``row_number()``.
+    positions in an unspecified order, as with ``row_number()``. Runs one job
+    at call time (the checkpoint).
     """
     cols = _as_cols(order)
     n = _n_parts(df, num_partitions)
-    parted = df.repartitionByRange(n, *cols)
-    tagged = (parted.sortWithinPartitions(*cols)
-                    .withColumn(_P, F.spark_partition_id())
-                    .withColumn(_M, F.monotonically_increasing_id()))
-    sizes = (parted.select(F.spark_partition_id().alias(_P))
-                   .groupBy(_P).agg(F.count(F.lit(1)).alias(_L)))
-    # one row per partition: the running total is tiny whatever the data size
-    offsets = sizes.select(_P, F.coalesce(
-        F.sum(_L).over(Window.orderBy(_P).rowsBetween(Window.unboundedPreceding, -1)),
-        F.lit(0)).alias(_O))
+    checkpoint_root(df.sparkSession)
+    tagged = (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+                .withColumn(_P, F.spark_partition_id())
+                .withColumn(_M, F.monotonically_increasing_id())
+                .checkpoint(eager=True))
+    sizes = tagged.groupBy(_P).agg(F.count(F.lit(1)).alias(_L))
     local = F.col(_M) - F.shiftleft(F.col(_P).cast("long"), 33)
-    return (tagged.join(F.broadcast(offsets), _P)
+    return (tagged.join(F.broadcast(_offsets(sizes, _L)), _P)
                   .withColumn(name, F.col(_O) + local + F.lit(start))
                   .drop(_P, _M, _O))
 
@@ -74,13 +83,14 @@ def prefix_sum(df: DataFrame, order, weight: str, name: str = "offset",
     """Exclusive running total of ``weight`` in ``order`` (first row gets 0)."""
     cols = _as_cols(order)
     n = _n_parts(df, num_partitions)
-    tagged = df.repartitionByRange(n, *cols).withColumn(_P, F.spark_partition_id())
+    checkpoint_root(df.sparkSession)
+    tagged = (df.repartitionByRange(n, *cols)
+                .withColumn(_P, F.spark_partition_id())
+                .checkpoint(eager=True))
+    # rows of one range partition are numbered by a window on the partition id
     w_local = Window.partitionBy(_P).orderBy(*cols).rowsBetween(Window.unboundedPreceding, -1)
     local = tagged.withColumn(_L, F.coalesce(F.sum(weight).over(w_local), F.lit(0)))
     sizes = tagged.groupBy(_P).agg(F.sum(weight).alias("_kiln_s"))
-    offsets = sizes.select(_P, F.coalesce(
-        F.sum("_kiln_s").over(Window.orderBy(_P).rowsBetween(Window.unboundedPreceding, -1)),
-        F.lit(0)).alias(_O))
-    return (local.join(F.broadcast(offsets), _P)
+    return (local.join(F.broadcast(_offsets(sizes, "_kiln_s")), _P)
                  .withColumn(name, F.col(_O) + F.col(_L))
                  .drop(_P, _O, _L))
