@@ -137,10 +137,10 @@ def standardize(df: DataFrame, cols, suffix: str = "") -> tuple[DataFrame, DataF
     st = df.agg(*[e for c in cols for e in (F.avg(c).alias(f"{c}__mean"),
                                               F.stddev_samp(c).alias(f"{c}__sd"))])
     j = df.crossJoin(F.broadcast(st))
-    out = j.select(*[((F.col(c) - F.col(f"{c}__mean")) / F.col(f"{c}__sd")).alias(c + suffix)
-                     if c in cols and not suffix else F.col(c) for c in df.columns],
-                   *[((F.col(c) - F.col(f"{c}__mean")) / F.col(f"{c}__sd")).alias(c + suffix)
-                     for c in cols if suffix])
+    def z(c):  # a column without spread gives nulls, not a divide-by-zero error
+        return F.try_divide(F.col(c) - F.col(f"{c}__mean"), F.col(f"{c}__sd"))
+    out = j.select(*[z(c).alias(c + suffix) if c in cols and not suffix else F.col(c) for c in df.columns],
+                   *[z(c).alias(c + suffix) for c in cols if suffix])
     return out, st
 
 

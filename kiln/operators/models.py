@@ -128,7 +128,7 @@ def evaluate(pred: DataFrame, y: str = "label", yhat: str = "prediction", by=Non
     return g.agg(F.avg((yy - pp) ** 2).alias("mse"),
                  F.when(F.min(F.least(yy, pp)) >= 0,
                         F.sqrt(F.avg((F.log1p(yy) - F.log1p(pp)) ** 2))).alias("rmsle"),
-                 (F.lit(1.0) - F.sum((yy - pp) ** 2) / (F.var_pop(yy) * F.count(F.lit(1)))).alias("r2"))
+                 (F.lit(1.0) - F.try_divide(F.sum((yy - pp) ** 2), F.var_pop(yy) * F.count(F.lit(1)))).alias("r2"))
 
 
 def leaderboard(models: dict, train: DataFrame, valid: DataFrame, label: str = "label") -> DataFrame:

@@ -87,7 +87,7 @@ def skim(df: DataFrame, exact: bool = True, approx_distinct: bool = False) -> Da
                  "mean", "sd", "p0", "p25", "p50", "p75", "p100"]
         rows.append(F.struct(F.lit(c).alias("skim_variable"), F.lit(kind).alias("skim_type"),
                              (F.col("_n") - F.col(f"nn{i}")).alias("n_missing"),
-                             (F.col(f"nn{i}") / F.col("_n")).alias("complete_rate"),
+                             F.try_divide(F.col(f"nn{i}"), F.col("_n")).alias("complete_rate"),
                              *[v.alias(nm) for v, nm in zip(vals, names)]))
     return df.agg(*aggs).select(F.inline(F.array(*rows)))
 
@@ -197,6 +197,16 @@ def hist_pretty(df: DataFrame, c: str) -> DataFrame:
                                                      F.coalesce("n", F.lit(0)).alias("n"))
 
 
+def _corr(a, b):
+    """Pearson correlation over rows where both are present; NaN when either
+    side has no spread (as pandas), instead of Spark's divide-by-zero error
+    under ANSI mode."""
+    a2 = F.when(b.isNotNull(), a)
+    b2 = F.when(a.isNotNull(), b)
+    den = F.stddev_pop(a2) * F.stddev_pop(b2)
+    return F.when(den == 0, F.lit(float("nan"))).otherwise(F.try_divide(F.covar_pop(a2, b2), den))
+
+
 def corr_matrix(df: DataFrame, cols, digits: int = 6) -> DataFrame:
     """Pearson correlation of every ordered pair (pairwise-complete rows),
     long form (col_i, col_j, i, j, corr), from one aggregate."""
@@ -204,7 +214,7 @@ def corr_matrix(df: DataFrame, cols, digits: int = 6) -> DataFrame:
     for i, a in enumerate(cols):
         for j, b in enumerate(cols):
             if j <= i:
-                aggs.append(F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"r{i}_{j}"))
+                aggs.append(_corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"r{i}_{j}"))
     g = df.agg(*aggs)
     for i, a in enumerate(cols):
         for j, b in enumerate(cols):
