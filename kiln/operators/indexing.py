@@ -15,6 +15,9 @@ break the offsets. Checkpointing also cuts the lineage.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,6 +38,21 @@ def _as_cols(order) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order]
 
 
+@contextmanager
+def _held(df: DataFrame):
+    """Keep ``df`` cached only while the eager checkpoint runs: the range
+    sample and the checkpoint then read it once instead of recomputing its
+    plan; it is released as soon as the checkpoint is written."""
+    if df.is_cached:  # the caller's cache stays the caller's
+        yield df
+        return
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield held
+    finally:
+        held.unpersist()
+
+
 def _offsets(sizes: DataFrame, total: str) -> DataFrame:
     # one row per partition: the running total is tiny whatever the data size
     return sizes.select(_P, F.coalesce(
@@ -53,10 +71,11 @@ def row_index(df: DataFrame, order, name: str = "row_id", start: int = 0,
     cols = _as_cols(order)
     n = _n_parts(df, num_partitions)
     checkpoint_root(df.sparkSession)
-    tagged = (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
-                .withColumn(_P, F.spark_partition_id())
-                .withColumn(_M, F.monotonically_increasing_id())
-                .checkpoint(eager=True))
+    with _held(df) as src:
+        tagged = (src.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+                     .withColumn(_P, F.spark_partition_id())
+                     .withColumn(_M, F.monotonically_increasing_id())
+                     .checkpoint(eager=True))
     sizes = tagged.groupBy(_P).agg(F.count(F.lit(1)).alias(_L))
     local = F.col(_M) - F.shiftleft(F.col(_P).cast("long"), 33)
     return (tagged.join(F.broadcast(_offsets(sizes, _L)), _P)
@@ -84,9 +103,10 @@ def prefix_sum(df: DataFrame, order, weight: str, name: str = "offset",
     cols = _as_cols(order)
     n = _n_parts(df, num_partitions)
     checkpoint_root(df.sparkSession)
-    tagged = (df.repartitionByRange(n, *cols)
-                .withColumn(_P, F.spark_partition_id())
-                .checkpoint(eager=True))
+    with _held(df) as src:
+        tagged = (src.repartitionByRange(n, *cols)
+                     .withColumn(_P, F.spark_partition_id())
+                     .checkpoint(eager=True))
     # rows of one range partition are numbered by a window on the partition id
     w_local = Window.partitionBy(_P).orderBy(*cols).rowsBetween(Window.unboundedPreceding, -1)
     local = tagged.withColumn(_L, F.coalesce(F.sum(weight).over(w_local), F.lit(0)))
