@@ -122,16 +122,21 @@ def rules_summary(r: DataFrame) -> DataFrame:
     lengths = (r.groupBy("length").agg(F.count(F.lit(1)).alias("n"))
                 .select(F.lit("length").alias("section"), F.col("length").cast("string").alias("key"), "n",
                         *[F.lit(None).cast("double").alias(c) for c in ("min", "q1", "median", "mean", "q3", "max")]))
-    aggs = []
-    for q in ("support", "confidence", "lift"):
-        aggs += [F.min(q).alias(f"{q}_min"), F.max(q).alias(f"{q}_max"), F.avg(q).alias(f"{q}_mean"),
-                 F.percentile(q, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"{q}_p")]
-    a = r.agg(F.count(F.lit(1)).alias("n"), *aggs)
+    from kiln.operators.indexing import quantiles
+    qs = ("support", "confidence", "lift")
+    aggs = [F.count(F.lit(1)).alias("n")]
+    for q in qs:
+        aggs += [F.min(q).alias(f"{q}_min"), F.max(q).alias(f"{q}_max"), F.avg(q).alias(f"{q}_mean")]
+    a = r.agg(*aggs)
+    qt = (quantiles(r, list(qs), [0.25, 0.5, 0.75]).groupBy("column")
+          .agg(*[F.max(F.when(F.col("p") == p, F.col("value"))).alias(nm)
+                 for p, nm in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))]))
     rows = [F.struct(F.lit("quality").alias("section"), F.lit(q).alias("key"), F.col("n").alias("n"),
-                     F.col(f"{q}_min").alias("min"), F.col(f"{q}_p")[0].alias("q1"), F.col(f"{q}_p")[1].alias("median"),
-                     F.col(f"{q}_mean").alias("mean"), F.col(f"{q}_p")[2].alias("q3"), F.col(f"{q}_max").alias("max"))
-            for q in ("support", "confidence", "lift")]
-    return lengths.unionByName(a.select(F.inline(F.array(*rows))))
+                     F.col(f"{q}_min").alias("min"), F.col(f"{q}_mean").alias("mean"),
+                     F.col(f"{q}_max").alias("max")) for q in qs]
+    quality = (a.select(F.inline(F.array(*rows))).join(qt, F.col("key") == F.col("column"), "left")
+                .select("section", "key", "n", "min", "q1", "median", "mean", "q3", "max"))
+    return lengths.unionByName(quality)
 
 
 def prune_rules(r: DataFrame, by: str = "lift") -> DataFrame:

@@ -114,3 +114,31 @@ def prefix_sum(df: DataFrame, order, weight: str, name: str = "offset",
     return (local.join(F.broadcast(_offsets(sizes, "_kiln_s")), _P)
                  .withColumn(name, F.col(_O) + F.col(_L))
                  .drop(_P, _O, _L))
+
+
+def quantiles(df: DataFrame, cols, probs, num_partitions: int | None = None) -> DataFrame:
+    """Exact, linearly interpolated quantiles (R type 7 / ``percentile``) of
+    each column, without holding a column's values in one task.
+
+    The non-missing values of all columns are melted to (column, value) and
+    given one distributed row index in (column, value) order; per column the
+    two neighbouring positions of ``p * (n - 1)`` are picked by an equi-join
+    and interpolated. Returns (column, p, value).
+    """
+    spark = df.sparkSession
+    cols = [cols] if isinstance(cols, str) else list(cols)
+    melted = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"))
+                                          for c in cols]))).where(F.col("value").isNotNull())
+    idx = row_index(melted, ["column", "value"], name="_pos", start=0, num_partitions=num_partitions)
+    stats = idx.groupBy("column").agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    ps = spark.createDataFrame([(float(p),) for p in probs], "p double").coalesce(1)
+    want = (stats.crossJoin(F.broadcast(ps))
+                 .withColumn("_h", F.col("p") * (F.col("_n") - 1))
+                 .withColumn("_lo", F.col("_first") + F.floor("_h"))
+                 .withColumn("_hi", F.col("_first") + F.ceil("_h")))
+    lo = idx.select(F.col("_pos").alias("_lo"), F.col("value").alias("_vlo"))
+    hi = idx.select(F.col("_pos").alias("_hi"), F.col("value").alias("_vhi"))
+    frac = F.col("_h") - F.floor("_h")
+    return (want.join(lo, "_lo").join(hi, "_hi")
+                .select("column", "p", F.when(frac == 0, F.col("_vlo"))
+                        .otherwise((F.lit(1.0) - frac) * F.col("_vlo") + frac * F.col("_vhi")).alias("value")))

@@ -13,6 +13,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kiln.operators.indexing import quantiles
 from kiln.operators.relational import first_rows
 
 NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
@@ -33,26 +34,31 @@ def describe_schema(df: DataFrame) -> DataFrame:
     return counts.select(F.inline(F.array(*rows)))
 
 
-def _quantiles(c, probs, exact=True):
-    col = F.col(c).cast("double")
-    if exact:
-        return F.percentile(col, F.array(*[F.lit(p) for p in probs]))
-    return F.percentile_approx(col, F.array(*[F.lit(p) for p in probs]), 100000)
-
-
 def summary6(df: DataFrame, cols, exact: bool = True) -> DataFrame:
-    """Min, q1, median, mean, q3, max per column (R ``summary``), long form."""
+    """Min, q1, median, mean, q3, max per column (R ``summary``), long form.
+
+    Quartiles come from the distributed exact ``quantiles`` (or
+    ``percentile_approx`` with ``exact=False``); min/max/mean from one aggregate.
+    """
     cols = [cols] if isinstance(cols, str) else list(cols)
-    aggs = []
-    for i, c in enumerate(cols):
-        aggs += [F.min(F.col(c).cast("double")).alias(f"mn{i}"), F.max(F.col(c).cast("double")).alias(f"mx{i}"),
-                 F.avg(F.col(c).cast("double")).alias(f"av{i}"), _quantiles(c, [0.25, 0.5, 0.75], exact).alias(f"q{i}")]
-    a = df.agg(*aggs)
-    rows = [F.struct(F.lit(c).alias("column"), F.col(f"mn{i}").alias("min"), F.col(f"q{i}")[0].alias("q1"),
-                     F.col(f"q{i}")[1].alias("median"), F.col(f"av{i}").alias("mean"),
-                     F.col(f"q{i}")[2].alias("q3"), F.col(f"mx{i}").alias("max"))
-            for i, c in enumerate(cols)]
-    return a.select(F.inline(F.array(*rows)))
+    base = _melt(df, cols).groupBy("column").agg(F.min("value").alias("min"), F.max("value").alias("max"),
+                                                  F.avg("value").alias("mean"))
+    q = _quartiles(df, cols, [0.25, 0.5, 0.75], exact)
+    return (base.join(q, "column", "left")
+                .select("column", "min", F.col("q25").alias("q1"), F.col("q50").alias("median"), "mean",
+                        F.col("q75").alias("q3"), "max"))
+
+
+def _quartiles(df: DataFrame, cols, probs, exact: bool) -> DataFrame:
+    """(column, q<100p>...) wide table of quantiles per column."""
+    names = [f"q{int(round(p * 100))}" for p in probs]
+    if exact:
+        q = quantiles(df, cols, probs)
+        return q.groupBy("column").agg(*[F.max(F.when(F.col("p") == p, F.col("value"))).alias(nm)
+                                         for p, nm in zip(probs, names)])
+    m = _melt(df, cols).groupBy("column").agg(
+        F.percentile_approx("value", F.array(*[F.lit(p) for p in probs]), 100000).alias("_q"))
+    return m.select("column", *[F.col("_q")[i].alias(nm) for i, nm in enumerate(names)])
 
 
 def skim(df: DataFrame, exact: bool = True, approx_distinct: bool = False) -> DataFrame:
@@ -61,7 +67,7 @@ def skim(df: DataFrame, exact: bool = True, approx_distinct: bool = False) -> Da
     Text columns: n_missing, complete_rate, min/max length, empty, n_unique,
     whitespace. Numeric: n_missing, complete_rate, mean, sd, p0..p100.
     """
-    aggs, rows = [F.count(F.lit(1)).alias("_n")], []
+    aggs, rows, numeric = [F.count(F.lit(1)).alias("_n")], [], []
     null_d = F.lit(None).cast("double")
     null_l = F.lit(None).cast("bigint")
     for i, (c, t) in enumerate(df.dtypes):
@@ -76,10 +82,10 @@ def skim(df: DataFrame, exact: bool = True, approx_distinct: bool = False) -> Da
             vals = [F.col(f"lmin{i}").cast("bigint"), F.col(f"lmax{i}").cast("bigint"), F.col(f"emp{i}"),
                     F.col(f"un{i}"), F.col(f"ws{i}"), null_d, null_d, null_d, null_d, null_d, null_d, null_d]
         elif t in NUMERIC:
-            aggs += [F.avg(col.cast("double")).alias(f"av{i}"), F.stddev_samp(col.cast("double")).alias(f"sd{i}"),
-                     _quantiles(c, [0.0, 0.25, 0.5, 0.75, 1.0], exact).alias(f"q{i}")]
+            aggs += [F.avg(col.cast("double")).alias(f"av{i}"), F.stddev_samp(col.cast("double")).alias(f"sd{i}")]
             kind = "numeric"
-            vals = [null_l] * 5 + [F.col(f"av{i}"), F.col(f"sd{i}")] + [F.col(f"q{i}")[k] for k in range(5)]
+            numeric.append(c)
+            vals = [null_l] * 5 + [F.col(f"av{i}"), F.col(f"sd{i}")] + [F.lit(None).cast("double")] * 5
         else:
             kind = "other"
             vals = [null_l] * 5 + [null_d] * 7
@@ -89,7 +95,14 @@ def skim(df: DataFrame, exact: bool = True, approx_distinct: bool = False) -> Da
                              (F.col("_n") - F.col(f"nn{i}")).alias("n_missing"),
                              F.try_divide(F.col(f"nn{i}"), F.col("_n")).alias("complete_rate"),
                              *[v.alias(nm) for v, nm in zip(vals, names)]))
-    return df.agg(*aggs).select(F.inline(F.array(*rows)))
+    out = df.agg(*aggs).select(F.inline(F.array(*rows)))
+    if not numeric:
+        return out
+    q = _quartiles(df, numeric, [0.0, 0.25, 0.5, 0.75, 1.0], exact).withColumnRenamed("column", "skim_variable")
+    pcols = ["p0", "p25", "p50", "p75", "p100"]
+    return (out.drop(*pcols).join(q, "skim_variable", "left")
+               .select(*[c for c in out.columns if c not in pcols],
+                       *[F.col(f"q{k}").alias(pc) for k, pc in zip((0, 25, 50, 75, 100), pcols)]))
 
 
 def _melt(df: DataFrame, cols) -> DataFrame:

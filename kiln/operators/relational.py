@@ -144,18 +144,29 @@ def sum_by(df: DataFrame, keys, measure: str, name: str | None = None) -> DataFr
     return df.groupBy(*_cols(keys)).agg(strict(F.sum, measure).alias(name or f"sum_{measure}"))
 
 
-def stats(df: DataFrame, cols, na_rm: bool = False) -> DataFrame:
+def stats(df: DataFrame, cols, na_rm: bool = False, names=None) -> DataFrame:
     """Mean, sd (sample), median (exact, interpolated) per measure, and n().
 
     With ``na_rm=False`` (R default) a measure containing a null gives nulls.
+    Medians come from the distributed exact quantiles (no single-task buffer
+    of all values). ``names`` maps a column to its output prefix.
     """
-    aggs = []
-    for c in _cols(cols):
-        wrap = (lambda f, col: f(F.col(col))) if na_rm else (lambda f, col: strict(f, col))
-        aggs += [wrap(F.avg, c).alias(f"{c}_mean"),
-                 wrap(F.stddev_samp, c).alias(f"{c}_sd"),
-                 wrap(F.median, c).alias(f"{c}_median")]
-    return df.agg(*aggs, n().alias("count"))
+    from kiln.operators.indexing import quantiles
+    cols = _cols(cols)
+    names = names or {}
+    aggs = [n().alias("count")]
+    for c in cols:
+        aggs += [F.avg(c).alias(f"_{c}_mean"), F.stddev_samp(c).alias(f"_{c}_sd"), F.count(c).alias(f"_{c}_nn")]
+    a = df.agg(*aggs)
+    med = quantiles(df, cols, [0.5]).groupBy().pivot("column", cols).agg(F.first("value"))
+    j = a.crossJoin(F.broadcast(med))
+    out = []
+    for c in cols:
+        pre = names.get(c, c)
+        ok = F.lit(True) if na_rm else (F.col(f"_{c}_nn") == F.col("count"))
+        out += [F.when(ok, F.col(f"_{c}_mean")).alias(f"{pre}_mean"), F.when(ok, F.col(f"_{c}_sd")).alias(f"{pre}_sd"),
+                F.when(ok, F.col(f"`{c}`")).alias(f"{pre}_median")]
+    return j.select(*out, "count")
 
 
 def last_by(df: DataFrame, keys, v: str, order: str, name: str | None = None) -> DataFrame:

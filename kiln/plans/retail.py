@@ -138,12 +138,12 @@ def g4_stats(spark, sf_dir, klass="SMALL"):
     missing value makes the statistic missing)."""
     d = (_cus_and_rec(views(spark, sf_dir)).where(F.col("pos_large_class_name") == klass)
          .select(F.col("sales").cast("double").alias("sales"), F.col("amount").cast("double").alias("amount")))
+    s = R.stats(d, ["sales", "amount"])
     out = []
     for c, up in (("sales", "SALES"), ("amount", "AMOUNT")):
-        out += [F.round(R.strict(F.avg, c), 6).alias(f"{up}_MEAN"),
-                F.round(R.strict(F.stddev_samp, c), 6).alias(f"{up}_SD"),
-                F.round(R.strict(F.median, c), 6).alias(f"{up}_MED")]
-    return d.agg(*out, R.n().alias("count"))
+        out += [F.round(f"{c}_mean", 6).alias(f"{up}_MEAN"), F.round(f"{c}_sd", 6).alias(f"{up}_SD"),
+                F.round(f"{c}_median", 6).alias(f"{up}_MED")]
+    return s.select(*out, "count")
 
 
 @query("g5_last_by", """
