@@ -264,6 +264,35 @@ def time_split(df: DataFrame, order: str, test_n: int, val_n: int, name: str = "
               .drop("_t", "_v"))
 
 
+def number_within(df: DataFrame, key, order, name: str = "row_number", lag: dict | None = None) -> DataFrame:
+    """``row_number()`` (1-based, int) and ``lag`` of columns within ``key`` in
+    ``order``, proof against one key holding a large share of the rows.
+
+    Rows get one global position in (key, order) order from the distributed
+    row index - range partitions split a hot key's rows on the order columns -
+    so a key's rows are consecutive. Its first position comes from a hash
+    aggregate (partial, so a hot key costs nothing extra) and the previous row
+    is an equi-join on position - 1, spread evenly. ``lag`` maps a column to the
+    output name of its previous value (null on a key's first row).
+    """
+    keys = _cols(key)
+    order = _cols(order)
+    idx = row_index(df, [*keys, *order], name="_kiln_g", start=0)
+    starts = idx.groupBy(*keys).agg(F.min("_kiln_g").alias("_kiln_g0"))
+    out = (idx.join(starts, keys)
+              .withColumn(name, (F.col("_kiln_g") - F.col("_kiln_g0") + 1).cast("int")))
+    if lag:
+        prev = idx.select((F.col("_kiln_g") + 1).alias("_kiln_g"),
+                          *[F.col(k).alias(f"_kiln_pk_{k}") for k in keys],
+                          *[F.col(c).alias(f"_kiln_pv_{c}") for c in lag])
+        out = out.join(prev, "_kiln_g", "left")
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_kiln_pk_{k}")) for k in keys])
+        for c, nm in lag.items():
+            out = out.withColumn(nm, F.when(same, F.col(f"_kiln_pv_{c}")))
+        out = out.drop(*[f"_kiln_pk_{k}" for k in keys], *[f"_kiln_pv_{c}" for c in lag])
+    return out.drop("_kiln_g", "_kiln_g0")
+
+
 def first_rows(df: DataFrame, n_rows: int, order) -> DataFrame:
     """The first ``n_rows`` in ``order`` (top-k, bounded)."""
     return df.orderBy(*_cols(order)).limit(n_rows)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kiln.sources.tables import Tables
@@ -34,18 +34,22 @@ def products(t: Tables) -> DataFrame:
 
 
 def shop_orders(t: Tables) -> DataFrame:
-    # per-customer order sequence; the window is partitioned by customer so it
-    # spreads over executors (see README on very large single customers)
-    w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
-    o = t.orders
-    return o.select(
+    """Orders numbered per customer by date, with days since the previous one.
+
+    ``row_number`` / ``lag`` per customer without a window partition per
+    customer: a customer holding a large share of all orders is split across
+    tasks (see ``number_within``)."""
+    from kiln.operators.relational import number_within
+    o = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
+    n = number_within(o, "o_custkey", ["o_orderdate", "o_orderkey"], name="order_number",
+                      lag={"o_orderdate": "_prev_date"})
+    return n.select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("user_id"),
         F.when(F.col("o_orderstatus") == "F", "prior")
          .when(F.col("o_orderstatus") == "O", "train").otherwise("test").alias("eval_set"),
-        F.row_number().over(w).alias("order_number"),
-        F.datediff(F.to_date("o_orderdate"),
-                   F.to_date(F.lag("o_orderdate").over(w))).alias("days_since_prior_order"),
+        "order_number",
+        F.datediff(F.to_date("o_orderdate"), F.to_date("_prev_date")).alias("days_since_prior_order"),
     )
 
 

@@ -122,3 +122,14 @@ def test_importances_sum_to_one(spark, sf):
     imp = M.importances(spark, M.forest(10, 5, seed=1).fit(tr), feats).collect()
     assert sum(r.importance for r in imp) == pytest.approx(1.0)
     assert sorted(r["rank"] for r in imp) == list(range(1, len(imp) + 1))
+
+
+def test_number_within_matches_window_on_hot_key(spark):
+    from pyspark.sql import Window
+    rows = [(0 if i % 3 else i % 17, (i * 7919) % 1000, i) for i in range(3000)]  # key 0 holds 2/3
+    df = spark.createDataFrame(rows, "k int, t int, id int")
+    got = R.number_within(df, "k", ["t", "id"], name="rn", lag={"t": "prev_t"})
+    w = Window.partitionBy("k").orderBy("t", "id")
+    exp = df.select("id", F.row_number().over(w).alias("rn"), F.lag("t").over(w).alias("prev_t"))
+    assert got.select("id", "rn", "prev_t").exceptAll(exp).count() == 0
+    assert got.count() == 3000
