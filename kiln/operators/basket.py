@@ -149,7 +149,11 @@ def prune_rules(r: DataFrame, by: str = "lift") -> DataFrame:
     from kiln.operators.indexing import row_index
     ranked = row_index(r, _rule_order(by), name="_rank", start=1).withColumn(
         "_set", F.array_sort(F.array_union("antecedent", "consequent")))
-    pairs = subset_pairs(ranked.select("_rank", "_set"), "_rank", "_set")
+    # key each candidate subset on its rarest item, so a very common item does
+    # not gather most candidate pairs in one join partition
+    freq = (ranked.select(F.explode("_set").alias("item")).groupBy("item")
+                  .agg(F.count(F.lit(1)).alias("n")))
+    pairs = subset_pairs(ranked.select("_rank", "_set"), "_rank", "_set", freq=freq)
     redundant = pairs.where(F.col("sub_id") < F.col("sup_id")).select(F.col("sup_id").alias("_rank")).distinct()
     return ranked.join(redundant, "_rank", "left_anti").drop("_set")
 

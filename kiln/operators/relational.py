@@ -226,11 +226,13 @@ def share(df: DataFrame, v: str, by=None, name: str = "proportion") -> DataFrame
     """``v`` over its total, overall or within ``by``.
 
     The grand total is a one-row aggregate joined back by broadcast (no
-    single-partition window); within groups a partitioned window is used.
+    single-partition window); group totals are an aggregate joined on the key.
     """
     if by:
-        w = Window.partitionBy(*_cols(by))
-        return df.withColumn(name, F.col(v) / F.sum(v).over(w))
+        # group totals by a (partial) hash aggregate joined back on the group
+        # key: no window partition holds a whole group
+        tot = df.groupBy(*_cols(by)).agg(F.sum(v).alias("_kiln_tot"))
+        return df.join(tot, _cols(by)).withColumn(name, F.col(v) / F.col("_kiln_tot")).drop("_kiln_tot")
     tot = df.agg(F.sum(v).alias("_kiln_tot"))
     return df.crossJoin(F.broadcast(tot)).withColumn(name, F.col(v) / F.col("_kiln_tot")).drop("_kiln_tot")
 
