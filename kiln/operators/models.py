@@ -163,6 +163,7 @@ def sample_settings(grid: DataFrame, n: int, seed: int = 0) -> list[dict]:
 def forest_params(est: RandomForestRegressor, s: dict) -> dict:
     """Map one scikit-learn forest setting to Spark parameters (min_samples_split
     has no Spark counterpart and is not applied)."""
+    # scikit-learn's regressor "auto" means every feature
     feat = {"auto": "all", "sqrt": "sqrt", "log2": "log2"}.get(s.get("max_features"), "auto")
     d = s.get("max_depth")
     return {est.numTrees: int(s["n_estimators"]), est.featureSubsetStrategy: feat,
@@ -170,7 +171,7 @@ def forest_params(est: RandomForestRegressor, s: dict) -> dict:
             est.minInstancesPerNode: int(s["min_samples_leaf"]), est.bootstrap: bool(s["bootstrap"])}
 
 
-def random_search(est, grid: DataFrame, n_iter: int, folds: int = 3, seed: int = 0,
+def random_search(est, grid: DataFrame, n_iter: int = 100, folds: int = 3, seed: int = 0,
                   label: str = "label", parallelism: int = 4):
     """``n_iter`` sampled settings, k-fold cross-validation, best refit.
     Returns (CrossValidatorModel, results table of settings and mean MSE)."""
