@@ -8,14 +8,12 @@ or tree level); the driver holds only parameters and small result tables.
 
 from __future__ import annotations
 
-import itertools
-
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRegression,
                                    RandomForestRegressor)
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -219,4 +217,4 @@ def grid_lists():
 
 __all__ = ["holdout", "assemble", "ols", "lasso", "ridge", "enet", "forest", "bagged_trees", "boosted",
            "reg_tree", "tree_nodes", "evaluate", "leaderboard", "param_grid", "random_search",
-           "importances", "membership_ols", "grid_lists", "itertools", "ParamGridBuilder"]
+           "importances", "membership_ols", "grid_lists"]

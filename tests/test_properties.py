@@ -133,3 +133,13 @@ def test_number_within_matches_window_on_hot_key(spark):
     exp = df.select("id", F.row_number().over(w).alias("rn"), F.lag("t").over(w).alias("prev_t"))
     assert got.select("id", "rn", "prev_t").exceptAll(exp).count() == 0
     assert got.count() == 3000
+
+
+def test_next_pairs_equals_lead(spark):
+    from pyspark.sql import Window
+    rows = [(d, p, f"w{(d * 31 + p * 7) % 13}") for d in range(5) for p in range(d * 40 + 1)]
+    df = spark.createDataFrame(rows, "doc int, pos int, tok string")
+    got = R.next_pairs(df, "doc", "pos", "tok", name="nxt").select("doc", "pos", "tok", "nxt")
+    w = Window.partitionBy("doc").orderBy("pos")
+    exp = df.withColumn("nxt", F.lead("tok").over(w)).where(F.col("nxt").isNotNull())
+    assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
