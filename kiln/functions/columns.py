@@ -28,6 +28,16 @@ def to_number(c, to: str = "double") -> Column:
     return _c(c).try_cast(to)
 
 
+def factor(df: DataFrame, c: str, name: str | None = None) -> DataFrame:
+    """R factor codes 1..k of ``c`` in sorted level order (missing stays
+    missing). Levels are numbered on the distinct set with the distributed
+    index, then joined back."""
+    from kiln.operators.indexing import dense_index
+    name = name or f"{c}_level"
+    levels = dense_index(df.where(F.col(c).isNotNull()), c, name=name, start=1)
+    return df.join(levels, c, "left")
+
+
 def flag_contains(c, pattern: str, yes: str, no: str) -> Column:
     """F8: case-insensitive regex flag with two labels; null stays null."""
     col = _c(c)
@@ -76,6 +86,15 @@ def date_labels(c) -> Column:
     return F.date_format(_c(c), "MMM dd")
 
 
+def every_nth_label(df: DataFrame, c: str, start: int = 12, step: int = 24, name: str = "label") -> DataFrame:
+    """F16: "Mon dd" labels of every ``step``-th row from position ``start``
+    (0-based) in ``c`` order; positions from the distributed row index."""
+    from kiln.operators.indexing import row_index
+    idx = row_index(df.select(c), c, name="_pos", start=0)
+    return (idx.where((F.col("_pos") >= start) & ((F.col("_pos") - start) % step == 0))
+               .select(c, date_labels(c).alias(name)))
+
+
 def fmt2(c, decimals: int = 2) -> Column:
     """Number as text with ``decimals`` places, rounded half up.
 

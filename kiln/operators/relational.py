@@ -174,6 +174,13 @@ def last_by(df: DataFrame, keys, v: str, order: str, name: str | None = None) ->
     return df.groupBy(*_cols(keys)).agg(F.max_by(v, order).alias(name or f"last_{v}"))
 
 
+def basket_sizes(df: DataFrame, key: str, pos: str, order: str | None = None,
+                 name: str = "n_items") -> DataFrame:
+    """Distribution of basket sizes, the size being the value of ``pos`` at
+    the basket's last row by ``order`` (G5), then counted per size."""
+    return count_by(last_by(df, key, pos, order or pos, name=name), name)
+
+
 def cond_share(df: DataFrame, keys, pred: Column, n_name: str = "n_equal",
                share_name: str = "percent_equal") -> DataFrame:
     """Count of rows meeting ``pred`` (nulls skipped) and its share of n()."""

@@ -5,11 +5,8 @@ properties in the tests (row counts here)."""
 from __future__ import annotations
 
 import numpy as np
-from pyspark.ml.classification import MultilayerPerceptronClassifier
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from kiln.functions import arrays as A
 from kiln.functions.columns import dummies, standardize
 from kiln.operators import models as M
 from kiln.operators import network as N
@@ -252,11 +249,7 @@ def q11_net_train(spark, sf_dir, iters=10, batch=128, lr=0.7, hidden=15):
 
 def _head_model(spark, sf_dir):
     e = Tables(spark, sf_dir).embeddings
-    from pyspark.ml.functions import array_to_vector
-    d = e.select("vec_id", "label", array_to_vector(F.transform("embedding", lambda x: x.cast("double")))
-                 .alias("features"))
-    mlp = MultilayerPerceptronClassifier(layers=[64, 32, 10], maxIter=100, seed=SEED, labelCol="label")
-    return d, mlp.fit(d)
+    return M.train_head(e, "embedding", "label", 10, hidden=32, max_iter=100, seed=SEED)
 
 
 @query("q13_train_head")
@@ -273,8 +266,5 @@ CLASS_NAMES = [f"class_{i}" for i in range(10)]
 def q15_predict_labels(spark, sf_dir, n=10):
     """Predict and name the class of a seeded sample of rows."""
     d, m = _head_model(spark, sf_dir)
-    sample = R.sample_n(d, n, seed=SEED, key="vec_id")
-    p = m.transform(sample).withColumn("probs", vector_to_array("probability"))
-    names = F.array(*[F.lit(c) for c in CLASS_NAMES])
-    return p.select("vec_id", "label", A.argmax("probs").alias("predicted"),
-                    F.element_at(names, A.argmax("probs") + 1).alias("predicted_name"))
+    p = M.predict_labels(m, d.select("vec_id", "label", "features"), CLASS_NAMES, n, SEED, key="vec_id")
+    return p.select("vec_id", "label", "predicted", "predicted_name")

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from kiln.functions import columns as C
 from kiln.operators import relational as R
-from kiln.operators.indexing import dense_index, row_index
 from kiln.plans.registry import query
 from kiln.sources.tables import Tables
 from kiln.sources.views import views
@@ -59,8 +58,7 @@ def f7_factor(spark, sf_dir):
     """Factor codes 1..k in sorted level order. Levels are numbered on the
     distinct set with the distributed index, then joined back."""
     p = views(spark, sf_dir).products.select("product_id", "department")
-    levels = dense_index(p, "department", name="department_level", start=1)
-    return p.join(levels, "department").select("product_id", "department", "department_level")
+    return C.factor(p, "department", "department_level").select("product_id", "department", "department_level")
 
 
 @query("f8_flag_contains", """
@@ -142,10 +140,7 @@ FROM (SELECT ts_hour, ROW_NUMBER() OVER (ORDER BY ts_hour) - 1 AS pos FROM hourl
 WHERE pos >= 12 AND (pos - 12) % 24 = 0
 """)
 def f16_date_labels(spark, sf_dir, start=12, step=24):
-    h = views(spark, sf_dir).hourly.select("ts_hour")
-    idx = row_index(h, "ts_hour", name="pos", start=0)
-    return (idx.where((F.col("pos") >= start) & ((F.col("pos") - start) % step == 0))
-               .select("ts_hour", C.date_labels("ts_hour").alias("label")))
+    return C.every_nth_label(views(spark, sf_dir).hourly, "ts_hour", start, step)
 
 
 def _fmt2_sql(x):

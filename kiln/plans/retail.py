@@ -160,7 +160,7 @@ FROM (SELECT order_id, MAX(add_to_cart_order) AS n_items FROM order_products GRO
 GROUP BY n_items
 """)
 def g6_basket_sizes(spark, sf_dir):
-    return R.count_by(g5_last_by(spark, sf_dir), "n_items")
+    return R.basket_sizes(views(spark, sf_dir).order_products, "order_id", "add_to_cart_order")
 
 
 def _loyalty(v):

@@ -179,8 +179,8 @@ FROM (SELECT label, {_softmax_sql(_SCORES)} AS p FROM embeddings)
 """)
 def q14_eval_classifier(spark, sf_dir):
     e = A.with_softmax(_emb(spark, sf_dir), F.slice("embedding", 1, CLASSES), "p").select("label", "p")
-    return e.agg(F.round(F.avg(A.nll("p", "label")), 6).alias("loss"),
-                 F.round(F.avg(F.when(A.argmax("p") == F.col("label"), 1.0).otherwise(0.0)), 6).alias("accuracy"))
+    return A.eval_classifier(e, "p", "label").select(F.round("loss", 6).alias("loss"),
+                                                      F.round("accuracy", 6).alias("accuracy"))
 
 
 @query("q16_mean_pool", f"""
