@@ -143,3 +143,19 @@ def test_next_pairs_equals_lead(spark):
     w = Window.partitionBy("doc").orderBy("pos")
     exp = df.withColumn("nxt", F.lead("tok").over(w)).where(F.col("nxt").isNotNull())
     assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
+
+
+def test_quantiles_match_numpy_with_ties_and_nulls(spark):
+    import numpy as np
+    from kiln.operators.indexing import quantiles
+    rng = np.random.default_rng(5)
+    a = rng.integers(0, 20, 777).astype(float)
+    b = rng.normal(size=777)
+    rows = [(float(x), None if i % 11 == 0 else float(y)) for i, (x, y) in enumerate(zip(a, b))]
+    df = spark.createDataFrame(rows, "a double, b double")
+    probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
+    got = {(r.column, r.p): r.value for r in quantiles(df, ["a", "b"], probs).collect()}
+    bb = np.array([y for _, y in rows if y is not None])
+    for p in probs:
+        assert got[("a", p)] == pytest.approx(np.quantile(a, p), abs=1e-12)
+        assert got[("b", p)] == pytest.approx(np.quantile(bb, p), abs=1e-12)
