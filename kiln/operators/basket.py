@@ -49,9 +49,10 @@ def item_frequency(b: DataFrame, top: int | None = 20, relative: bool = False,
 
 def fit(b: DataFrame, min_support: float = 0.001, min_confidence: float = 0.8,
         items: str = "items", num_partitions: int | None = None):
-    fp = FPGrowth(itemsCol=items, minSupport=min_support, minConfidence=min_confidence)
-    if num_partitions:
-        fp = fp.setNumPartitions(num_partitions)
+    """Parallel FP-growth; the conditional trees are spread over
+    ``num_partitions`` groups (default: the session's shuffle partitions)."""
+    n = num_partitions or int(b.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    fp = FPGrowth(itemsCol=items, minSupport=min_support, minConfidence=min_confidence, numPartitions=n)
     return fp.fit(b.select(items))
 
 
