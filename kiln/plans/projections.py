@@ -179,9 +179,18 @@ def f18_math(spark, sf_dir):
 
 
 def _dummies_sql():
-    cols = [f"CASE WHEN hr = {v} THEN 1 ELSE 0 END AS hr_{v}" for v in range(24)]
-    cols += [f"CASE WHEN weathersit = {v} THEN 1 ELSE 0 END AS weathersit_{v}" for v in range(4)]
-    return "SELECT ts_hour, cnt, " + ", ".join(cols) + " FROM hourly"
+    """Indicator columns only for levels present in the data (as get_dummies),
+    via DuckDB PIVOT; the view text is inlined because PIVOT resolves its
+    values before CTEs are visible."""
+    from kiln.sources.views import VIEW_SQL
+    h = VIEW_SQL["hourly"]
+    return f"""
+WITH a AS (PIVOT (SELECT ts_hour, 'hr_' || CAST(hr AS VARCHAR) AS k FROM ({h})) ON k USING COUNT(*) GROUP BY ts_hour),
+b AS (PIVOT (SELECT ts_hour, 'weathersit_' || CAST(weathersit AS VARCHAR) AS k FROM ({h})) ON k USING COUNT(*)
+      GROUP BY ts_hour)
+SELECT h.ts_hour, h.cnt, CAST(COLUMNS(ab.* EXCLUDE (ts_hour)) AS INTEGER)
+FROM ({h}) h JOIN (SELECT * FROM a JOIN b USING (ts_hour)) ab USING (ts_hour)
+"""
 
 
 @query("f22_dummies", _dummies_sql())
