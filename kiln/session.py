@@ -63,3 +63,14 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/kiln-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def spread(df, factor: int = 2):
+    """Round-robin ``df`` over ``factor`` x the cluster's cores when it has
+    fewer partitions than that (e.g. a file written as one row group scans in
+    one task). Heavy per-row work (tokenising whole texts) then uses every
+    core. A large input already has many more splits and is returned as is."""
+    target = factor * df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
