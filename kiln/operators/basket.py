@@ -5,6 +5,7 @@ rule post-processing as DataFrame joins.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -53,7 +54,27 @@ def fit(b: DataFrame, min_support: float = 0.001, min_confidence: float = 0.8,
     ``num_partitions`` groups (default: the session's shuffle partitions)."""
     n = num_partitions or int(b.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     fp = FPGrowth(itemsCol=items, minSupport=min_support, minConfidence=min_confidence, numPartitions=n)
-    return fp.fit(b.select(items))
+    # FP-growth reads its input several times (count, frequent items, trees):
+    # hold it for the fit only
+    inp = b.select(items).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        n_baskets = inp.count()
+        model = fp.fit(inp)
+        # the model's item sets are a lazy DataFrame: every use (item sets,
+        # rules) would rerun FP-growth. Keep them; their number is bounded by
+        # the support threshold, and lost blocks are recomputed from lineage.
+        model.freqItemsets.persist(StorageLevel.MEMORY_AND_DISK).count()
+    finally:
+        inp.unpersist()
+    model.kiln_n_baskets = n_baskets
+    return model
+
+
+def _n_rows(b: DataFrame, model) -> DataFrame:
+    n = getattr(model, "kiln_n_baskets", None)
+    if n is None:
+        return _n_baskets(b)
+    return b.sparkSession.range(1).select(F.lit(int(n)).cast("bigint").alias("n_baskets"))
 
 
 def frequent_itemsets(b: DataFrame, min_support: float = 0.001, max_len: int | None = None,
@@ -64,7 +85,7 @@ def frequent_itemsets(b: DataFrame, min_support: float = 0.001, max_len: int | N
     fi = m.freqItemsets.select(F.array_sort("items").alias("items"), "freq")
     if max_len:
         fi = fi.where(F.size("items") <= max_len)
-    return (fi.crossJoin(F.broadcast(_n_baskets(b)))
+    return (fi.crossJoin(F.broadcast(_n_rows(b, m)))
               .select("items", set_label("items").alias("itemset"), F.size("items").alias("size"),
                       "freq", (F.col("freq") / F.col("n_baskets")).alias("support")))
 
@@ -79,7 +100,7 @@ def rules(b: DataFrame, min_support: float = 0.001, min_confidence: float = 0.8,
     r = r.where(size >= min_len)
     if max_len:
         r = r.where(size <= max_len)
-    return (r.crossJoin(F.broadcast(_n_baskets(b)))
+    return (r.crossJoin(F.broadcast(_n_rows(b, m)))
              .select(F.array_sort("antecedent").alias("antecedent"), "consequent",
                      set_label("antecedent").alias("lhs"), set_label("consequent").alias("rhs"),
                      "support", "confidence", "lift",
