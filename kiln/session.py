@@ -71,6 +71,10 @@ def spread(df, factor: int = 2):
     one task). Heavy per-row work (tokenising whole texts) then uses every
     core. A large input already has many more splits and is returned as is."""
     target = factor * df.sparkSession.sparkContext.defaultParallelism
+    # only plain scans/projections are inspected: asking a plan with shuffles
+    # for its partitions would make adaptive execution run those stages now
+    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+        return df
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)
     return df
