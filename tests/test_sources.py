@@ -43,14 +43,14 @@ def test_cached_table_reused(spark):
 
 def test_labelled_dir(spark):
     d = tempfile.mkdtemp(prefix="kiln-img-")
-    for label, n in (("sayaka", 2), ("madoka", 3)):
+    for label, n in (("beta", 2), ("alpha", 3)):
         os.makedirs(os.path.join(d, label))
         for i in range(n):
             with open(os.path.join(d, label, f"{i}.bin"), "wb") as f:
                 f.write(b"x" * (i + 1))
     rows = IO.read_labelled_dir(spark, d).collect()
     assert len(rows) == 5
-    assert {r.label: r.class_index for r in rows} == {"madoka": 0, "sayaka": 1}
+    assert {r.label: r.class_index for r in rows} == {"alpha": 0, "beta": 1}
 
 
 def test_read_head_is_ordered(spark, sf):
