@@ -51,7 +51,11 @@ def main():
             if i > 0:
                 runs.append(time.perf_counter() - t0)
         times[name] = round(statistics.median(runs), 3)
-    sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
+    sf_txt = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
+    try:
+        sf = float(sf_txt)
+    except ValueError:
+        sf = sf_txt
     print(json.dumps({"metric": "headline_queries_total", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times, "sf": sf, "cpus": int(cpus), "reps": reps}))
 
