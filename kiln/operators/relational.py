@@ -341,17 +341,12 @@ def arrange(df: DataFrame, *cols: str | Column, desc: tuple[str, ...] = ()) -> D
     return df.orderBy(*out)
 
 
-def top_n(df: DataFrame, n_rows: int, wt: str, by=None) -> DataFrame:
+def top_n(df: DataFrame, n_rows: int, wt: str) -> DataFrame:
     """Rows whose ``rank()`` by descending ``wt`` is at most ``n_rows`` (ties kept).
 
-    Overall: the n-th largest weight is found by a bounded top-k and the table
-    is filtered against it - no global window. Within ``by`` groups a
-    partitioned ``rank`` is used. Missing weights never qualify.
+    The n-th largest weight is found by a bounded top-k and the table is
+    filtered against it - no global window. Missing weights never qualify.
     """
-    if by:
-        w = Window.partitionBy(*_cols(by)).orderBy(F.col(wt).desc())
-        return (df.withColumn("_rk", F.rank().over(w))
-                  .where(F.col("_rk") <= n_rows).where(F.col(wt).isNotNull()).drop("_rk"))
     cut = (df.select(wt).where(F.col(wt).isNotNull()).orderBy(F.col(wt).desc())
              .limit(n_rows).agg(F.min(wt).alias("_cut")))
     return (df.crossJoin(F.broadcast(cut)).where(F.col(wt) >= F.col("_cut")).drop("_cut"))
