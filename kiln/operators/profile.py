@@ -44,9 +44,10 @@ def summary6(df: DataFrame, cols, exact: bool = True) -> DataFrame:
     base = _melt(df, cols).groupBy("column").agg(F.min("value").alias("min"), F.max("value").alias("max"),
                                                   F.avg("value").alias("mean"))
     q = _quartiles(df, cols, [0.25, 0.5, 0.75], exact)
-    return (base.join(q, "column", "left")
-                .select("column", "min", F.col("q25").alias("q1"), F.col("q50").alias("median"), "mean",
-                        F.col("q75").alias("q3"), "max"))
+    names = df.sparkSession.createDataFrame([(c,) for c in cols], "column string").coalesce(1)
+    return (names.join(base, "column", "left").join(q, "column", "left")
+                 .select("column", "min", F.col("q25").alias("q1"), F.col("q50").alias("median"), "mean",
+                         F.col("q75").alias("q3"), "max"))
 
 
 def _quartiles(df: DataFrame, cols, probs, exact: bool) -> DataFrame:
