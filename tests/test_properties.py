@@ -170,3 +170,13 @@ def test_spread_only_touches_unshuffled_small_inputs(spark, sf):
     assert s.count() == docs.count()
     shuffled = docs.groupBy("doc_id").count()
     assert spread(shuffled) is shuffled
+
+
+def test_row_index_stable_across_recomputation(spark):
+    # input whose content changes on every evaluation: the index must not
+    src = spark.range(2000).select("id", F.rand().alias("r")).repartition(6)
+    idx = row_index(src, ["r", "id"], name="pos")
+    a = sorted((r.id, r.pos) for r in idx.collect())
+    b = sorted((r.id, r.pos) for r in idx.select("id", "pos").collect())
+    assert a == b
+    assert sorted(p for _, p in a) == list(range(2000))
