@@ -87,7 +87,9 @@ def shopper(t: Tables) -> DataFrame:
 
 def hourly(t: Tables) -> DataFrame:
     e = t.events.select("ts", "event_type", "value")
-    h = F.date_trunc("hour", "ts")
+    # wall-clock hour without a zone, like the source column: collected values
+    # do not depend on the process or session time zone
+    h = F.date_trunc("hour", "ts").cast("timestamp_ntz")
     return (e.groupBy(h.alias("ts_hour"))
              .agg(F.count(F.lit(1)).alias("cnt"),
                   F.avg("value").alias("temp"),
