@@ -31,6 +31,16 @@ def _norm(v):
     return v
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+                 "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN", "float": "FLOAT"}
+
+
+def _duck_type(t):
+    if t.startswith("array<"):
+        return _duck_type(t[6:-1]) + "[]"
+    return SPARK_TO_DUCK.get(t, t)
+
+
 def _canon(cols, rows):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     return [cols[i] for i in order], sorted((tuple(_norm(r[i]) for i in order) for r in rows), key=repr)
@@ -54,6 +64,7 @@ def test_matches_duckdb(spark, duck, name):
     df = QUERIES[name](spark, SF_SMALL)
     sc, sr = _canon(df.columns, [tuple(r) for r in df.collect()])
     cur = duck.execute(ORACLE[name])
+    assert {c: _duck_type(t) for c, t in df.dtypes} == {d[0]: str(d[1]) for d in cur.description}
     dc, dr = _canon([d[0] for d in cur.description], cur.fetchall())
     assert sc == dc
     assert len(sr) == len(dr)
