@@ -39,15 +39,17 @@ def read_head(df: DataFrame, n: int, order) -> DataFrame:
 
 
 def cached_table(df: DataFrame, path: str) -> DataFrame:
-    """Write ``df`` as parquet at ``path`` unless it is there, then read it.
+    """Write ``df`` as parquet at ``path`` unless a readable table is
+    there, then read it; a second call reuses the table.
 
-    ``mode('ignore')`` keeps an existing table, so a second call reuses it.
+    Files reach ``path`` only when a write job commits, so a folder left by a
+    failed job has no readable table and is written again (overwrite).
     """
     spark = df.sparkSession
     try:
         return spark.read.parquet(path)
     except AnalysisException:
-        df.write.mode("ignore").parquet(path)
+        df.write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
 
 

@@ -69,3 +69,9 @@ def test_stream_rowwise(spark, sf):
                         checkpoint=src + "/ckpt")
     assert out.count() == e.count()
     assert out.where(F.col("clean").contains("{")).count() == 0
+
+
+def test_cached_table_repairs_unreadable_folder(spark):
+    d = tempfile.mkdtemp(prefix="kiln-cache-") + "/t"
+    os.makedirs(d + "/_temporary")  # what a failed job leaves behind
+    assert IO.cached_table(spark.range(7), d).count() == 7
