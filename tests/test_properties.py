@@ -180,3 +180,18 @@ def test_row_index_stable_across_recomputation(spark):
     b = sorted((r.id, r.pos) for r in idx.select("id", "pos").collect())
     assert a == b
     assert sorted(p for _, p in a) == list(range(2000))
+
+
+def test_approximate_profiles_close_to_exact(spark, sf):
+    from kiln.operators import profile as P
+    from kiln.sources.tables import Tables
+    li = Tables(spark, sf).lineitem
+    ex = {r.column: r for r in P.summary6(li, ["l_quantity", "l_extendedprice"]).collect()}
+    ap = {r.column: r for r in P.summary6(li, ["l_quantity", "l_extendedprice"], exact=False).collect()}
+    for c in ex:
+        assert ap[c].min == ex[c].min and ap[c].max == ex[c].max
+        spread_ = ex[c].max - ex[c].min
+        for k in ("q1", "median", "q3"):
+            assert abs(ap[c][k] - ex[c][k]) <= 0.01 * spread_
+    sk = {r.skim_variable: r for r in P.skim(Tables(spark, sf).customer, exact=False, approx_distinct=True).collect()}
+    assert sk["c_acctbal"].p0 is not None and sk["c_name"].n_unique > 0
