@@ -11,12 +11,11 @@ import json
 import os
 import statistics
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from kiln.session import get_session  # noqa: E402
+from kiln.session import checkpoint_root, get_session  # noqa: E402
 from kiln.plans import all_queries  # noqa: E402
 
 HEADLINE = [
@@ -37,8 +36,7 @@ def main():
     reps = int(os.environ.get("BENCH_REPS", "3"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
     spark = get_session(f"local[{cpus}]", shuffle_partitions=int(cpus) * 2, app="kiln-bench")
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="kiln-bench-ckpt-"))
+    checkpoint_root(spark)  # the cluster's spark.checkpoint.dir, else a local temporary folder
     qs = all_queries()
     names = only or HEADLINE
     times = {}

@@ -48,15 +48,19 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder named by the cluster in ``spark.checkpoint.dir``.
 
-    Only where the setting is absent (local tests) a private temporary folder is
-    created and recorded in the session, so later calls agree on it.
+    Only where the setting is absent (local tests) a private temporary folder
+    becomes the context's checkpoint directory (the setting itself cannot be
+    changed at run time); later calls find it through the context.
     """
+    sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        current = sc.getCheckpointDir()
+        if current:  # <root>/<context id>, set by an earlier call
+            return current.rstrip("/").rsplit("/", 1)[0]
         d = tempfile.mkdtemp(prefix="kiln-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(d)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
     return d.rstrip("/")
 
 

@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -20,8 +19,6 @@ def spark():
          .config("spark.ui.showConsoleProgress", "false")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="kiln-test-ckpt-"))
     configure(s)
     yield s
     s.stop()
