@@ -9,11 +9,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from kiln.plans import all_oracles, all_queries
 from kiln.sources.tables import TABLES
 from tests.conftest import SF_SMALL
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+QUERIES = all_queries()
+ORACLE = all_oracles()
 SLOW = {"m14_random_search", "m11_leaderboard"}
 
 
@@ -55,7 +56,8 @@ def duck():
 
 
 def test_registry_complete():
-    assert set(ORACLE) <= set(QUERIES)
+    assert set(ORACLE) <= set(QUERIES) <= set(E.queries())
+    assert set(ORACLE) <= set(E.oracle_sql())
     assert len(QUERIES) == 129
 
 
