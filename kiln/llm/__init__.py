@@ -2,7 +2,7 @@
 extraction, scoring and secret scans. Nothing outside this subpackage imports it."""
 
 from kiln.llm.registry import ORACLE, QUERIES
-from kiln.llm import exact_dedup, html_text, line_dedup, mixing, quality, secrets, toxicity  # noqa: F401
+from kiln.llm import decontaminate, exact_dedup, html_text, line_dedup, mixing, quality, secrets, toxicity  # noqa: F401
 
 
 def all_queries():
