@@ -61,7 +61,7 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        F.col(id_col).alias("_id"), text.alias("_text"))
 
 
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mean: int = 20, min_words: int = 20,
+def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mean: int = 20, min_words: int = 25,
                    max_bits: int = 1 << 26) -> DataFrame:
     """Passages that occur in several documents: ``id_col``, start, end (code
     points, end exclusive), n_words, first_id (smallest id that has one of its
