@@ -58,3 +58,21 @@ def marked(df: DataFrame, bitmap: DataFrame, h: Column, bits: int, name: str) ->
               .withColumn(name, F.coalesce(F.call_function(
                   "getbit", F.col("_bm_mask"), F.pmod(F.col("_bm_slot"), F.lit(64)).cast("int")) == 1, F.lit(False)))
               .drop("_bm_slot", "_bm_word", "_bm_mask"))
+
+
+def keep_rows(docs: DataFrame, keep: DataFrame, id_col: str, text: Column) -> DataFrame:
+    """The rows of ``docs`` whose id and hash of ``text`` are in ``keep`` (_id, _tk),
+    one of each that repeat both; all columns unchanged. Rows are told apart by a
+    hash, so texts are shuffled once; those that repeat are looked for first and
+    taken out by themselves."""
+    names = docs.columns
+    tagged = docs.withColumn("_kiln_tk", F.xxhash64(text))
+    wanted = frozen(keep.select("_id", "_tk").distinct())
+    same = F.col(id_col).eqNullSafe(F.col("_id")) & F.col("_kiln_tk").eqNullSafe(F.col("_tk"))
+    own = tagged.select(F.col(id_col).alias("_rid"), F.col("_kiln_tk").alias("_rtk")).groupBy("_rid", "_rtk").count()
+    again = frozen(own.where("count > 1").select(F.col("_rid").alias("_id"), F.col("_rtk").alias("_tk")))
+    kept = tagged.join(wanted.hint("shuffle_hash"), same, "left_semi")
+    if not again.isEmpty():
+        repeats = kept.join(again, same, "left_semi").dropDuplicates([id_col, "_kiln_tk"])
+        kept = kept.join(again, same, "left_anti").unionByName(repeats)
+    return kept.select(*names)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kiln.llm.common import frozen, key_bitmap, marked, squeezed, table
+from kiln.llm.common import frozen, keep_rows, key_bitmap, marked, squeezed, table, text_of
 from kiln.llm.registry import query
 
 
@@ -53,12 +53,9 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with one row of each group of equal texts: the smallest id's, and
     one of the rows that repeat it. All columns stay; see ``exact_groups``."""
-    packed = exact_groups(docs, id_col, text_col, carry={"_text_hash": F.sha2(squeezed(text_col), 256)}, **options)
-    keep = packed.where("kept").select(F.col("keep_id").alias("_keep"), F.col("_text_hash").alias("_sha")).distinct()
-    names = docs.columns
-    tagged = docs.withColumn("_kiln_sha", F.sha2(squeezed(text_col), 256))
-    return (tagged.join(keep, F.col(id_col).eqNullSafe(F.col("_keep")) & (F.col("_kiln_sha") == F.col("_sha")), "left_semi")
-                  .dropDuplicates([id_col, "_kiln_sha"]).select(*names))
+    found = exact_groups(docs, id_col, text_col, carry={"_tk": F.xxhash64(squeezed(text_col)), "_raw": F.xxhash64(text_of(text_col))}, **options)
+    first = (found.where("kept").groupBy(F.col(id_col).alias("_id"), "_tk").agg(F.min("_raw").alias("_raw")))
+    return keep_rows(docs, first.select("_id", F.col("_raw").alias("_tk")), id_col, text_of(text_col))
 
 
 @query("op4_exact_dedup", r"""

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kiln.llm.common import frozen, key_bitmap, marked, table, text_of
+from kiln.llm.common import frozen, keep_rows, key_bitmap, marked, table, text_of
 from kiln.llm.graph import components
 from kiln.llm.registry import query
 
@@ -136,12 +136,13 @@ def _grouped(batches, key: str):
 
 
 def _classes(rows: DataFrame, k: int, sketch: int) -> tuple[DataFrame, np.ndarray]:
-    """((_id, c, n) of every document, how often shingles occur). The frequencies
+    """((_id, _tk, c, n) of every document, how often shingles occur). The frequencies
     are counted over all documents in ``sketch`` counters by the shingle's hash; each task adds
     its own up and sends them in stripes, which are added up in parallel."""
     id_type = rows.schema["_id"].dataType.simpleString()
     step = sketch // _STRIPES
     kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+    names = ["_id", "_tk", "c", "n", "stripe", "counts"]
 
     def scan(batches):
         counts, id_kind = np.zeros(sketch, np.int32), None
@@ -153,15 +154,15 @@ def _classes(rows: DataFrame, k: int, sketch: int) -> tuple[DataFrame, np.ndarra
                 n.append(len(s))
                 np.add.at(counts, (s & np.uint64(sketch - 1)).astype(np.int64), 1)
             id_kind = b.column("_id").type
-            yield pa.RecordBatch.from_arrays([b.column("_id"), pa.array(c, kinds[0]), pa.array(n, kinds[1]), pa.nulls(len(c), kinds[2]),
-                                              pa.nulls(len(c), kinds[3])], names=["_id", "c", "n", "stripe", "counts"])
+            yield pa.RecordBatch.from_arrays([b.column("_id"), b.column("_tk"), pa.array(c, kinds[0]), pa.array(n, kinds[1]),
+                                              pa.nulls(len(c), kinds[2]), pa.nulls(len(c), kinds[3])], names=names)
         if id_kind is not None:
             for i in range(_STRIPES):
                 part = counts[i * step:(i + 1) * step]
                 if part.any():
                     yield pa.RecordBatch.from_arrays(
-                        [pa.nulls(1, id_kind), pa.nulls(1, kinds[0]), pa.nulls(1, kinds[1]), pa.array([i], kinds[2]),
-                         pa.array([zlib.compress(part.tobytes(), 1)], kinds[3])], names=["_id", "c", "n", "stripe", "counts"])
+                        [pa.nulls(1, id_kind), pa.nulls(1, kinds[0]), pa.nulls(1, kinds[0]), pa.nulls(1, kinds[1]), pa.array([i], kinds[2]),
+                         pa.array([zlib.compress(part.tobytes(), 1)], kinds[3])], names=names)
 
     def add(batches):
         total = {}
@@ -171,13 +172,13 @@ def _classes(rows: DataFrame, k: int, sketch: int) -> tuple[DataFrame, np.ndarra
                 total[i] = total.get(i, 0) + part.astype(np.int64)
         yield pa.RecordBatch.from_pydict({"stripe": pa.array(list(total), pa.int32()),
                                           "counts": pa.array([zlib.compress(v.tobytes(), 1) for v in total.values()], pa.binary())})
-    both = frozen(rows.select("_id", "_text").mapInArrow(scan, f"_id {id_type}, c long, n int, stripe int, counts binary"))
+    both = frozen(rows.select("_id", "_tk", "_text").mapInArrow(scan, f"_id {id_type}, _tk long, c long, n int, stripe int, counts binary"))
     sums = (both.where("stripe IS NOT NULL").select("stripe", "counts").repartition(_STRIPES, "stripe")
                 .mapInArrow(add, "stripe int, counts binary").collect())
     frequency = np.zeros(sketch, np.int64)
     for r in sums:
         frequency[r.stripe * step:(r.stripe + 1) * step] = np.frombuffer(zlib.decompress(r.counts), np.int64)
-    return both.where("stripe IS NULL").select("_id", "c", "n"), np.minimum(frequency, np.iinfo(np.int32).max).astype(np.int32)
+    return both.where("stripe IS NULL").select("_id", "_tk", "c", "n"), np.minimum(frequency, np.iinfo(np.int32).max).astype(np.int32)
 
 
 def _candidate_edges(rows: DataFrame, k: int, percent: int, frequency) -> DataFrame:
@@ -252,9 +253,7 @@ def _blocks(nodes: DataFrame, percent: int, block_docs: int, block_shingles: int
         F.when(F.col("_me") == F.col("_it"), 0).when(F.col("_me") < F.col("_it"), 1).otherwise(2).alias("side")))
 
 
-def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text",
-                       sketch: int = 1 << 20, block_docs: int = 4096, block_shingles: int = 1 << 21, salts: int = 32,
-                       max_bits: int = 1 << 26) -> DataFrame:
+def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """One row per row of ``docs``: ``id_col``, n_shingles, component_id, n_links.
 
     Words are runs without white space, A-Z in lower case; a document's set holds
@@ -272,8 +271,16 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: s
     pairs of chunks whose sizes allow a link. Every pair that may link meets in a
     block and is counted exactly; blocks return components, never pairs.
     """
+    found = _component_rows(docs, k, percent, id_col, text_col, **options)
+    return found.select(F.col("_id").alias(id_col), F.col("n").cast("long").alias("n_shingles"), "component_id", "n_links")
+
+
+def _component_rows(docs: DataFrame, k: int, percent: int, id_col: str, text_col: str, sketch: int = 1 << 20, block_docs: int = 4096,
+                    block_shingles: int = 1 << 21, salts: int = 32, max_bits: int = 1 << 26) -> DataFrame:
+    """(_id, _tk, n, _key, component_id, n_links): with the hash of the text and the
+    number of the component, null without a word."""
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).alias("_id"), text_of(text_col).alias("_text"))
+    rows = docs.select(F.col(id_col).alias("_id"), text_of(text_col).alias("_text")).withColumn("_tk", F.xxhash64("_text"))
     base, counts = _classes(rows, k, sketch)
     frequency = spark.sparkContext.broadcast(counts)
     near = components(_candidate_edges(rows, k, percent, frequency))
@@ -322,19 +329,18 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: s
     parts = full.where("_key IS NOT NULL").groupBy("_key", "_salt").agg(F.min("_id").alias("_min"))
     least = parts.select("_key", "_salt").join(parts.groupBy("_key").agg(F.min("_min").alias("_least")), "_key")
     return (full.join(least, ["_key", "_salt"], "left")
-                .select(F.col("_id").alias(id_col), F.col("n").cast("long").alias("n_shingles"),
-                        F.coalesce("_least", "_id").alias("component_id"),
+                .select("_id", "_tk", "n", "_key", F.coalesce("_least", "_id").alias("component_id"),
                         (F.coalesce("links", F.lit(0)) + F.coalesce("m", F.lit(1)) - 1).cast("long").alias("n_links")))
 
 
-def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with one document of each component: the smallest id's. Rows that
-    repeat it are dropped but for one; documents without a word all stay, but for
-    repeated rows. All columns unchanged."""
-    found = jaccard_components(docs, id_col=id_col, text_col=text_col, **options)
-    keep = found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_keep")).distinct()
-    return (docs.join(keep, F.col(id_col).eqNullSafe(F.col("_keep")), "left_semi")
-                .dropDuplicates([id_col, text_col]))
+def near_dedup(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` with one document of each component (``jaccard_components``): the
+    smallest id's, and one of the rows that share or repeat it. Documents without
+    a word all stay, but for repeated rows. All columns unchanged."""
+    found = _component_rows(docs, k, percent, id_col, text_col, **options)
+    first = (found.where(F.col("_id").eqNullSafe(F.col("component_id")))
+                  .groupBy("_key", "_id", F.when(F.col("_key").isNull(), F.col("_tk")).alias("_own")).agg(F.min("_tk").alias("_tk")))
+    return keep_rows(docs, first.select("_id", "_tk"), id_col, text_of(text_col))
 
 
 @query("op9_ngram_jaccard_join")
