@@ -15,6 +15,11 @@ WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def packed(docs: DataFrame) -> Column:
+    """All columns of ``docs`` as one, so that none meets a name of ours."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -65,14 +70,12 @@ def keep_rows(docs: DataFrame, keep: DataFrame, id_col: str, text: Column) -> Da
     one of each that repeat both; all columns unchanged. Rows are told apart by a
     hash, so texts are shuffled once; those that repeat are looked for first and
     taken out by themselves."""
-    names = docs.columns
-    tagged = docs.withColumn("_kiln_tk", F.xxhash64(text))
+    tagged = docs.select(packed(docs), F.col(id_col).alias("_rid"), F.xxhash64(text).alias("_rtk"))
     wanted = frozen(keep.select("_id", "_tk").distinct())
-    same = F.col(id_col).eqNullSafe(F.col("_id")) & F.col("_kiln_tk").eqNullSafe(F.col("_tk"))
-    own = tagged.select(F.col(id_col).alias("_rid"), F.col("_kiln_tk").alias("_rtk")).groupBy("_rid", "_rtk").count()
-    again = frozen(own.where("count > 1").select(F.col("_rid").alias("_id"), F.col("_rtk").alias("_tk")))
+    same = F.col("_rid").eqNullSafe(F.col("_id")) & F.col("_rtk").eqNullSafe(F.col("_tk"))
+    again = frozen(tagged.groupBy(F.col("_rid").alias("_id"), F.col("_rtk").alias("_tk")).count().where("count > 1").select("_id", "_tk"))
     kept = tagged.join(wanted.hint("shuffle_hash"), same, "left_semi")
     if not again.isEmpty():
-        repeats = kept.join(again, same, "left_semi").dropDuplicates([id_col, "_kiln_tk"])
+        repeats = kept.join(again, same, "left_semi").dropDuplicates(["_rid", "_rtk"])
         kept = kept.join(again, same, "left_anti").unionByName(repeats)
-    return kept.select(*names)
+    return kept.select("_row.*")

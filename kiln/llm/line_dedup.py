@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kiln.llm.common import LOWER, UPPER, frozen, key_bitmap, marked, table, text_of
+from kiln.llm.common import LOWER, UPPER, frozen, key_bitmap, marked, packed, table, text_of
 from kiln.llm.registry import query
 
 _KEY, _DOC = ["_h1", "_h2"], ["_id", "_tk"]
@@ -70,21 +70,20 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     differ in text are documents of their own. An empty table gives an empty
     result. Columns of ``docs`` with the names of the added ones are replaced.
     """
-    names = [c for c in docs.columns if c not in ("n_lines", "n_dropped", "kept_text")]
+    added = ("n_lines", "n_dropped", "kept_text")
+    others = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in added])
     maps = keep_bitmaps(docs, id_col, text_col, **options)
-    both = (docs.select(*names, F.xxhash64(text_of(text_col)).alias("_kiln_tk"))
-                .join(maps.hint("shuffle_hash"), F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_kiln_tk") == F.col("_tk")), "left"))
-    lines = F.split(text_of(text_col), "\n", -1)
-    return (both.withColumn("_lines", lines)
+    both = (others.select(packed(others), F.col(id_col).alias("_rid"), text_of(text_col).alias("_text")).withColumn("_rtk", F.xxhash64("_text"))
+                  .join(maps.hint("shuffle_hash"), F.col("_rid").eqNullSafe(F.col("_id")) & (F.col("_rtk") == F.col("_tk")), "left"))
+    return (both.withColumn("_lines", F.split("_text", "\n", -1))
                 .withColumn("_words", F.transform(F.sequence(F.lit(0), F.floor((F.size("_lines") - 1) / 64).cast("int")),
                                                   lambda w: F.coalesce(F.try_element_at("dropped", w), F.lit(0).cast("long"))))
-                .withColumn("kept_text", F.when(F.col("dropped").isNull(), text_of(text_col)).otherwise(F.array_join(F.filter(
+                .withColumn("_kept", F.when(F.col("dropped").isNull(), F.col("_text")).otherwise(F.array_join(F.filter(
                     "_lines", lambda x, i: F.call_function("getbit", F.get("_words", F.floor(i / 64).cast("int")),
                                                            F.pmod(i, F.lit(64))) == 0), "\n")))
-                .withColumn("n_lines", F.size("_lines").cast("long"))
-                .withColumn("n_dropped", F.aggregate(F.coalesce(F.map_values("dropped"), F.array().cast("array<bigint>")),
-                                                     F.lit(0).cast("long"), lambda s, x: s + F.bit_count(x)))
-                .select(*names, "n_lines", "n_dropped", "kept_text"))
+                .withColumn("_n", F.aggregate(F.coalesce(F.map_values("dropped"), F.array().cast("array<bigint>")),
+                                              F.lit(0).cast("long"), lambda s, x: s + F.bit_count(x)))
+                .select("_row.*", F.size("_lines").cast("long").alias("n_lines"), F.col("_n").alias("n_dropped"), F.col("_kept").alias("kept_text")))
 
 
 @query("op2_line_dedup", r"""

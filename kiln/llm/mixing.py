@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kiln.llm.common import WORD, frozen, table, text_of
+from kiln.llm.common import WORD, frozen, packed, table, text_of
 from kiln.llm.registry import query
 from kiln.operators.indexing import prefix_sum, row_index
 
@@ -41,6 +41,10 @@ def source_targets(sizes: DataFrame, weights=(3, 1, 2), share: float = 1.5, max_
     return rated.withColumn("target", F.when(F.col("_most") < want, F.col("_most").cast("double")).otherwise(want)).drop("_most")
 
 
+def _draw(seed: str, id_col: str):
+    return F.struct(F.md5(F.concat_ws(":", F.lit(seed), F.col(id_col).cast("string"))).alias("h"), F.col(id_col).alias("i")).alias("_draw")
+
+
 def mix_plan(docs: DataFrame, weights=(3, 1, 2), share: float = 1.5, max_epochs: int = 2, seed: str = "mix",
              id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> tuple[DataFrame, DataFrame]:
     """(sized, plan): the documents as (_id, source, size, _draw), and per source
@@ -52,9 +56,8 @@ def mix_plan(docs: DataFrame, weights=(3, 1, 2), share: float = 1.5, max_epochs:
     whose middle word lies before the part of the target that whole repetitions
     leave, so the source comes within half a document of its target.
     """
-    draw = F.struct(F.md5(F.concat_ws(":", F.lit(seed), F.col(id_col).cast("string"))).alias("h"), F.col(id_col).alias("i"))
     sized = frozen(docs.select(F.col(id_col).alias("_id"), F.col(source_col).alias("source"),
-                               F.regexp_count(text_of(text_col), F.lit(WORD)).cast("long").alias("size"), draw.alias("_draw")))
+                               F.regexp_count(text_of(text_col), F.lit(WORD)).cast("long").alias("size"), _draw(seed, id_col)))
     sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = source_targets(sizes, weights, share, max_epochs)
     ahead = prefix_sum(sized, [F.col("source").asc_nulls_last(), F.col("_draw"), F.col("size")], "size", name="_ahead")
@@ -97,14 +100,11 @@ def mix_sources(docs: DataFrame, seed: str = "mix", id_col: str = "doc_id", sour
     repetition number in ``epoch``. Texts are not shuffled where the sources'
     plan is small enough for Spark to broadcast it."""
     _, plan = mix_plan(docs, seed=seed, id_col=id_col, source_col=source_col, **options)
-    names = [c for c in docs.columns if c != "epoch"]
-    draw = F.struct(F.md5(F.concat_ws(":", F.lit(seed), F.col(id_col).cast("string"))).alias("h"), F.col(id_col).alias("i"))
-    rules = plan.select(F.col("source").alias("_src"), "whole", "_cut").select("_src", F.struct("whole", "_cut").alias("_rule"))
-    copies = (F.col("_rule.whole") + F.when(F.col("_draw") <= F.col("_rule._cut"), F.lit(1)).otherwise(F.lit(0))).cast("int")
-    return (docs.select(*names, draw.alias("_draw"))
-                .join(rules, F.col(source_col).eqNullSafe(F.col("_src")))
-                .withColumn("_copies", copies).where("_copies > 0")
-                .select(*names, F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("epoch")))
+    others = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c != "epoch"])
+    return (others.select(packed(others), _draw(seed, id_col), F.col(source_col).alias("_s"))
+                  .join(plan, F.col("_s").eqNullSafe(F.col("source")))
+                  .withColumn("copies", _copies()).where("copies > 0")
+                  .select("_row.*", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("epoch")))
 
 
 @query("op1_mix_sources", r"""
