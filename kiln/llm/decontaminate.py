@@ -37,8 +37,8 @@ _CHARS = _char_tables()
 
 
 def normalise(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """(code points, offsets in the text): letters and digits in lower case, one
-    space between words."""
+    """(code points, offsets in the text): letters and digits in lower case (and
+    whatever lies beyond code point 65535), one space between words."""
     raw = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
     cp = np.where(raw < 1 << 16, _CHARS[np.minimum(raw, (1 << 16) - 1)], raw)
     at = np.flatnonzero(cp)

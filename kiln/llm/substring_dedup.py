@@ -69,7 +69,8 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     Whole texts are cut into chunks; a chunk is repeated if documents with
     different keys have its digest. Spans are runs of neighbouring repeated
-    chunks with ``min_words`` words or more. They lose the part of a passage that
+    chunks whose different ones have ``min_words`` words or more, so that one word
+    said again and again is not a passage. They lose the part of a passage that
     lies before its first and after its last chunk bound, ``mean`` characters on
     average on each side; ``min_words`` is set so that passages of over 50 words
     are found.
@@ -112,14 +113,16 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     places = rows.mapInArrow(located, whole)
     h = F.col("_d")
     maybe = marked(places, key_bitmap(repeated, h, bits), h, bits, "_maybe").where("_maybe").drop("_maybe")
-    hit = maybe.join(repeated, "_d").drop("_d").distinct()
+    hit = maybe.join(repeated, "_d").dropDuplicates(["_doc", "_tk", "_i"])
     order = Window.partitionBy("_doc", "_tk").orderBy("_i")
     runs = (hit.withColumn("_run", F.col("_i") - F.row_number().over(order))
+               .groupBy("_doc", "_tk", "_run", "_d")
+               .agg(F.min("_id").alias("_id"), F.min("_start").alias("_start"), F.max("_end").alias("_end"), F.sum("_words").alias("_all"),
+                    F.max("_words").alias("_own"), F.min("_first").alias("_first"))
                .groupBy("_doc", "_tk", "_run")
-               .agg(F.min("_id").alias(id_col), F.min("_start").alias("start"), F.max("_end").alias("end"),
-                    F.sum("_words").alias("n_words"), F.min("_first").alias("first_id"),
-                    F.max(F.col("_first") < F.col("_doc")).alias("removed")))
-    return runs.where(F.col("n_words") >= min_words).select(id_col, "start", "end", "n_words", "first_id", "removed")
+               .agg(F.min("_id").alias(id_col), F.min("_start").alias("start"), F.max("_end").alias("end"), F.sum("_all").alias("n_words"),
+                    F.sum("_own").alias("_own"), F.min("_first").alias("first_id"), F.max(F.col("_first") < F.col("_doc")).alias("removed")))
+    return runs.where(F.col("_own") >= min_words).select(id_col, "start", "end", "n_words", "first_id", "removed")
 
 
 @query("op3_substring_dedup")

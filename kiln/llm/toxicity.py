@@ -134,16 +134,18 @@ def choose(rated: dict, families: dict, min_families: int) -> dict:
     return lexicon
 
 
-def fit_toxic(texts: DataFrame, min_families: int = 6, min_odds: float = 20.0) -> ToxicModel | None:
+def fit_toxic(texts: DataFrame, min_families: int = 6, min_odds: float = 20.0, doubtful_odds: float = 3.0) -> ToxicModel | None:
     """Model from labelled texts (``labelled_texts``: a bounded sample). None
     without labelled rows of both kinds.
 
     A candidate's weight is the logarithm of how many times likelier it is in a
     toxic text than in a clean one. Those in ``min_families`` toxic texts or more
     and at least ``min_odds`` times likelier may enter the lexicon (``choose``).
-    Words next to a lexicon word that occur with it only in clean texts, twice or
-    more, make an exception phrase. Counting is distributed; the driver holds the
-    candidates of the sample's toxic texts.
+    A word next to a lexicon word that occurs with it only in clean texts, in three
+    or more, makes an exception phrase. Whole words that are only ``doubtful_odds``
+    times likelier, in three times as many toxic texts, enter if they reach
+    ``min_odds`` outside such phrases. Counting is distributed; the driver holds
+    the candidates of the sample's toxic texts.
     """
     held = texts.select("_id", "_text", "_y").persist()
     try:
@@ -151,8 +153,9 @@ def fit_toxic(texts: DataFrame, min_families: int = 6, min_odds: float = 20.0) -
         if not n_pos or not n_neg:
             return None
         odds = (F.col("pos") + 0.5) / (n_pos + 1.0) / ((F.col("neg") + 0.5) / (n_neg + 1.0))
+        doubt = F.col("f").endswith(" ") & (F.col("pos") >= 3 * min_families) & (F.col("w") >= math.log(doubtful_odds))
         likely = (_feature_counts(held).withColumn("w", F.log(odds))
-                  .where((F.col("pos") >= min_families) & (F.col("w") >= math.log(min_odds))))
+                  .where((F.col("pos") >= min_families) & ((F.col("w") >= math.log(min_odds)) | doubt)))
         rated = {r.f: (r.pos, r.neg, r.w) for r in likely.collect()}
         known = frozenset(rated)
 
@@ -166,8 +169,12 @@ def fit_toxic(texts: DataFrame, min_families: int = 6, min_odds: float = 20.0) -
             for f in r.fs:
                 for seen, h in zip(own[f], r.hs):
                     seen.add(h)
-        lexicon = choose(rated, {f: min(map(len, seen)) for f, seen in own.items()}, min_families)
-        plain = ToxicModel(lexicon, (), 0.0, 0.0)
+        families = {f: min(map(len, seen)) for f, seen in own.items()}
+        sure = {f: v for f, v in rated.items() if v[2] >= math.log(min_odds)}
+        lexicon = choose(sure, families, min_families)
+        sure_ones = ToxicModel(lexicon, (), 0.0, 0.0).automaton()
+        doubtful = {f: v[2] for f, v in rated.items() if f not in sure and families.get(f, 0) >= 3 * min_families and not hits(sure_ones, f.split())}
+        plain = ToxicModel(lexicon | doubtful, (), 0.0, 0.0)
 
         def contexts(batches):
             a = plain.automaton()
@@ -176,13 +183,26 @@ def fit_toxic(texts: DataFrame, min_families: int = 6, min_odds: float = 20.0) -
                 for t, y in zip(b.column("_text"), b.column("_y").to_pylist()):
                     ws = fold(t.as_py())
                     if hits(a, ws):
-                        near = {f" {x} {z} " for x, z in zip(ws, ws[1:]) if hits(a, [x]) or hits(a, [z])}
+                        bad = {w for w in set(ws) if hits(a, [w])}
+                        near = {f" {x} {z} " for x, z in zip(ws, ws[1:]) if x in bad or z in bad}
                         out["f"] += near
                         out["y"] += [y] * len(near)
                 yield pa.RecordBatch.from_pydict({"f": pa.array(out["f"], pa.string()), "y": pa.array(out["y"], pa.float64())})
-        near = (held.dropDuplicates(["_text"]).select("_text", "_y").mapInArrow(contexts, "f string, y double").groupBy("f")
-                    .agg(F.sum(F.when(F.col("y") > 0, 1).otherwise(0)).alias("pos"), F.count(F.lit(1)).alias("n")))
-        exceptions = tuple(sorted(r.f for r in near.where("pos = 0 AND n >= 2").collect()))
+        toxic, clean = F.sum(F.when(F.col("y") > 0, 1).otherwise(0)), F.sum(F.when(F.col("y") > 0, 0).otherwise(1))
+        unique = held.dropDuplicates(["_text"]).select("_text", "_y")
+        near = unique.mapInArrow(contexts, "f string, y double").groupBy("f").agg(toxic.alias("pos"), clean.alias("neg"))
+        spared = ToxicModel(plain.weights, tuple(sorted(r.f for r in near.where("pos = 0 AND neg >= 3").collect())), 0.0, 0.0)
+
+        def left(batches):
+            a = spared.automaton()
+            for b in batches:
+                rows = [(f, y) for t, y in zip(b.column("_text"), b.column("_y").to_pylist()) for f in hits(a, fold(t.as_py()))]
+                yield pa.RecordBatch.from_pydict({"f": pa.array([r[0] for r in rows], pa.string()), "y": pa.array([r[1] for r in rows], pa.float64())})
+        again = unique.mapInArrow(left, "f string, y double").groupBy("f").agg(toxic.alias("pos"), clean.alias("neg")).withColumn("w", F.log(odds))
+        weights = {r.f: r.w for r in again.where(F.col("w") >= math.log(min_odds)).collect()}
+        lexicon = {f: weights[f] for f in plain.weights if f in weights}
+        used = ToxicModel(lexicon, (), 0.0, 0.0).automaton()
+        exceptions = tuple(p for p in spared.exceptions if any(hits(used, [w]) for w in p.split()))
         model = ToxicModel(lexicon, exceptions, 0.0, 0.0)
 
         def strengths(batches):
@@ -190,20 +210,20 @@ def fit_toxic(texts: DataFrame, min_families: int = 6, min_odds: float = 20.0) -
             for b in batches:
                 ws = [fold(t.as_py()) for t in b.column("_text")]
                 yield pa.RecordBatch.from_pydict({"x": pa.array([strength(hits(a, w), len(w)) for w in ws], pa.float64()), "y": b.column("_y")})
-        got = held.select("_text", "_y").mapInArrow(strengths, "x double, y double").orderBy("x", "y").collect()
-        slope, offset = logistic(np.array([r.x for r in got]), np.array([r.y for r in got]))
+        got = sorted(held.select("_text", "_y").mapInArrow(strengths, "x double, y double").groupBy("x", "y").count().collect())
+        slope, offset = logistic(*(np.array([r[i] for r in got], float) for i in range(3)))
         return ToxicModel(lexicon, exceptions, slope, offset)
     finally:
         held.unpersist()
 
 
-def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-3, steps: int = 50) -> tuple[float, float]:
-    """Slope and offset of a logistic curve, by Newton's method."""
+def logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray, penalty: float = 1e-3, steps: int = 50) -> tuple[float, float]:
+    """Slope and offset of a logistic curve over points that occur ``n`` times each, by Newton's method."""
     z, b = np.column_stack([x, np.ones(len(x))]), np.zeros(2)
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(z @ b, -30, 30)))
-        w = p * (1 - p) + 1e-9
-        step = np.linalg.solve((z * w[:, None]).T @ z + penalty * np.eye(2), z.T @ (y - p) - penalty * b)
+        w = n * (p * (1 - p) + 1e-9)
+        step = np.linalg.solve((z * w[:, None]).T @ z + penalty * np.eye(2), z.T @ (n * (y - p)) - penalty * b)
         b = b + np.clip(step, -5, 5)
         if np.abs(step).max() < 1e-8:
             break
