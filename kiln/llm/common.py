@@ -5,6 +5,7 @@ White space everywhere means the six characters space, \\t, \\n, \\v, \\f and \\
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,6 +54,20 @@ def key_bitmap(keys: DataFrame, h: Column, bits: int) -> DataFrame:
                 .groupBy("_bm_word").agg(F.bit_or("_bm_bit").alias("_bm_mask")))
 
 
+def bitmap_array(bitmap: DataFrame, bits: int) -> np.ndarray:
+    """The bitmap as an array of ``bits / 64`` words, for tasks in Python."""
+    t = bitmap.toArrow()
+    out = np.zeros(bits // 64, np.int64)
+    out[t.column("_bm_word").to_numpy()] = t.column("_bm_mask").to_numpy()
+    return out
+
+
+def in_bitmap(words: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Whether the bitmap may hold each of the hashes ``h``."""
+    slot = h % (len(words) * 64)
+    return (words[slot // 64] >> (slot % 64)) & 1 == 1
+
+
 def marked(df: DataFrame, bitmap: DataFrame, h: Column, bits: int, name: str) -> DataFrame:
     """Add boolean ``name``: whether the bitmap may hold the hash. Never false
     for a member; true for some others, more of them the fuller the bitmap. The

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kiln.llm.common import frozen, key_bitmap, marked, table, text_of
+from kiln.llm.common import bitmap_array, frozen, in_bitmap, key_bitmap, table, text_of
 from kiln.llm.registry import query
 
 WINDOW = 16
@@ -24,6 +24,20 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(steps)
 
 
+def _repeats(digest: np.ndarray, near: int = 4) -> np.ndarray:
+    """How often each chunk has just been said, within the ``near`` chunks before
+    and so on back. It is part of the digest, so that a word said a hundred times
+    equals only what says it as often."""
+    n = len(digest)
+    back = np.zeros(n, np.int64)
+    for k in range(min(near, n - 1), 0, -1):
+        back[k:][digest[k:] == digest[:-k]] = k
+    out = np.zeros(n, np.int64)
+    for i in np.flatnonzero(back):
+        out[i] = out[i - back[i]] + 1
+    return out
+
+
 def chunks(text: str, mean: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(bounds, digests, words before each bound) of a text's chunks, in code
     points. A chunk ends where the gear hash of the last ``WINDOW`` code points
@@ -44,6 +58,7 @@ def chunks(text: str, mean: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(value, dtype=np.uint64)])
     digest = (total[bounds[1:]] - total[bounds[:-1]]) * _powers(_BASE_INVERSE, n)[bounds[:-1]]
     digest = (digest ^ (digest >> np.uint64(31))) * np.uint64(_BASE) + np.diff(bounds).astype(np.uint64)
+    digest += _repeats(digest).astype(np.uint64) * np.uint64(_BASE_INVERSE)
     space = (cp == 32) | ((cp >= 9) & (cp <= 13))
     starts = ~space
     starts[1:] &= space[:-1]
@@ -61,16 +76,23 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        F.col(id_col).alias("_id"), text.alias("_text"))
 
 
+def _long_runs(repeated: np.ndarray, words: np.ndarray, min_words: int) -> np.ndarray:
+    """Numbers of the chunks in runs of repeated ones that have enough words."""
+    edges = np.flatnonzero(np.diff(np.concatenate([[False], repeated, [False]]).astype(np.int8)))
+    total = np.concatenate([[0], np.cumsum(words)])
+    runs = [np.arange(a, z) for a, z in zip(edges[::2], edges[1::2]) if total[z] - total[a] >= min_words]
+    return np.concatenate(runs) if runs else np.empty(0, np.int64)
+
+
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mean: int = 20, min_words: int = 25,
-                   max_bits: int = 1 << 26) -> DataFrame:
+                   max_bits: int = 1 << 27) -> DataFrame:
     """Passages that occur in several documents: ``id_col``, start, end (code
     points, end exclusive), n_words, first_id (smallest id that has one of its
     chunks), removed (whether an earlier document has a chunk of it).
 
     Whole texts are cut into chunks; a chunk is repeated if documents with
     different keys have its digest. Spans are runs of neighbouring repeated
-    chunks whose different ones have ``min_words`` words or more, so that one word
-    said again and again is not a passage. They lose the part of a passage that
+    chunks with ``min_words`` words or more. They lose the part of a passage that
     lies before its first and after its last chunk bound, ``mean`` characters on
     average on each side; ``min_words`` is set so that passages of over 50 words
     are found.
@@ -79,9 +101,11 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows without an id are documents by their text; repeated rows are reported
     once. An empty table gives an empty result; other columns are ignored.
 
-    The first pass counts (digest, document) pairs with partial aggregation; in
-    the second only chunks that a bitmap of ``max_bits`` bits or less admits are
-    shuffled, to the digests by one join and then to their documents.
+    The first pass counts (digest, document) pairs with partial aggregation. The
+    second looks the chunks up in a bitmap of the repeated digests, ``max_bits``
+    bits at most, and shuffles only runs that may be long enough: to the digests
+    by one join, then to their documents. The fuller the bitmap, the more chunks
+    are shuffled; the join decides.
     """
     rows = _rows(docs, id_col, text_col)
 
@@ -95,34 +119,33 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     repeated = frozen(seen.groupBy("_d").agg(F.min("_doc").alias("_first"), F.max("_doc").alias("_last"))
                           .where("_first < _last").select("_d", "_first"))
     bits = max(1 << 20, min(max_bits, 1 << (8 * repeated.count() + 1).bit_length()))
+    bitmap = rows.sparkSession.sparkContext.broadcast(bitmap_array(key_bitmap(repeated, F.col("_d"), bits), bits))
     id_type = docs.schema[id_col].dataType
     whole = f"_d long, _doc long, _tk long, _id {id_type.simpleString()}, _i int, _start int, _end int, _words int"
 
     def located(batches):
+        bit = bitmap.value
         for b in batches:
             ids = b.column("_id")
             for i, (k, tk, t) in enumerate(zip(b.column("_doc").to_pylist(), b.column("_tk").to_pylist(), b.column("_text"))):
                 bounds, d, words = chunks(t.as_py(), mean)
-                n = len(d)
+                at = _long_runs(in_bitmap(bit, d), np.diff(words), min_words)
+                n = len(at)
                 if n:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(d), pa.array(np.full(n, k, np.int64)), pa.array(np.full(n, tk, np.int64)),
-                         ids.take(pa.array(np.full(n, i, np.int64))), pa.array(np.arange(n, dtype=np.int32)),
-                         *(pa.array(x.astype(np.int32)) for x in (bounds[:-1], bounds[1:], np.diff(words)))],
+                        [pa.array(d[at]), pa.array(np.full(n, k, np.int64)), pa.array(np.full(n, tk, np.int64)),
+                         ids.take(pa.array(np.full(n, i, np.int64))), *(pa.array(x.astype(np.int32)) for x in (
+                             at, bounds[:-1][at], bounds[1:][at], np.diff(words)[at]))],
                         names=["_d", "_doc", "_tk", "_id", "_i", "_start", "_end", "_words"])
-    places = rows.mapInArrow(located, whole)
-    h = F.col("_d")
-    maybe = marked(places, key_bitmap(repeated, h, bits), h, bits, "_maybe").where("_maybe").drop("_maybe")
-    hit = maybe.join(repeated, "_d").dropDuplicates(["_doc", "_tk", "_i"])
+    maybe = rows.mapInArrow(located, whole)
+    hit = maybe.join(repeated, "_d").repartition("_doc", "_tk").dropDuplicates(["_doc", "_tk", "_i"])
     order = Window.partitionBy("_doc", "_tk").orderBy("_i")
     runs = (hit.withColumn("_run", F.col("_i") - F.row_number().over(order))
-               .groupBy("_doc", "_tk", "_run", "_d")
-               .agg(F.min("_id").alias("_id"), F.min("_start").alias("_start"), F.max("_end").alias("_end"), F.sum("_words").alias("_all"),
-                    F.max("_words").alias("_own"), F.min("_first").alias("_first"))
                .groupBy("_doc", "_tk", "_run")
-               .agg(F.min("_id").alias(id_col), F.min("_start").alias("start"), F.max("_end").alias("end"), F.sum("_all").alias("n_words"),
-                    F.sum("_own").alias("_own"), F.min("_first").alias("first_id"), F.max(F.col("_first") < F.col("_doc")).alias("removed")))
-    return runs.where(F.col("_own") >= min_words).select(id_col, "start", "end", "n_words", "first_id", "removed")
+               .agg(F.min("_id").alias(id_col), F.min("_start").alias("start"), F.max("_end").alias("end"),
+                    F.sum("_words").alias("n_words"), F.min("_first").alias("first_id"),
+                    F.max(F.col("_first") < F.col("_doc")).alias("removed")))
+    return runs.where(F.col("n_words") >= min_words).select(id_col, "start", "end", "n_words", "first_id", "removed")
 
 
 @query("op3_substring_dedup")
