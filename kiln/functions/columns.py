@@ -41,7 +41,7 @@ def factor(df: DataFrame, c: str, name: str | None = None) -> DataFrame:
 def flag_contains(c, pattern: str, yes: str, no: str) -> Column:
     """F8: case-insensitive regex flag with two labels; null stays null."""
     col = _c(c)
-    return F.when(F.lower(col).rlike(pattern), F.lit(yes)).when(col.isNotNull(), F.lit(no))
+    return F.when(col.rlike(f"(?i){pattern}"), F.lit(yes)).when(col.isNotNull(), F.lit(no))
 
 
 def paste0(*cols) -> Column:
@@ -76,9 +76,14 @@ def split_wide(df: DataFrame, c: str, sep: str, n: int, prefix: str | None = Non
     return df.select("*", *out)
 
 
-def parse_date(c, fmt: str = "yyyy-MM-dd") -> Column:
-    """text to date (null when it does not parse)."""
-    return F.try_to_timestamp(_c(c), F.lit(fmt)).cast("date")
+#: Year, month, day in the forms that ``ymd`` takes.
+YMD = ("yyyy-M-d", "yyyy/M/d", "yyyy.M.d", "yyyy M d", "yyyyMMdd")
+
+
+def parse_date(c, formats=YMD) -> Column:
+    """text to date by the first of ``formats`` that fits (null if none does)."""
+    formats = [formats] if isinstance(formats, str) else formats
+    return F.coalesce(*[F.try_to_timestamp(F.trim(_c(c)), F.lit(f)) for f in formats]).cast("date")
 
 
 def date_labels(c) -> Column:
@@ -119,7 +124,7 @@ def sigmoid(c) -> Column:
 def dummies(df: DataFrame, cols, drop: bool = True, max_levels: int = 1000) -> DataFrame:
     """one-hot columns ``<col>_<value>`` in value order (pandas ``get_dummies``).
 
-    The levels are found by one distinct job (their number is checked against
+    The levels are found by one distinct job (no column may have more than
     ``max_levels``, since each becomes a column); then a single projection adds
     the indicator columns. Missing values give all zeros. For wide domains use
     ``pyspark.ml.feature.OneHotEncoder`` (sparse vectors) instead.
@@ -129,9 +134,10 @@ def dummies(df: DataFrame, cols, drop: bool = True, max_levels: int = 1000) -> D
                                for c in cols]).alias("a"))
             .select(F.explode("a").alias("kv")).select("kv.k", "kv.v")
             .where(F.col("v").isNotNull()).distinct())
-    levels = lv.limit(max_levels * len(cols) + 1).collect()
-    if len(levels) > max_levels * len(cols):
-        raise ValueError("too many levels for one-hot columns; use OneHotEncoder")
+    wide = [r.k for r in lv.groupBy("k").count().where(F.col("count") > max_levels).collect()]
+    if wide:
+        raise ValueError(f"too many levels for one-hot columns in {', '.join(sorted(wide))}; use OneHotEncoder")
+    levels = lv.collect()
     by_col: dict[str, list] = {c: [] for c in cols}
     for r in levels:
         by_col[r.k].append(r.v)

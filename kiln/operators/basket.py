@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kiln.functions.columns import split_wide, strip_chars
-from kiln.operators.relational import subset_pairs, top_n
+from kiln.operators.relational import top_n
 
 
 def set_label(arr) -> Column:
@@ -165,28 +165,40 @@ def prune_rules(r: DataFrame, by: str = "lift") -> DataFrame:
     """In ``by`` order, drop every rule whose item set (lhs + rhs) contains
     the item set of an earlier rule (an equal set counts).
 
-    Positions come from a distributed row index; containment pairs from the
-    keyed subset join (no all-pairs product); the drop is an anti join.
+    The order (``by`` descending, then the rule's text) is compared in the join of
+    each rule, keyed on its rarest item, with the rules that hold that item; only
+    the dropped rules leave the join. No ranking, no all-pairs product.
     """
-    from kiln.operators.indexing import row_index
-    ranked = row_index(r, _rule_order(by), name="_rank", start=1).withColumn(
-        "_set", F.array_sort(F.array_union("antecedent", "consequent")))
-    # key each candidate subset on its rarest item, so a very common item does
-    # not gather most candidate pairs in one join partition
-    freq = (ranked.select(F.explode("_set").alias("item")).groupBy("item")
-                  .agg(F.count(F.lit(1)).alias("n")))
-    pairs = subset_pairs(ranked.select("_rank", "_set"), "_rank", "_set", freq=freq)
-    redundant = pairs.where(F.col("sub_id") < F.col("sup_id")).select(F.col("sup_id").alias("_rank")).distinct()
-    return ranked.join(redundant, "_rank", "left_anti").drop("_set")
-
-
-def rules_table(r: DataFrame, lhs_parts: int = 2) -> DataFrame:
+    item_set = F.array_sort(F.array_union("antecedent", "consequent"))
+    order = F.struct((-F.col(by)).alias("by"), F.col("lhs"), F.col("rhs"))
+    own = r.select(item_set.alias("_set"), order.alias("_order"))
+    items = own.select("_set", "_order", F.explode("_set").alias("_item"))
+    # key each rule on its rarest item, so a very common item does not gather
+    # most candidate pairs in one join partition
+    freq = items.groupBy("_item").agg(F.count(F.lit(1)).alias("_n"))
+    keyed = (items.join(freq, "_item").groupBy("_order", "_set")
+                  .agg(F.min(F.struct("_n", "_item"))["_item"].alias("_item")))
+    first = keyed.select("_item", F.col("_set").alias("_sub"), F.col("_order").alias("_before"))
+    redundant = (items.join(first, "_item")
+                      .where((F.col("_before") < F.col("_order")) & (F.size(F.array_except("_sub", "_set")) == 0))
+                      .select(F.col("_order.lhs").alias("lhs"), F.col("_order.rhs").alias("rhs")).distinct())
+    return r.join(redundant, ["lhs", "rhs"], "left_anti")
+
+
+def rules_table(r: DataFrame, lhs_parts: int | None = None) -> DataFrame:
     """Rules as ``{a,b} => {c}`` text, cleaned of braces and quotes, split
-    into LHS_1..LHS_k and RHS."""
+    into LHS_1..LHS_k and RHS.
+
+    k is the length of the longest left-hand side (one aggregate) unless given; a
+    k that would lose items is refused.
+    """
+    longest = r.agg(F.max(F.size("antecedent"))).first()[0] or 1
+    if lhs_parts is not None and lhs_parts < longest:
+        raise ValueError(f"rules have up to {longest} items on the left, lhs_parts is {lhs_parts}")
     t = r.select(F.concat("lhs", F.lit(" => "), "rhs").alias("rules"), "support", "confidence", "lift", "count")
     clean = t.withColumn("_clean", strip_chars("rules", '{}"'))
     two = split_wide(clean, "_clean", "=>", 2, prefix="_side")
-    wide = split_wide(two, "_side_1", ",", lhs_parts, prefix="LHS")
+    wide = split_wide(two, "_side_1", ",", lhs_parts or longest, prefix="LHS")
     return wide.withColumnRenamed("_side_2", "RHS").drop("_clean", "_side_1")
 
 

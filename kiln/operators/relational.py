@@ -22,13 +22,6 @@ def _cols(x) -> list:
 
 # --- joins -----------------------------------------------------------------
 
-def _join_cond(l: DataFrame, r: DataFrame, by, null_safe: bool):
-    by = _cols(by)
-    if not null_safe:
-        return by
-    return reduce(lambda a, b: a & b, [l[c].eqNullSafe(r[c]) for c in by])
-
-
 def _join(l: DataFrame, r: DataFrame, by, how: str, null_safe: bool) -> DataFrame:
     by = _cols(by)
     if not null_safe:
@@ -73,10 +66,6 @@ def semi_join(l: DataFrame, r: DataFrame, by) -> DataFrame:
     return l.join(r.select(*_cols(by)), _cols(by), "left_semi")
 
 
-def anti_join(l: DataFrame, r: DataFrame, by) -> DataFrame:
-    return l.join(r.select(*_cols(by)), _cols(by), "left_anti")
-
-
 def embed(df: DataFrame, table: DataFrame, id_col: str, table_id: str | None = None,
           vector: str = "embedding") -> DataFrame:
     """Look up a vector per id. The planner chooses broadcast or sort-merge
@@ -238,8 +227,9 @@ def share(df: DataFrame, v: str, by=None, name: str = "proportion") -> DataFrame
     if by:
         # group totals by a (partial) hash aggregate joined back on the group
         # key: no window partition holds a whole group
+        # (rows without a group are a group)
         tot = df.groupBy(*_cols(by)).agg(F.sum(v).alias("_kiln_tot"))
-        return df.join(tot, _cols(by)).withColumn(name, F.col(v) / F.col("_kiln_tot")).drop("_kiln_tot")
+        return _join(df, tot, by, "left", null_safe=True).select(*df.columns, "_kiln_tot").withColumn(name, F.col(v) / F.col("_kiln_tot")).drop("_kiln_tot")
     tot = df.agg(F.sum(v).alias("_kiln_tot"))
     return df.crossJoin(F.broadcast(tot)).withColumn(name, F.col(v) / F.col("_kiln_tot")).drop("_kiln_tot")
 
@@ -256,19 +246,20 @@ def next_pairs(df: DataFrame, group, pos: str, v: str, name: str | None = None)
     return df.join(nxt, [*g, pos], "inner")
 
 
-def time_split(df: DataFrame, order: str, test_n: int, val_n: int, name: str = "split") -> DataFrame:
+def time_split(df: DataFrame, order: str, test_n: int, val_n: int, name: str = "split", tiebreak=()) -> DataFrame:
     """Last ``test_n`` rows are test, the ``val_n`` before them validation,
     the rest train. Only the last ``test_n + val_n`` order values are brought
-    together (a bounded top-k); the cut itself is a filter on thresholds.
+    together (a bounded top-k); the cut itself is a filter on thresholds. Where
+    ``order`` has ties, ``tiebreak`` columns make the cut exact.
     """
     k = test_n + val_n
-    last = (df.select(order).orderBy(F.col(order).desc()).limit(k)
-              .withColumn("_r", F.row_number().over(Window.orderBy(F.col(order).desc()))))
-    th = last.agg(F.min(F.when(F.col("_r") <= test_n, F.col(order))).alias("_t"),
-                  F.min(F.col(order)).alias("_v"))
+    at = F.struct(F.col(order), *[F.col(c) for c in _cols(tiebreak)])
+    last = (df.select(at.alias("_at")).orderBy(F.col("_at").desc()).limit(k)
+              .withColumn("_r", F.row_number().over(Window.orderBy(F.col("_at").desc()))))
+    th = last.agg(F.min(F.when(F.col("_r") <= test_n, F.col("_at"))).alias("_t"), F.min("_at").alias("_v"))
     return (df.crossJoin(F.broadcast(th))
-              .withColumn(name, F.when(F.col(order) >= F.col("_t"), "test")
-                                 .when(F.col(order) >= F.col("_v"), "validation")
+              .withColumn(name, F.when(at >= F.col("_t"), "test")
+                                 .when(at >= F.col("_v"), "validation")
                                  .otherwise("train"))
               .drop("_t", "_v"))
 
@@ -288,7 +279,7 @@ def number_within(df: DataFrame, key, order, name: str = "row_number", lag: dict
     order = _cols(order)
     idx = row_index(df, [*keys, *order], name="_kiln_g", start=0)
     starts = idx.groupBy(*keys).agg(F.min("_kiln_g").alias("_kiln_g0"))
-    out = (idx.join(starts, keys)
+    out = (_join(idx, starts, keys, "left", null_safe=True)
               .withColumn(name, (F.col("_kiln_g") - F.col("_kiln_g0") + 1).cast("int")))
     if lag:
         prev = idx.select((F.col("_kiln_g") + 1).alias("_kiln_g"),

@@ -125,12 +125,15 @@ def f14_rename(spark, sf_dir):
 
 
 @query("f15_to_date", """
-SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day_text,
-       CAST(strptime(strftime(o_orderdate, '%Y-%m-%d'), '%Y-%m-%d') AS DATE) AS order_date FROM orders
+SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d') WHEN 1 THEN strftime(o_orderdate, '%Y/%m/%d')
+            ELSE strftime(o_orderdate, '%Y%m%d') END AS day_text,
+       CAST(o_orderdate AS DATE) AS order_date FROM orders
 """)
 def f15_to_date(spark, sf_dir):
     o = Tables(spark, sf_dir).orders
-    txt = F.date_format("o_orderdate", "yyyy-MM-dd")
+    form = F.col("o_orderkey") % 3
+    txt = (F.when(form == 0, F.date_format("o_orderdate", "yyyy-MM-dd")).when(form == 1, F.date_format("o_orderdate", "yyyy/MM/dd"))
+            .otherwise(F.date_format("o_orderdate", "yyyyMMdd")))
     return o.select("o_orderkey", txt.alias("day_text"), C.parse_date(txt).alias("order_date"))
 
 
@@ -178,25 +181,17 @@ def f18_math(spark, sf_dir):
                     F.round(F.sqrt("windspeed"), 6).alias("sqrt_wind"))
 
 
-def _dummies_sql():
-    """Indicator columns only for levels present in the data (as get_dummies),
-    via DuckDB PIVOT; the view text is inlined because PIVOT resolves its
-    values before CTEs are visible."""
-    from kiln.sources.views import VIEW_SQL
-    h = VIEW_SQL["hourly"]
-    return f"""
-WITH a AS (PIVOT (SELECT ts_hour, 'hr_' || CAST(hr AS VARCHAR) AS k FROM ({h})) ON k USING COUNT(*) GROUP BY ts_hour),
-b AS (PIVOT (SELECT ts_hour, 'weathersit_' || CAST(weathersit AS VARCHAR) AS k FROM ({h})) ON k USING COUNT(*)
-      GROUP BY ts_hour)
-SELECT h.ts_hour, h.cnt, CAST(COLUMNS(ab.* EXCLUDE (ts_hour)) AS INTEGER)
-FROM ({h}) h JOIN (SELECT * FROM a JOIN b USING (ts_hour)) ab USING (ts_hour)
-"""
-
-
-@query("f22_dummies", _dummies_sql())
+@query("f22_dummies", """
+WITH levels AS (SELECT DISTINCT 'hr_' || CAST(hr AS VARCHAR) AS name, hr AS value FROM hourly
+                UNION ALL SELECT DISTINCT 'weathersit_' || CAST(weathersit AS VARCHAR), weathersit FROM hourly)
+SELECT ts_hour, cnt, name, CAST(value = CASE WHEN name LIKE 'hr%' THEN hr ELSE weathersit END AS INTEGER) AS flag FROM hourly, levels
+""")
 def f22_dummies(spark, sf_dir):
+    """The indicator columns, as many as the data has levels, shown as (name, flag) rows."""
     h = views(spark, sf_dir).hourly.select("ts_hour", "cnt", "hr", "weathersit")
-    return C.dummies(h, ["hr", "weathersit"])
+    wide = C.dummies(h, ["hr", "weathersit"])
+    flags = [F.struct(F.lit(c).alias("name"), F.col(c).alias("flag")) for c in wide.columns if c not in ("ts_hour", "cnt")]
+    return wide.select("ts_hour", "cnt", F.inline(F.array(*flags)))
 
 
 @query("f23_standardize", """

@@ -10,10 +10,7 @@ from kiln.operators.relational import embed, vector_sum
 from kiln.plans.registry import query
 from kiln.sources.tables import Tables
 
-# Test weights of the reference's network unit test (3 inputs, 2 hidden, 1 output)
-# -- fixed values --
-NET_W1 = [[0.1, -0.2], [0.4, 0.5], [-0.3, 0.2]]
-NET_W2 = [[0.3], [-0.1]]
+DIMS, HIDDEN = 64, 4
 NET_LR = 0.5
 CLASSES = 10
 MAX_NORM = 5.0
@@ -24,7 +21,13 @@ def _emb(spark, sf_dir):
     return Tables(spark, sf_dir).embeddings
 
 
-def affine_weights(n_in=64, n_out=CLASSES):
+def net_weights(n_in=DIMS, n_hidden=HIDDEN):
+    """Deterministic weights of the network queries, by a rule (multiples of 1/16)."""
+    w1 = [[(((i * 5 + j * 3) % 9) - 4) / 16 for j in range(n_hidden)] for i in range(n_in)]
+    return w1, [[(j * 2 - 3) / 16] for j in range(n_hidden)]
+
+
+def affine_weights(n_in=DIMS, n_out=CLASSES):
     """Deterministic weights for the affine query, by a rule (multiples of 1/8)."""
     w = [[(((i * 7 + j * 3) % 11) - 5) / 8 for j in range(n_out)] for i in range(n_in)]
     b = [(j - 5) / 4 for j in range(n_out)]
@@ -36,7 +39,6 @@ def _lit_list(vals):
 
 
 _E = "CAST(embedding AS DOUBLE[])"
-_SCORES = f"list_slice({_E}, 1, {CLASSES})"
 
 
 @query("f19_softmax", f"""
@@ -54,14 +56,14 @@ def f20_argmax(spark, sf_dir):
     return _emb(spark, sf_dir).select("vec_id", A.argmax("embedding").alias("argmax"))
 
 
-@query("f21_rescale", f"SELECT vec_id, list_transform({_E}, lambda x: ROUND(x * {1 / 255!r}, 6)) AS scaled FROM embeddings")
+@query("f21_rescale", f"SELECT vec_id, list_transform({_E}, lambda x: ROUND(x * {1 / 255!r}, 6) + 0.0) AS scaled FROM embeddings")
 def f21_rescale(spark, sf_dir):
     e = _emb(spark, sf_dir)
     return e.select("vec_id", A.round_array(A.rescale("embedding", 1 / 255), 6).alias("scaled"))
 
 
 _SUMS = f"""sums AS (
-  SELECT label, list(ROUND(s, 6) ORDER BY idx) AS embedding_sum, list(s ORDER BY idx) AS raw, MAX(n) AS n FROM (
+  SELECT label, list(ROUND(s, 6) + 0.0 ORDER BY idx) AS embedding_sum, list(s ORDER BY idx) AS raw, MAX(n) AS n FROM (
     SELECT label, idx, SUM(v) AS s, COUNT(*) AS n FROM (
       SELECT label, generate_subscripts(e, 1) AS idx, unnest(e) AS v FROM (SELECT label, {_E} AS e FROM embeddings))
     GROUP BY label, idx)
@@ -76,7 +78,7 @@ def g13_vector_sum(spark, sf_dir):
 
 @query("j8_embed", f"""WITH {_SUMS},
 cent AS (SELECT label, list_transform(raw, lambda x: x / n) AS centroid FROM sums)
-SELECT e.vec_id, e.label, list_transform(c.centroid, lambda x: ROUND(x, 6)) AS centroid
+SELECT e.vec_id, e.label, list_transform(c.centroid, lambda x: ROUND(x, 6) + 0.0) AS centroid
 FROM embeddings e LEFT JOIN cent c ON e.label = c.label
 """)
 def j8_embed(spark, sf_dir):
@@ -94,76 +96,79 @@ def _softmax_sql(arr):
             f"list_sum(list_transform({arr}, lambda y: exp(y - list_max({arr})))))")
 
 
-@query("q6_nll", f"""
-SELECT ROUND(AVG(-ln(p[label + 1])), 6) AS loss
-FROM (SELECT label, {_softmax_sql(_SCORES)} AS p FROM embeddings)
-""")
-def q6_nll(spark, sf_dir):
-    e = A.with_softmax(_emb(spark, sf_dir), F.slice("embedding", 1, CLASSES), "p")
-    return e.select(A.nll("p", "label").alias("l")).agg(F.round(F.avg("l"), 6).alias("loss"))
+def _affine_array(rounded=False):
+    w, b = affine_weights()
+    wl = "[" + ", ".join(_lit_list(col) for col in zip(*w)) + "]"
+    one = f"list_sum(list_transform(range(1, {DIMS + 1}), lambda i: e[i] * {wl}[j][i])) + {_lit_list(b)}[j]"
+    return f"list_transform(range(1, {CLASSES + 1}), lambda j: {f'ROUND({one}, 6) + 0.0' if rounded else one})"
+
 
+_PROBS = f"""scored AS (SELECT label, {_affine_array()} AS z FROM (SELECT label, {_E} AS e FROM embeddings)),
+probs AS (SELECT label, {_softmax_sql("z")} AS p FROM scored)"""
 
-def _affine_sql():
+
+def _probabilities(spark, sf_dir):
+    """Class probabilities of whole vectors under the fixed linear classifier."""
     w, b = affine_weights()
-    wl = "[" + ", ".join(_lit_list(col) for col in zip(*w)) + "]"
-    return (f"SELECT vec_id, list_transform(range(1, {CLASSES + 1}), lambda j: ROUND(list_sum(list_transform(range(1, 65), "
-            f"lambda i: e[i] * {wl}[j][i])) + {_lit_list(b)}[j], 6)) AS out "
-            f"FROM (SELECT vec_id, {_E} AS e FROM embeddings)")
+    z = _emb(spark, sf_dir).select("label", A.affine("embedding", w, b).alias("z"))
+    return A.with_softmax(z, "z", "p").select("label", "p")
 
 
-@query("q8_affine", _affine_sql())
+@query("q6_nll", f"WITH {_PROBS} SELECT ROUND(AVG(-ln(p[label + 1])), 6) AS loss FROM probs")
+def q6_nll(spark, sf_dir):
+    e = _probabilities(spark, sf_dir)
+    return e.select(A.nll("p", "label").alias("l")).agg(F.round(F.avg("l"), 6).alias("loss"))
+
+
+@query("q8_affine", f"SELECT vec_id, {_affine_array(True)} AS out FROM (SELECT vec_id, {_E} AS e FROM embeddings)")
 def q8_affine(spark, sf_dir):
     w, b = affine_weights()
     e = _emb(spark, sf_dir)
     return e.select("vec_id", A.round_array(A.affine("embedding", w, b), 6).alias("out"))
 
 
-def _net_sql_parts():
-    x = [f"CAST(embedding[{i + 1}] AS DOUBLE)" for i in range(3)]
-    h = []
-    for j in range(2):
-        z = f"(({x[0]} * {NET_W1[0][j]!r} + {x[1]} * {NET_W1[1][j]!r}) + {x[2]} * {NET_W1[2][j]!r})"
-        h.append(f"(1.0 / (1.0 + exp(-{z})))")
-    out = f"({h[0]} * {NET_W2[0][0]!r} + {h[1]} * {NET_W2[1][0]!r})"
-    return x, h, out
+def _net_sql():
+    w1, w2 = net_weights()
+    cols = "[" + ", ".join(_lit_list(col) for col in zip(*w1)) + "]"
+    hidden = (f"list_transform(range(1, {HIDDEN + 1}), lambda j: 1.0 / (1.0 + exp(-list_sum(list_transform(range(1, {DIMS + 1}), "
+              f"lambda i: e[i] * {cols}[j][i])))))")
+    return f"""net AS (SELECT vec_id, label, e, h, list_sum(list_transform(range(1, {HIDDEN + 1}), lambda j: h[j] * {_lit_list(r[0] for r in w2)}[j])) AS score
+  FROM (SELECT vec_id, label, e, {hidden} AS h FROM (SELECT vec_id, label, {_E} AS e FROM embeddings)))"""
 
 
-@query("q9_net_score", "SELECT vec_id, ROUND({}, 6) AS score FROM embeddings".format(_net_sql_parts()[2]))
+@query("q9_net_score", f"WITH {_net_sql()} SELECT vec_id, ROUND(score, 6) + 0.0 AS score FROM net")
 def q9_net_score(spark, sf_dir):
-    e = _emb(spark, sf_dir).select("vec_id", F.slice("embedding", 1, 3).alias("x"))
-    return N.net_score(e, "x", NET_W1, NET_W2).select("vec_id", F.round("score", 6).alias("score"))
+    e = _emb(spark, sf_dir).select("vec_id", "embedding")
+    return N.net_score(e, "embedding", *net_weights()).select("vec_id", F.round("score", 6).alias("score"))
 
 
 def _step_sql():
-    x, h, out = _net_sql_parts()
-    err = f"(CAST(label AS DOUBLE) / 10 - {out})"
-    cols = []
-    for i in range(3):
-        for j in range(2):
-            term = f"((({NET_W2[j][0]!r} * {err}) * {h[j]}) * (1.0 - {h[j]}))"
-            cols.append(("input_hidden", i, j, NET_W1[i][j], f"{term} * {x[i]}"))
-    for j in range(2):
-        cols.append(("hidden_output", j, 0, NET_W2[j][0], f"{err} * {h[j]}"))
-    sel = ", ".join(f"SUM({expr}) AS d{k}" for k, (_, _, _, _, expr) in enumerate(cols))
-    rows = " UNION ALL ".join(
-        f"SELECT '{layer}' AS layer, {i} AS i, {j} AS j, ROUND({w0!r} + {NET_LR!r} * d{k} / n, 6) AS weight FROM s"
-        for k, (layer, i, j, w0, _) in enumerate(cols))
-    return f"WITH s AS (SELECT {sel}, COUNT(*) AS n FROM embeddings) {rows}"
+    w1, w2 = net_weights()
+    flat = "[" + ", ".join(_lit_list(row) for row in w1) + "]"
+    out = _lit_list(r[0] for r in w2)
+    return f"""WITH {_net_sql()},
+err AS (SELECT e, h, CAST(label AS DOUBLE) / 10 - score AS err FROM net),
+hid AS (SELECT e, h, err, unnest(range(1, {HIDDEN + 1})) AS j FROM err),
+back AS (SELECT e, j, {out}[j] * err * h[j] * (1.0 - h[j]) AS t, err * h[j] AS d2 FROM hid),
+top AS (SELECT 'hidden_output' AS layer, j - 1 AS i, 0 AS j, {out}[j] + {NET_LR!r} * SUM(d2) / COUNT(*) AS w FROM back GROUP BY back.j),
+one AS (SELECT j, t, unnest(range(1, {DIMS + 1})) AS i, unnest(e) AS v FROM back),
+low AS (SELECT 'input_hidden' AS layer, i - 1 AS i, j - 1 AS j, {flat}[i][j] + {NET_LR!r} * SUM(t * v) / COUNT(*) AS w FROM one GROUP BY one.i, one.j)
+SELECT layer, CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j, ROUND(w, 6) + 0.0 AS weight FROM (FROM top UNION ALL FROM low)"""
 
 
 @query("q10_net_step", _step_sql())
 def q10_net_step(spark, sf_dir):
-    """One full-batch step: x = first three embedding values, target = label / 10."""
-    e = _emb(spark, sf_dir).select(F.slice("embedding", 1, 3).alias("x"), (F.col("label") / 10).alias("y"))
-    st = N.net_step(e, "x", "y", NET_W1, NET_W2, NET_LR)
+    """One full-batch step on whole vectors, target = label / 10."""
+    e = _emb(spark, sf_dir).select(F.col("embedding").alias("x"), (F.col("label") / 10).alias("y"))
+    st = N.net_step(e, "x", "y", *net_weights(), NET_LR)
     return st.select("layer", "i", "j", F.round("weight", 6).alias("weight"))
 
 
 @query("q12_clip_norm", f"""
 WITH ss AS (SELECT SUM(list_sum(list_transform({_E}, lambda x: x * x))) AS s FROM embeddings),
 r AS (SELECT {MAX_NORM!r} / (sqrt(s) + 1e-6) AS rate FROM ss)
-SELECT vec_id, CASE WHEN r.rate < 1 THEN list_transform({_E}, lambda x: ROUND(x * r.rate, 6))
-                    ELSE list_transform({_E}, lambda x: ROUND(x, 6)) END AS embedding
+SELECT vec_id, CASE WHEN r.rate < 1 THEN list_transform({_E}, lambda x: ROUND(x * r.rate, 6) + 0.0)
+                    ELSE list_transform({_E}, lambda x: ROUND(x, 6) + 0.0) END AS embedding
 FROM embeddings, r
 """)
 def q12_clip_norm(spark, sf_dir):
@@ -172,20 +177,19 @@ def q12_clip_norm(spark, sf_dir):
     return c.select("vec_id", A.round_array("embedding", 6).alias("embedding"))
 
 
-@query("q14_eval_classifier", f"""
+@query("q14_eval_classifier", f"""WITH {_PROBS}
 SELECT ROUND(AVG(-ln(p[label + 1])), 6) AS loss,
        ROUND(AVG(CASE WHEN list_position(p, list_max(p)) - 1 = label THEN 1.0 ELSE 0.0 END), 6) AS accuracy
-FROM (SELECT label, {_softmax_sql(_SCORES)} AS p FROM embeddings)
+FROM probs
 """)
 def q14_eval_classifier(spark, sf_dir):
-    e = A.with_softmax(_emb(spark, sf_dir), F.slice("embedding", 1, CLASSES), "p").select("label", "p")
-    return A.eval_classifier(e, "p", "label").select(F.round("loss", 6).alias("loss"),
-                                                      F.round("accuracy", 6).alias("accuracy"))
+    return A.eval_classifier(_probabilities(spark, sf_dir), "p", "label").select(
+        F.round("loss", 6).alias("loss"), F.round("accuracy", 6).alias("accuracy"))
 
 
 @query("q16_mean_pool", f"""
 SELECT vec_id, list_transform(range(0, {POOL}), lambda c: ROUND(list_sum(list_transform(range(0, len(e) // {POOL}),
-       lambda p: e[p * {POOL} + c + 1])) / (len(e) // {POOL}), 6)) AS pooled
+       lambda p: e[p * {POOL} + c + 1])) / (len(e) // {POOL}), 6) + 0.0) AS pooled
 FROM (SELECT vec_id, {_E} AS e FROM embeddings)
 """)
 def q16_mean_pool(spark, sf_dir):

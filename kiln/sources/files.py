@@ -12,19 +12,20 @@ from kiln.functions.columns import fmt2
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None,
-             sep: str = ",", header: bool = True) -> DataFrame:
+             sep: str = ",", header: bool = True, na: str = "NA") -> DataFrame:
     """Header CSV; declared ``schema`` (preferred) or inferred types.
-    Unquoted empty fields are missing values; CRLF line ends are accepted."""
+    Unquoted empty fields and ``na`` are missing values, as in R and pandas;
+    CRLF line ends are accepted."""
     r = (spark.read.option("header", header).option("sep", sep)
-              .option("nullValue", "").option("mode", "PERMISSIVE"))
+              .option("nullValue", na).option("mode", "PERMISSIVE"))
     r = r.schema(schema) if schema is not None else r.option("inferSchema", True)
     return r.csv(path)
 
 
 def read_tsv(spark: SparkSession, path: str, schema: StructType | str | None = None,
-             header: bool = True) -> DataFrame:
+             header: bool = True, na: str = "NA") -> DataFrame:
     """Tab-separated text with a header."""
-    return read_csv(spark, path, schema, sep="\t", header=header)
+    return read_csv(spark, path, schema, sep="\t", header=header, na=na)
 
 
 def write_delimited(df: DataFrame, path: str, sep: str = ",") -> None:

@@ -22,7 +22,7 @@ def _norm(v):
     if v is None:
         return None
     if isinstance(v, float):
-        return "nan" if math.isnan(v) else round(v, 6) + 0.0
+        return "nan" if math.isnan(v) else round(v, 6) if v or math.copysign(1, v) > 0 else "-0.0"
     if isinstance(v, decimal.Decimal):
         return round(float(v), 6)
     if isinstance(v, (dt.datetime, dt.date)):

@@ -105,6 +105,38 @@ def test_pruned_rules_subset_and_no_contained_pairs(spark, sf):
         assert not any(sets[i] <= sets[j] for i in range(j))
 
 
+def test_short_rule_prunes_longer_ones(spark):
+    """{a} => {b} lifts most, so the longer rules on a and b say nothing new."""
+    txns = [["a", "b", "c"]] * 4 + [["a", "b"]] * 8 + [["a", "c"]] * 3 + [["c"]] * 8 + [["d", "e", "f", "g"]] * 4
+    b = spark.createDataFrame([(i, t) for i, t in enumerate(txns)], "order_id int, items array<string>")
+    r = B.rules(b, 0.1, 0.3)
+    kept = [(set(x.antecedent) | set(x.consequent)) for x in B.prune_rules(r).collect()]
+    assert {"a", "b"} in kept and {"a", "b", "c"} not in kept
+    assert {3, 4} <= {len(x.antecedent) + 1 for x in r.collect()}
+
+
+def test_rules_table_keeps_every_item(spark):
+    b = spark.createDataFrame([(i, t) for i, t in enumerate([["a", "b", "c", "d"]] * 3 + [["x"]] * 3)], "order_id int, items array<string>")
+    r = B.rules(b, 0.1, 0.1, 3)
+    rows = B.rules_table(r).collect()
+    whole = [x for x in rows if x.rules == "{a,b,d} => {c}"]
+    assert [(x.LHS_1, x.LHS_2, x.LHS_3, x.RHS) for x in whole] == [("a", "b", "d", "c")]
+    with pytest.raises(ValueError):
+        B.rules_table(r, 2)
+
+
+def test_missing_groups_are_groups(spark):
+    df = spark.createDataFrame([(1, "a", 1.0), (2, None, 3.0), (3, None, 1.0)], "id int, g string, v double")
+    assert sorted(R.share(df, "v", by="g").select("id", "proportion").collect()) == [(1, 1.0), (2, 0.75), (3, 0.25)]
+    assert sorted(R.number_within(df, "g", "id").select("id", "row_number").collect()) == [(1, 1), (2, 1), (3, 2)]
+
+
+def test_time_split_counts_rows_through_ties(spark):
+    df = spark.range(40).selectExpr("id", "id div 4 AS t")
+    got = {r["split"]: r["count"] for r in R.time_split(df, "t", 6, 6, tiebreak="id").groupBy("split").count().collect()}
+    assert got == {"test": 6, "validation": 6, "train": 28}
+
+
 def test_rules_lhs_of_any_length_and_consequent_single(spark):
     txns = [["a", "b", "c"]] * 8 + [["a", "b"]] * 2 + [["c"]] * 5
     b = spark.createDataFrame([(i, t) for i, t in enumerate(txns)], "order_id int, items array<string>")

@@ -75,3 +75,22 @@ def test_cached_table_repairs_unreadable_folder(spark):
     d = tempfile.mkdtemp(prefix="kiln-cache-") + "/t"
     os.makedirs(d + "/_temporary")  # what a failed job leaves behind
     assert IO.cached_table(spark.range(7), d).count() == 7
+
+
+def test_na_is_missing(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x,y\n1,NA\nNA,b\n,c\n")
+    rows = IO.read_csv(spark, str(tmp_path / "a.csv")).collect()
+    assert [tuple(r) for r in rows] == [(1, None), (None, "b"), (None, "c")]
+
+
+def test_dates_in_several_forms(spark):
+    from kiln.functions import columns as C
+    df = spark.createDataFrame([("2020-01-05",), ("2020/1/5",), ("20200105",), ("2020.01.05",), ("x",), (None,)], "s string")
+    got = [r.d and r.d.isoformat() for r in df.select(C.parse_date("s").alias("d")).collect()]
+    assert got == ["2020-01-05"] * 4 + [None, None]
+
+
+def test_flag_ignores_case_of_the_pattern_too(spark):
+    from kiln.functions import columns as C
+    df = spark.createDataFrame([("Organic x",), ("plain",)], "s string")
+    assert [r.f for r in df.select(C.flag_contains("s", "Organic", "y", "n").alias("f")).collect()] == ["y", "n"]
