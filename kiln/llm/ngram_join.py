@@ -17,6 +17,7 @@ from kiln.llm.graph import components
 from kiln.llm.registry import query
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+_ODD = np.int64(-0x61C8864680B583EB)
 _STRIPES = 64
 
 
@@ -41,6 +42,29 @@ def class_of(s: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
+def parity(s: np.ndarray) -> bytes:
+    """Parities of the numbers of shingles in a power of two of bins, half as many
+    bins as shingles or more. Two sets differ by at least as many shingles as bins."""
+    bins = max(64, 1 << max(len(s) // 2 - 1, 1).bit_length())
+    at = np.bincount(((s >> np.uint64(20)) & np.uint64(bins - 1)).astype(np.int64), minlength=bins) & 1
+    return np.packbits(at.astype(np.uint8)).tobytes()
+
+
+def may_link(sigs: list[bytes], n: np.ndarray, percent: int) -> np.ndarray:
+    """Boolean matrix of the pairs whose sizes and parities allow a link. The
+    parities of a larger set are folded to as many bins as the smallest has."""
+    size = min(map(len, sigs))
+    words = np.stack([np.bitwise_xor.reduce(np.frombuffer(x, np.uint64).reshape(-1, size // 8), axis=0) for x in sigs])
+    differ = np.zeros((len(n), len(n)), np.int32)
+    for w in words.T:
+        differ += np.bitwise_count(w[:, None] ^ w[None, :])
+    both = n[:, None].astype(np.int64) + n[None, :]
+    ok = differ <= both - 2 * -(-percent * both // (100 + percent))
+    ok &= 100 * np.minimum(n[:, None], n[None, :]).astype(np.int64) >= percent * np.maximum(n[:, None], n[None, :])
+    np.fill_diagonal(ok, False)
+    return ok
+
+
 def prefix(s: np.ndarray, frequency: np.ndarray, percent: int) -> np.ndarray:
     """The shingles that come first, rare ones before frequent ones, as many as
     two sets must share one of if their Jaccard similarity reaches ``percent``."""
@@ -136,33 +160,34 @@ def _grouped(batches, key: str):
 
 
 def _classes(rows: DataFrame, k: int, sketch: int) -> tuple[DataFrame, np.ndarray]:
-    """((_id, _tk, c, n) of every document, how often shingles occur). The frequencies
+    """((_id, _tk, c, n, sig) of every document, how often shingles occur). The frequencies
     are counted over all documents in ``sketch`` counters by the shingle's hash; each task adds
     its own up and sends them in stripes, which are added up in parallel."""
     id_type = rows.schema["_id"].dataType.simpleString()
     step = sketch // _STRIPES
-    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary()]
-    names = ["_id", "_tk", "c", "n", "stripe", "counts"]
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+    names = ["_id", "_tk", "c", "n", "stripe", "counts", "sig"]
 
     def scan(batches):
         counts, id_kind = np.zeros(sketch, np.int32), None
         for b in batches:
-            c, n = [], []
+            c, n, sig = [], [], []
             for t in b.column("_text"):
                 s = shingles(t.as_py(), k)
                 c.append(class_of(s) if len(s) else None)
                 n.append(len(s))
+                sig.append(parity(s) if len(s) else None)
                 np.add.at(counts, (s & np.uint64(sketch - 1)).astype(np.int64), 1)
             id_kind = b.column("_id").type
             yield pa.RecordBatch.from_arrays([b.column("_id"), b.column("_tk"), pa.array(c, kinds[0]), pa.array(n, kinds[1]),
-                                              pa.nulls(len(c), kinds[2]), pa.nulls(len(c), kinds[3])], names=names)
+                                              pa.nulls(len(c), kinds[2]), pa.nulls(len(c), kinds[3]), pa.array(sig, kinds[4])], names=names)
         if id_kind is not None:
             for i in range(_STRIPES):
                 part = counts[i * step:(i + 1) * step]
                 if part.any():
                     yield pa.RecordBatch.from_arrays(
                         [pa.nulls(1, id_kind), pa.nulls(1, kinds[0]), pa.nulls(1, kinds[0]), pa.nulls(1, kinds[1]), pa.array([i], kinds[2]),
-                         pa.array([zlib.compress(part.tobytes(), 1)], kinds[3])], names=names)
+                         pa.array([zlib.compress(part.tobytes(), 1)], kinds[3]), pa.nulls(1, kinds[4])], names=names)
 
     def add(batches):
         total = {}
@@ -172,20 +197,21 @@ def _classes(rows: DataFrame, k: int, sketch: int) -> tuple[DataFrame, np.ndarra
                 total[i] = total.get(i, 0) + part.astype(np.int64)
         yield pa.RecordBatch.from_pydict({"stripe": pa.array(list(total), pa.int32()),
                                           "counts": pa.array([zlib.compress(v.tobytes(), 1) for v in total.values()], pa.binary())})
-    both = frozen(rows.select("_id", "_tk", "_text").mapInArrow(scan, f"_id {id_type}, _tk long, c long, n int, stripe int, counts binary"))
+    both = frozen(rows.select("_id", "_tk", "_text").mapInArrow(scan, f"_id {id_type}, _tk long, c long, n int, stripe int, counts binary, sig binary"))
     sums = (both.where("stripe IS NOT NULL").select("stripe", "counts").repartition(_STRIPES, "stripe")
                 .mapInArrow(add, "stripe int, counts binary").collect())
     frequency = np.zeros(sketch, np.int64)
     for r in sums:
         frequency[r.stripe * step:(r.stripe + 1) * step] = np.frombuffer(zlib.decompress(r.counts), np.int64)
-    return both.where("stripe IS NULL").select("_id", "_tk", "c", "n"), np.minimum(frequency, np.iinfo(np.int32).max).astype(np.int32)
+    return both.where("stripe IS NULL").select("_id", "_tk", "c", "n", "sig"), np.minimum(frequency, np.iinfo(np.int32).max).astype(np.int32)
 
 
-def _candidate_edges(rows: DataFrame, k: int, percent: int, frequency) -> DataFrame:
-    """Edges (a, b) between classes that share a shingle of their prefixes, as stars
-    around one of them. Classes are sorted by size in a shingle's list; where
-    the next is too large for the one before it, no pair across the gap can
-    link, and another star begins."""
+def _candidate_edges(rows: DataFrame, sets: DataFrame, k: int, percent: int, frequency, list_docs: int) -> DataFrame:
+    """Edges (a, b) that join the classes which share a shingle of their prefixes and
+    whose parities allow a link, as labels within a shingle's list. In a list,
+    classes are sorted by size; where the next is too large for the one before
+    it, no pair across the gap can link, and another list begins. Lists of more than
+    ``list_docs`` classes are joined as a whole."""
     def entries(batches):
         seen = set()  # a class once for each task: copies of a document add nothing
         freq = frequency.value
@@ -202,25 +228,46 @@ def _candidate_edges(rows: DataFrame, k: int, percent: int, frequency) -> DataFr
             if ps:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (ps, cs, ns)], names=["h", "c", "n"])
 
-    def stars(batches):
-        last = None
+    def members(batches):
+        held = None  # the last row, not yet known to have a follower: h, c, n, whether it opens a list, head
         for b in batches:
             h, c, n = (b.column(x).to_numpy() for x in ("h", "c", "n"))
+            if held is not None:
+                h, c, n = (np.concatenate([[x], y]) for x, y in zip(held, (h, c, n)))
+            new = np.ones(len(h), bool)
+            new[1:] = (h[1:] != h[:-1]) | (c[1:] != c[:-1])
+            h, c, n = h[new], c[new], n[new]
             if not len(h):
                 continue
-            if last is not None:
-                h, c, n = (np.concatenate([[x], y]) for x, y in zip(last[:3], (h, c, n)))
             opens = np.ones(len(h), bool)
             opens[1:] = (h[1:] != h[:-1]) | (100 * n[:-1].astype(np.int64) < percent * n[1:].astype(np.int64))
-            at = np.maximum.accumulate(np.where(opens, np.arange(len(h)), 0))
-            head = c[at]
-            if last is not None:
-                head[at == 0] = last[3]
-            last = (h[-1], c[-1], n[-1], head[-1])
-            own = head != c
-            yield pa.RecordBatch.from_arrays([pa.array(c[own]), pa.array(head[own])], names=["a", "b"])
+            if held is not None:
+                opens[0] = held[3]
+            head = c[np.maximum.accumulate(np.where(opens, np.arange(len(h)), 0))]
+            if held is not None and not held[3]:
+                head[:np.argmax(opens) if opens.any() else len(h)] = held[4]
+            shared = ~opens
+            shared[:-1] |= ~opens[1:]
+            held = h[-1], c[-1], n[-1], bool(opens[-1]), head[-1]
+            yield pa.RecordBatch.from_arrays([pa.array((h * _ODD ^ head)[:-1][shared[:-1]]), pa.array(c[:-1][shared[:-1]])], names=["run", "c"])
+        if held is not None and not held[3]:
+            yield pa.RecordBatch.from_arrays([pa.array([int(held[0] * _ODD ^ held[4])], pa.int64()), pa.array([int(held[1])], pa.int64())],
+                                             names=["run", "c"])
+
+    def joined(batches):
+        for t in _grouped(batches, "run"):
+            c, n = t.column("c").to_numpy(), t.column("n").to_numpy()
+            if len(c) <= list_docs:
+                label = smallest_reachable(may_link(t.column("sig").to_pylist(), n, percent), c)
+            else:
+                label = np.full(len(c), c.min())
+            own = label != c
+            if own.any():
+                yield pa.RecordBatch.from_arrays([pa.array(c[own]), pa.array(label[own])], names=["a", "b"])
     lists = rows.select("_text").mapInArrow(entries, "h long, c long, n int")
-    return lists.repartition("h").sortWithinPartitions("h", "n", "c").mapInArrow(stars, "a long, b long").distinct()
+    runs = lists.repartition("h").sortWithinPartitions("h", "n", "c").mapInArrow(members, "run long, c long")
+    return (runs.join(sets.select("c", "n", "sig"), "c").repartition("run").sortWithinPartitions("run", "c")
+                .mapInArrow(joined, "a long, b long").distinct())
 
 
 def _blocks(nodes: DataFrame, percent: int, block_docs: int, block_shingles: int) -> DataFrame:
@@ -265,8 +312,9 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: s
     gives an empty result; other columns are ignored.
 
     Documents with equal sets are one class (64-bit hash of the set). Classes that
-    share a shingle of their prefixes are joined to candidate components; only
-    the sets of classes in one are shuffled. Each component is multiplied in
+    share a shingle of their prefixes, and whose sizes and parities of shingles in bins
+    allow a link, are joined to candidate components; only the sets of classes
+    in one are shuffled. Each component is multiplied in
     blocks of at most ``block_docs`` classes and ``block_shingles`` shingles; a larger one in
     pairs of chunks whose sizes allow a link. Every pair that may link meets in a
     block and is counted exactly; blocks return components, never pairs.
@@ -276,16 +324,16 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: s
 
 
 def _component_rows(docs: DataFrame, k: int, percent: int, id_col: str, text_col: str, sketch: int = 1 << 20, block_docs: int = 4096,
-                    block_shingles: int = 1 << 21, salts: int = 32, max_bits: int = 1 << 26) -> DataFrame:
+                    block_shingles: int = 1 << 21, list_docs: int = 4096, salts: int = 32, max_bits: int = 1 << 26) -> DataFrame:
     """(_id, _tk, n, _key, component_id, n_links): with the hash of the text and the
     number of the component, null without a word."""
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("_id"), text_of(text_col).alias("_text")).withColumn("_tk", F.xxhash64("_text"))
     base, counts = _classes(rows, k, sketch)
     frequency = spark.sparkContext.broadcast(counts)
-    near = components(_candidate_edges(rows, k, percent, frequency))
-    sizes = base.where("c IS NOT NULL").groupBy("c").agg(F.count(F.lit(1)).alias("m"), F.first("n").alias("n"))
-    nodes = frozen(near.select(F.col("node").alias("c"), F.col("label").alias("comp")).join(sizes, "c"))
+    sizes = frozen(base.where("c IS NOT NULL").groupBy("c").agg(F.count(F.lit(1)).alias("m"), F.first("n").alias("n"), F.first("sig").alias("sig")))
+    near = components(_candidate_edges(rows, sizes, k, percent, frequency, list_docs))
+    nodes = frozen(near.select(F.col("node").alias("c"), F.col("label").alias("comp")).join(sizes.drop("sig"), "c"))
     placed = frozen(_blocks(nodes, percent, block_docs, block_shingles))
     bits = max(1 << 20, min(max_bits, 1 << (16 * nodes.count() + 1).bit_length()))
 

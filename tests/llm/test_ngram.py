@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from kiln.llm.graph import components
-from kiln.llm.ngram_join import block_links, jaccard_components, near_dedup, overlaps, shingles, smallest_reachable
+from kiln.llm.ngram_join import block_links, jaccard_components, may_link, near_dedup, overlaps, parity, shingles, smallest_reachable
 from tests.llm.conftest import dicts, table
 
 
@@ -83,7 +83,7 @@ def test_large_components_are_cut_into_pairs_of_chunks(spark):
     rows = _corpus(7)
     docs = table(spark, [(i, t, "s") for i, t in rows])
     want = sorted(brute(rows, 3, 70), key=repr)
-    assert _got(jaccard_components(docs, 3, 70, block_docs=6, sketch=64)) == want
+    assert _got(jaccard_components(docs, 3, 70, block_docs=6, sketch=64, list_docs=4)) == want
     assert _got(jaccard_components(docs, 3, 70, block_shingles=90)) == want
 
 
@@ -113,6 +113,15 @@ def test_products_count_shared_shingles(lists, dense_from):
                 assert got[i, j] == len(set(a.tolist()) & set(b.tolist()))
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 300), st.integers(1, 300)), min_size=2, max_size=8), st.integers(50, 95))
+def test_parities_let_every_link_pass(ranges, percent):
+    mix = np.random.default_rng(0).integers(0, 1 << 63, 700, dtype=np.uint64)
+    sets = [np.unique(mix[a:a + n]) for a, n in ranges]
+    links = block_links(sets, percent)
+    assert not (links & ~may_link([parity(s) for s in sets], np.array([len(s) for s in sets]), percent)).any()
+
+
 def test_labels_reach_along_chains():
     sets = [np.arange(i, i + 20, dtype=np.uint64) for i in range(0, 40, 2)]
     links = block_links(sets, 80)
