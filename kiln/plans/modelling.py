@@ -84,50 +84,48 @@ def _predict(est, spark, sf_dir):
 
 @query("m6_forest")
 def m6_forest(spark, sf_dir):
-    return _predict(M.forest(100, 10, seed=SEED), spark, sf_dir)
+    return _predict(M.forest(seed=SEED), spark, sf_dir)
 
 
 @query("m7_bagged_trees")
 def m7_bagged_trees(spark, sf_dir):
-    return _predict(M.bagged_trees(10, seed=SEED), spark, sf_dir)
+    return _predict(M.bagged_trees(seed=SEED), spark, sf_dir)
 
 
 @query("m8_boosted")
 def m8_boosted(spark, sf_dir):
-    return _predict(M.boosted(n=50, seed=SEED), spark, sf_dir)
+    return _predict(M.boosted(seed=SEED), spark, sf_dir)
 
 
-def _receipt_tree(spark, sf_dir):
-    """Receipts with customer fields and visit counts, value = amount * sales,
-    then a tree of value on the remaining columns."""
+def receipt_tree(spark, sf_dir):
+    """Receipts with customer fields and visit counts, value = amount * sales, and
+    a tree of value on the remaining columns, the amount among them."""
     v = views(spark, sf_dir)
     cr = R.natural_left_join(v.receipt, v.shopper)
     uc = R.count_by(cr, "customer_id")
     d = (cr.join(uc, "customer_id")
            .withColumn("value", (F.col("amount") * F.col("sales")).cast("double"))
-           .withColumn("log_month", F.month("log_month"))
-           .drop("item", "sales", "amount"))
-    model, feats = M.reg_tree(d, "value")
-    return d, model, feats
+           .drop("item", "sales"))
+    return d, M.reg_tree(d, "value", scratch_dir(spark, "tree"))
 
 
 @query("m9_reg_tree")
 def m9_reg_tree(spark, sf_dir):
-    d, model, _ = _receipt_tree(spark, sf_dir)
-    return model.transform(d).select("customer_id", "log_month", "value", "prediction")
+    d, tree = receipt_tree(spark, sf_dir)
+    return tree.predict(d).select("customer_id", "log_month", "value", "leaf", "prediction")
 
 
 @query("m10_tree_nodes")
 def m10_tree_nodes(spark, sf_dir):
-    _, model, _ = _receipt_tree(spark, sf_dir)
-    return M.tree_nodes(spark, model.stages[-1], scratch_dir(spark, "tree"))
+    _, tree = receipt_tree(spark, sf_dir)
+    return tree.table(spark)
 
 
 def _models(tr):
     sd, n = M.label_stats(tr, "label")
     return {"linear": M.ols(), "lasso": M.lasso(0.1), "ridge": M.ridge(0.5, sd, n), "elastic_net": M.enet(1.0, 0.5, sd),
-            "forest": M.forest(100, 10, seed=SEED), "bagged_trees": M.bagged_trees(10, seed=SEED),
-            "boosted": M.boosted(n=50, seed=SEED)}
+            "forest": M.forest(300, seed=SEED), "bagged_trees": M.bagged_trees(seed=SEED),
+            "boosted": M.boosted(seed=SEED)}
 
 
 @query("m11_leaderboard")
@@ -195,28 +193,33 @@ def m13_param_grid(spark, sf_dir):
          .cast("int").alias("spark_max_depth"))
 
 
+#: The grid that the registered search covers: every setting of it is tried.
+SEARCH = {"n_estimators": [10, 20], "max_features": ["auto", "sqrt"], "max_depth": [4, None], "min_samples_split": [2],
+          "min_samples_leaf": [1, 4], "bootstrap": [True]}
+
+
 @query("m14_random_search")
-def m14_random_search(spark, sf_dir, n_iter=1, folds=3):
-    """Settings sampled from the whole forest grid with 3-fold cross-validation;
-    one row per setting with its mean MSE, best flagged. The registered run
-    draws one setting (forests of up to 2,000 trees; the reference draws 100,
-    which ``random_search`` takes as ``n_iter``)."""
-    tr, _, _ = _split(spark, sf_dir)
-    tr = tr.cache()
-    grid = M.param_grid(spark, M.grid_lists())
-    cv, settings, maps = M.random_search(M.forest(seed=SEED), grid, n_iter, folds, SEED)
-    cvm = cv.fit(tr)
-    best = int(np.argmin(cvm.avgMetrics))
-    rows = [(int(s["n_estimators"]), s["max_features"], s["max_depth"], int(s["min_samples_leaf"]),
-             bool(s["bootstrap"]), float(m), i == best) for i, (s, m) in enumerate(zip(settings, cvm.avgMetrics))]
-    return spark.createDataFrame(rows, "n_estimators int, max_features string, max_depth int, min_samples_leaf int, "
-                                       "bootstrap boolean, mean_mse double, best boolean")
+def m14_random_search(spark, sf_dir, lists=None, n_iter=100, folds=3):
+    """Settings sampled from a grid with 3-fold cross-validation; one row for each
+    setting with its mean MSE, and for the best one the metrics of its refit on
+    the training and validation rows."""
+    tr, te, _ = _split(spark, sf_dir)
+    best, results = M.random_search(M.forest(seed=SEED), tr, M.param_grid(spark, lists or SEARCH), n_iter, folds, SEED)
+    least = min(r["mean_mse"] for r in results)
+    refit = {e.dataset: e for e in M.evaluate(
+        best.transform(tr).withColumn("dataset", F.lit("training")).unionByName(best.transform(te).withColumn("dataset", F.lit("validation"))),
+        by="dataset").collect()}
+    rows = [(int(s["n_estimators"]), s["max_features"], s["max_depth"], int(s["min_samples_leaf"]), bool(s["bootstrap"]), s["mean_mse"],
+             s["mean_mse"] == least, *((refit[d].mse if s["mean_mse"] == least else None) for d in ("training", "validation")))
+            for s in results]
+    return spark.createDataFrame(rows, "n_estimators int, max_features string, max_depth int, min_samples_leaf int, bootstrap boolean, "
+                                       "mean_mse double, best boolean, training_mse double, validation_mse double")
 
 
 @query("m15_importances")
 def m15_importances(spark, sf_dir):
     tr, _, feats = _split(spark, sf_dir)
-    return M.importances(spark, M.forest(100, 10, seed=SEED).fit(tr), feats)
+    return M.importances(spark, M.forest(300, seed=SEED).fit(tr), feats)
 
 
 @query("m16_membership_ols")
@@ -233,14 +236,18 @@ def m16_membership_ols(spark, sf_dir):
 
 @query("q11_net_train")
 def q11_net_train(spark, sf_dir, iters=10, batch=128, lr=0.7, hidden=15):
-    """Seeded batch training of the one-hidden-layer net on standardized hourly
-    features; losses per iteration (train and validation)."""
-    h = views(spark, sf_dir).hourly.select("ts_hour", "cnt", "temp", "hum", "windspeed")
+    """Seeded batch training of the one-hidden-layer net on the whole feature table
+    (one-hot codes and standardized numbers); losses per iteration (train and
+    validation). Each iteration is a step of its own over the stored batches; the
+    registered run makes ``iters`` of them."""
+    h = views(spark, sf_dir).hourly.select("ts_hour", "cnt", "temp", "hum", "windspeed", "mday", "hr", "weathersit")
     z, _ = standardize(h, ["cnt", "temp", "hum", "windspeed"])
-    d = z.select("ts_hour", F.array("temp", "hum", "windspeed").alias("x"), F.col("cnt").alias("y"))
+    wide = dummies(z, ["hr", "weathersit"])
+    feats = [c for c in wide.columns if c not in ("ts_hour", "cnt", "mday")]
+    d = wide.select("ts_hour", F.array(*[F.col(c).cast("double") for c in feats]).alias("x"), F.col("cnt").alias("y"))
     s = R.time_split(d, "ts_hour", 7 * 24, 10 * 24)
     rng = np.random.default_rng(SEED)
-    w1 = rng.normal(0.0, 3 ** -0.5, (3, hidden))
+    w1 = rng.normal(0.0, len(feats) ** -0.5, (len(feats), hidden))
     w2 = rng.normal(0.0, hidden ** -0.5, (hidden, 1))
     losses, _, _ = N.net_train(s.where(F.col("split") == "train"), "x", "y", w1, w2, iters, batch, lr, SEED,
                                val=s.where(F.col("split") == "validation"), order=["ts_hour"])
@@ -248,13 +255,17 @@ def q11_net_train(spark, sf_dir, iters=10, batch=128, lr=0.7, hidden=15):
 
 
 def _head_model(spark, sf_dir):
-    e = Tables(spark, sf_dir).embeddings
-    return M.train_head(e, "embedding", "label", 10, hidden=32, max_iter=100, seed=SEED)
+    """(held-out rows, model): the head fitted on four fifths of the vectors, by a
+    hash of their id."""
+    e = M.holdout(Tables(spark, sf_dir).embeddings, 0.2, SEED, "vec_id")
+    m = M.train_head(e.where("split = 'train'"), "embedding", "label", 10, hidden=32, max_iter=100, seed=SEED)
+    return M.head_features(e.where("split = 'test'"), "embedding"), m
 
 
 @query("q13_train_head")
 def q13_train_head(spark, sf_dir):
-    """Classifier head (hidden layer + softmax) on the frozen vectors."""
+    """Classifier head (hidden layer + softmax) on the frozen vectors, scored on
+    the held-out ones."""
     d, m = _head_model(spark, sf_dir)
     return m.transform(d).select("vec_id", "label", F.col("prediction").cast("int").alias("prediction"))
 
@@ -264,7 +275,7 @@ CLASS_NAMES = [f"class_{i}" for i in range(10)]
 
 @query("q15_predict_labels")
 def q15_predict_labels(spark, sf_dir, n=10):
-    """Predict and name the class of a seeded sample of rows."""
+    """Predict and name the class of a seeded sample of held-out rows."""
     d, m = _head_model(spark, sf_dir)
     p = M.predict_labels(m, d.select("vec_id", "label", "features"), CLASS_NAMES, n, SEED, key="vec_id")
     return p.select("vec_id", "label", "predicted", "predicted_name")
