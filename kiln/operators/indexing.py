@@ -121,24 +121,28 @@ def quantiles(df: DataFrame, cols, probs, num_partitions: int | None = None) ->
     each column, without holding a column's values in one task.
 
     The non-missing values of all columns are melted to (column, value) and
-    given one distributed row index in (column, value) order; per column the
-    two neighbouring positions of ``p * (n - 1)`` are picked by an equi-join
+    counted, with partial aggregation, so that a value that fills half a column
+    is one row from there on. A distributed running total over the distinct
+    values gives each its first position; per column the two neighbouring
+    positions of ``p * (n - 1)`` are looked up (columns x probabilities, broadcast)
     and interpolated. Returns (column, p, value).
     """
     spark = df.sparkSession
     cols = [cols] if isinstance(cols, str) else list(cols)
     melted = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"))
                                           for c in cols]))).where(F.col("value").isNotNull())
-    idx = row_index(melted, ["column", "value"], name="_pos", start=0, num_partitions=num_partitions)
-    stats = idx.groupBy("column").agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    counts = melted.groupBy("column", "value").agg(F.count(F.lit(1)).alias("_c"))
+    placed = prefix_sum(counts, ["column", "value"], "_c", name="_at", num_partitions=num_partitions)
+    stats = placed.groupBy("column").agg(F.min("_at").alias("_first"), F.sum("_c").alias("_n"))
     ps = spark.createDataFrame([(float(p),) for p in probs], "p double").coalesce(1)
-    want = (stats.crossJoin(F.broadcast(ps))
-                 .withColumn("_h", F.col("p") * (F.col("_n") - 1))
-                 .withColumn("_lo", F.col("_first") + F.floor("_h"))
-                 .withColumn("_hi", F.col("_first") + F.ceil("_h")))
-    lo = idx.select(F.col("_pos").alias("_lo"), F.col("value").alias("_vlo"))
-    hi = idx.select(F.col("_pos").alias("_hi"), F.col("value").alias("_vhi"))
+    h = F.col("p") * (F.col("_n") - 1)
+    want = (stats.crossJoin(F.broadcast(ps)).withColumn("_h", h)
+                 .select("column", "p", "_h", F.explode(F.array(F.col("_first") + F.floor("_h"), F.col("_first") + F.ceil("_h"))).alias("_pos")))
+    wanted = want.withColumnRenamed("column", "_w")
+    found = placed.join(F.broadcast(wanted), (F.col("column") == F.col("_w")) & (F.col("_at") <= F.col("_pos"))
+                        & (F.col("_pos") < F.col("_at") + F.col("_c")))
     frac = F.col("_h") - F.floor("_h")
-    return (want.join(lo, "_lo").join(hi, "_hi")
-                .select("column", "p", F.when(frac == 0, F.col("_vlo"))
-                        .otherwise((F.lit(1.0) - frac) * F.col("_vlo") + frac * F.col("_vhi")).alias("value")))
+    low, high = F.min("value").alias("_lo"), F.max("value").alias("_hi")
+    return (found.groupBy("column", "p", "_h").agg(low, high)
+                 .select("column", "p", F.when(frac == 0, F.col("_lo"))
+                         .otherwise((F.lit(1.0) - frac) * F.col("_lo") + frac * F.col("_hi")).alias("value")))

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kiln.operators.indexing import row_index
+from kiln.session import checkpoint_root
 
 
 def _cols(x) -> list:
@@ -268,29 +269,40 @@ def number_within(df: DataFrame, key, order, name: str = "row_number", lag: dict
     """``row_number()`` (1-based, int) and ``lag`` of columns within ``key`` in
     ``order``, proof against one key holding a large share of the rows.
 
-    Rows get one global position in (key, order) order from the distributed
-    row index - range partitions split a hot key's rows on the order columns -
-    so a key's rows are consecutive. Its first position comes from a hash
-    aggregate (partial, so a hot key costs nothing extra) and the previous row
-    is an equi-join on position - 1, spread evenly. ``lag`` maps a column to the
-    output name of its previous value (null on a key's first row).
+    Rows are range-partitioned on (key, order), which splits a hot key, stored
+    once, and numbered by a window inside (partition, key). Only a key that
+    continues from one partition into the next needs a correction: the count and
+    last row of its parts before, at most two rows for each partition, are
+    broadcast. ``lag`` maps a column to the output name of its previous value
+    (null on a key's first row). A null key is a key.
     """
-    keys = _cols(key)
-    order = _cols(order)
-    idx = row_index(df, [*keys, *order], name="_kiln_g", start=0)
-    starts = idx.groupBy(*keys).agg(F.min("_kiln_g").alias("_kiln_g0"))
-    out = (_join(idx, starts, keys, "left", null_safe=True)
-              .withColumn(name, (F.col("_kiln_g") - F.col("_kiln_g0") + 1).cast("int")))
-    if lag:
-        prev = idx.select((F.col("_kiln_g") + 1).alias("_kiln_g"),
-                          *[F.col(k).alias(f"_kiln_pk_{k}") for k in keys],
-                          *[F.col(c).alias(f"_kiln_pv_{c}") for c in lag])
-        out = out.join(prev, "_kiln_g", "left")
-        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_kiln_pk_{k}")) for k in keys])
-        for c, nm in lag.items():
-            out = out.withColumn(nm, F.when(same, F.col(f"_kiln_pv_{c}")))
-        out = out.drop(*[f"_kiln_pk_{k}" for k in keys], *[f"_kiln_pv_{c}" for c in lag])
-    return out.drop("_kiln_g", "_kiln_g0")
+    keys, order, lag = _cols(key), _cols(order), lag or {}
+    n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    checkpoint_root(df.sparkSession)
+    part = "_kiln_p"
+    tagged = df.repartitionByRange(n_parts, *keys, *order).withColumn(part, F.spark_partition_id()).checkpoint(eager=True)
+
+    def same(l, r):
+        return reduce(lambda a, b: a & b, [l[k].eqNullSafe(r[f"_kiln_k_{k}"]) for k in keys])
+    ends = tagged.groupBy(part).agg(F.min(F.struct(*keys)).alias("lo"), F.max(F.struct(*keys)).alias("hi"))
+    either = ends.select(part, F.explode(F.array_distinct(F.array("lo", "hi"))).alias("k"))
+    across = (either.groupBy("k").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+                    .select(*[F.col(f"k.{k}").alias(f"_kiln_k_{k}") for k in keys]))
+    pieces = (tagged.join(F.broadcast(across), same(tagged, across), "left_semi").groupBy(part, *keys)
+                    .agg(F.count(F.lit(1)).alias("_c"), F.max(F.struct(*order, *[F.col(c).alias(f"_v_{c}") for c in lag])).alias("_last")))
+    before = Window.partitionBy(*keys).orderBy(part)
+    fixes = pieces.select(F.col(part).alias("_kiln_q"), *[F.col(k).alias(f"_kiln_k_{k}") for k in keys],
+                          F.sum("_c").over(before.rowsBetween(Window.unboundedPreceding, -1)).alias("_kiln_add"),
+                          F.lag("_last").over(before).alias("_kiln_last"))
+    local = Window.partitionBy(part, *keys).orderBy(*order)
+    out = tagged.withColumn(name, F.row_number().over(local))
+    for c, nm in lag.items():
+        out = out.withColumn(nm, F.lag(c).over(local))
+    out = out.join(F.broadcast(fixes), (out[part] == fixes["_kiln_q"]) & same(out, fixes), "left")
+    for c, nm in lag.items():
+        out = out.withColumn(nm, F.when(F.col(name) == 1, F.col(f"_kiln_last._v_{c}")).otherwise(F.col(nm)))
+    return (out.withColumn(name, (F.col(name) + F.coalesce("_kiln_add", F.lit(0))).cast("int"))
+               .select(*df.columns, name, *lag.values()))
 
 
 def first_rows(df: DataFrame, n_rows: int, order) -> DataFrame:

@@ -90,7 +90,7 @@ WHERE order_id IN (SELECT order_id FROM shop_orders WHERE eval_set = 'prior')
 """)
 def j6_semi_join(spark, sf_dir):
     v = views(spark, sf_dir)
-    return R.semi_join(v.order_products, v.shop_orders.where(F.col("eval_set") == "prior"), "order_id")
+    return R.semi_join(v.order_products, v.marked_orders.where(F.col("eval_set") == "prior"), "order_id")
 
 
 # --- aggregations (G1-G12, G14-G16) ----------------------------------------------

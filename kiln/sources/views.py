@@ -33,6 +33,16 @@ def products(t: Tables) -> DataFrame:
     )
 
 
+def _eval_set():
+    return (F.when(F.col("o_orderstatus") == "F", "prior")
+             .when(F.col("o_orderstatus") == "O", "train").otherwise("test").alias("eval_set"))
+
+
+def marked_orders(t: Tables) -> DataFrame:
+    """Orders and their set, without the numbering that ``shop_orders`` adds."""
+    return t.orders.select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id"), _eval_set())
+
+
 def shop_orders(t: Tables) -> DataFrame:
     """Orders numbered per customer by date, with days since the previous one.
 
@@ -46,8 +56,7 @@ def shop_orders(t: Tables) -> DataFrame:
     return n.select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("user_id"),
-        F.when(F.col("o_orderstatus") == "F", "prior")
-         .when(F.col("o_orderstatus") == "O", "train").otherwise("test").alias("eval_set"),
+        _eval_set(),
         "order_number",
         F.datediff(F.to_date("o_orderdate"), F.to_date("_prev_date")).alias("days_since_prior_order"),
     )
@@ -103,7 +112,7 @@ def hourly(t: Tables) -> DataFrame:
 
 
 BUILDERS = {
-    "order_products": order_products, "products": products, "shop_orders": shop_orders,
+    "order_products": order_products, "products": products, "shop_orders": shop_orders, "marked_orders": marked_orders,
     "baskets_long": baskets_long, "receipt": receipt, "shopper": shopper, "hourly": hourly,
 }
 

@@ -227,3 +227,24 @@ def test_approximate_profiles_close_to_exact(spark, sf):
             assert abs(ap[c][k] - ex[c][k]) <= 0.01 * spread_
     sk = {r.skim_variable: r for r in P.skim(Tables(spark, sf).customer, exact=False, approx_distinct=True).collect()}
     assert sk["c_acctbal"].p0 is not None and sk["c_name"].n_unique > 0
+
+
+def test_numbering_of_null_and_spread_keys(spark):
+    """One customer with nine tenths of the rows over many partitions, and rows
+    without a customer, against a window."""
+    from pyspark.sql import Window
+    df = spark.range(3000).selectExpr("id", "CASE WHEN id % 10 < 8 THEN 7 WHEN id % 10 = 8 THEN id % 50 END AS k", "(id * 7919) % 3001 AS t")
+    w = Window.partitionBy("k").orderBy("t", "id")
+    want = sorted(df.select("id", F.row_number().over(w).alias("rn"), F.lag("t").over(w).alias("p")).collect())
+    got = R.number_within(df, "k", ["t", "id"], name="rn", lag={"t": "p"}).select("id", "rn", "p").collect()
+    assert sorted(got) == want
+
+
+def test_quantiles_of_hot_values(spark):
+    import numpy as np
+    from kiln.operators.indexing import quantiles
+    xs = [5.0] * 700 + [float(i) for i in range(201)] + [None] * 20
+    df = spark.createDataFrame([(x, 1.0 if x else None) for x in xs], "x double, y double")
+    got = {(r["column"], r.p): r.value for r in quantiles(df, ["x", "y"], [0.0, 0.1, 0.5, 0.9, 1.0]).collect()}
+    own = [x for x in xs if x is not None]
+    assert all(abs(got[("x", p)] - np.quantile(own, p)) < 1e-9 and got[("y", p)] == 1.0 for p in (0.0, 0.1, 0.5, 0.9, 1.0))
