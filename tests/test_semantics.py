@@ -209,3 +209,22 @@ def test_enet_matches_coordinate_descent(linear_data):
     sd, _ = M.label_stats(df, "label")
     w = M.enet(1.0, 0.5, sd).fit(df).coefficients.toArray()
     assert np.allclose(w, _cd_enet(X, y, 1.0, 0.5), atol=1e-3)
+
+
+@pytest.mark.parametrize("n, lanes, steps, epochs", [(101, 4, 3, 1), (101, 4, 3, 3), (53, 3, 2, 5), (30, 7, 2, 2), (5, 4, 3, 2)])
+def test_lane_batches_wrap_past_the_end(spark, n, lanes, steps, epochs):
+    """Against the loop over a running time index."""
+    from kiln.operators import sequence as S
+    ids = [i * 3 for i in range(n)]
+    size = n - 1
+    jump, iters = size // lanes, size // (lanes * steps)
+    want, k = [], 0
+    for epoch in range(epochs):
+        for it in range(iters):
+            for step in range(steps):
+                for lane in range(lanes):
+                    p = (lane * jump + k) % size
+                    want.append((epoch, it, lane, step, ids[p], ids[p + 1]))
+                k += 1
+    corpus = spark.createDataFrame([(i, ids[i], ids[i + 1] if i < size else None) for i in range(n)], "gpos long, token_id long, next_id long")
+    assert sorted(tuple(r) for r in S.lane_batches(corpus, lanes, steps, epochs).collect()) == sorted(want)
