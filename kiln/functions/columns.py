@@ -44,6 +44,12 @@ def flag_contains(c, pattern: str, yes: str, no: str) -> Column:
     return F.when(col.rlike(f"(?i){pattern}"), F.lit(yes)).when(col.isNotNull(), F.lit(no))
 
 
+def hash8(seed, *cols) -> Column:
+    """Eight hex digits of an md5 of a seed and the columns as text: a seeded draw
+    that any engine with md5 reproduces, whatever the partitioning."""
+    return F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), *[_c(c).cast("string") for c in cols])), 1, 8)
+
+
 def paste0(*cols) -> Column:
     """R ``paste0``: concatenation where a missing value prints as "NA"."""
     return F.concat(*[F.coalesce(_c(c).cast("string"), F.lit("NA")) for c in cols])

@@ -19,6 +19,7 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kiln.functions.columns import hash8
 from kiln.operators.relational import ranked
 
 SPARK_MAX_DEPTH = 30  # Spark's tree depth limit; deeper/unlimited settings are clamped
@@ -28,8 +29,8 @@ def holdout(df: DataFrame, frac: float = 0.2, seed: int = 0, id_col: str = "id",
             name: str = "split") -> DataFrame:
     """M1: seeded split by a hash of the row id: stable under repartitioning
     and recomputation (``randomSplit`` depends on partition layout)."""
-    u = F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.lit(1_000_000_000)) / F.lit(1e9)
-    return df.withColumn(name, F.when(u < frac, F.lit("test")).otherwise(F.lit("train")))
+    cut = f"{min(int(frac * 2 ** 32), 2 ** 32 - 1):08x}"
+    return df.withColumn(name, F.when(hash8(seed, id_col) < cut, F.lit("test")).otherwise(F.lit("train")))
 
 
 def assemble(df: DataFrame, cols, out: str = "features") -> DataFrame:

@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kiln.functions.columns import hash8
 from kiln.operators.indexing import row_index
 from kiln.session import checkpoint_root
 
@@ -366,19 +367,19 @@ def sample_n(df: DataFrame, n_rows: int, seed: int = 0, replace: bool = False,
 
     Without replacement: rows ordered by a seeded hash of ``key`` (default: all
     columns) and the first n kept - a bounded top-k, stable under
-    repartitioning. With replacement: n seeded random positions drawn in
-    ``spark.range`` and joined to the row positions of the table.
+    repartitioning. With replacement: n seeded positions, hashes of the draw's
+    number, joined to the row positions of the table.
     """
     if not replace:
         k = [F.col(c) for c in (_cols(key) if key else df.columns)]
-        return (df.withColumn("_h", F.xxhash64(*k, F.lit(seed)))
+        return (df.withColumn("_h", hash8(seed, *k))
                   .orderBy("_h", *k).limit(n_rows).drop("_h"))
     spark = df.sparkSession
     idx = row_index(df, order or df.columns, name="_pos", start=0)
     total = df.agg(F.count(F.lit(1)).alias("_n"))
     draws = (spark.range(n_rows).withColumnRenamed("id", "draw")
                   .crossJoin(F.broadcast(total))
-                  .withColumn("_pos", F.floor(F.rand(seed) * F.col("_n")).cast("long"))
+                  .withColumn("_pos", F.conv(hash8(seed, "draw"), 16, 10).cast("long") % F.col("_n"))
                   .drop("_n"))
     return draws.join(idx, "_pos").drop("_pos")
 

@@ -36,7 +36,10 @@ def _split(spark, sf_dir):
     return d.where(F.col("split") == "train"), d.where(F.col("split") == "test"), feats
 
 
-@query("m1_holdout")
+@query("m1_holdout", f"""
+SELECT ts_hour, cnt, CASE WHEN substr(md5('{SEED}:' || CAST(ts_hour AS VARCHAR)), 1, 8) < '{int(0.2 * 2 ** 32):08x}' THEN 'test'
+                          ELSE 'train' END AS split FROM hourly
+""")
 def m1_holdout(spark, sf_dir):
     h = views(spark, sf_dir).hourly.select("ts_hour", "cnt")
     return M.holdout(h, 0.2, SEED, "ts_hour")

@@ -434,13 +434,19 @@ def t7_loyal_users(spark, sf_dir):
                      "n_equal", "user_id", "order_id", "add_to_cart_order", desc=("n_equal",))
 
 
-@query("t8_sample_with_replacement")
+@query("t8_sample_with_replacement", """
+WITH numbered AS (SELECT *, ROW_NUMBER() OVER (ORDER BY ts_hour) - 1 AS pos, COUNT(*) OVER () AS n FROM hourly),
+draws AS (SELECT range AS draw, CAST('0x' || substr(md5('42:' || range), 1, 8) AS BIGINT) AS h FROM range(128))
+SELECT draws.draw, numbered.* EXCLUDE (pos, n) FROM draws JOIN numbered ON numbered.pos = draws.h % numbered.n
+""")
 def t8_sample_with_replacement(spark, sf_dir, n=128, seed=42):
     h = views(spark, sf_dir).hourly
     return R.sample_n(h, n, seed=seed, replace=True, order="ts_hour")
 
 
-@query("t9_sample_without_replacement")
+@query("t9_sample_without_replacement", """
+SELECT * FROM products ORDER BY substr(md5('7:' || product_id), 1, 8), product_id LIMIT 10
+""")
 def t9_sample_without_replacement(spark, sf_dir, n=10, seed=7):
     return R.sample_n(views(spark, sf_dir).products, n, seed=seed, key="product_id")
 

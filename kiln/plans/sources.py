@@ -52,24 +52,32 @@ def s5_cached_table(spark, sf_dir):
     return IO.cached_table(first, path)  # second call finds the table and reads it
 
 
-@query("s6_read_labelled_dir")
+@query("s6_read_labelled_dir", """
+SELECT 'cls=class_' || label AS label, CAST(ROW_NUMBER() OVER (ORDER BY 'class_' || label) - 1 AS INTEGER) AS class_index, true AS has_bytes
+FROM (SELECT DISTINCT label FROM embeddings)
+""")
 def s6_read_labelled_dir(spark, sf_dir):
-    """Vectors written into one folder per class, then scanned as files."""
+    """Vectors written into one folder per class, then scanned as files: the classes
+    of the files found (how many files a class has depends on the writer)."""
     path = scratch_dir(spark, "labelled")
     e = Tables(spark, sf_dir).embeddings
     (e.withColumn("cls", F.concat(F.lit("class_"), F.col("label").cast("string")))
       .write.mode("overwrite").partitionBy("cls").parquet(path))
-    return IO.read_labelled_dir(spark, path).select("label", "class_index", "length")
+    files = IO.read_labelled_dir(spark, path)
+    return files.select("label", "class_index", (F.col("length") > 0).alias("has_bytes")).distinct()
 
 
-@query("s7_save_load_model")
+@query("s7_save_load_model", """
+SELECT ts_hour, cnt, ROUND(temp * (SELECT regr_slope(cnt, temp) FROM hourly) + (SELECT regr_intercept(cnt, temp) FROM hourly), 6) AS prediction
+FROM hourly
+""")
 def s7_save_load_model(spark, sf_dir):
     h = views(spark, sf_dir).hourly
-    pipe = Pipeline(stages=[VectorAssembler(inputCols=["temp", "hum", "windspeed", "hr"], outputCol="features"),
+    pipe = Pipeline(stages=[VectorAssembler(inputCols=["temp"], outputCol="features"),
                             LinearRegression(featuresCol="features", labelCol="cnt", solver="normal")])
     path = scratch_dir(spark, "model")
     IO.save_model(pipe.fit(h), path)
-    return IO.load_model(path).transform(h).select("ts_hour", "cnt", "prediction")
+    return IO.load_model(path).transform(h).select("ts_hour", "cnt", F.round("prediction", 6).alias("prediction"))
 
 
 @query("s8_report", f"""

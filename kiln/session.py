@@ -2,22 +2,15 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings the library relies on for stable results; applied only where the
-# caller has not set them already (a cluster's own values win).
-_DEFAULTS = {
-    "spark.sql.session.timeZone": "UTC",
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-}
-
-
 def get_session(master: str | None = None, shuffle_partitions: int = 8,
                 app: str = "kiln") -> SparkSession:
     """Local/test session builder. On a cluster use the session you are given."""
@@ -26,6 +19,7 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
         b = b.master(master)
     b = (b.config("spark.ui.enabled", "false")
           .config("spark.ui.showConsoleProgress", "false")
+          .config("spark.sql.session.timeZone", "UTC")
           .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
           .config("spark.driver.memory", os.environ.get("KILN_DRIVER_MEMORY", "16g")))
     spark = b.getOrCreate()
@@ -35,22 +29,21 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the library's session settings (time zone UTC, AQE) if unset."""
-    for k, v in _DEFAULTS.items():
-        if k == "spark.sql.session.timeZone":
-            # results are compared in UTC; always pin it for this session
-            spark.conf.set(k, v)
-        elif spark.conf.get(k, None) is None:
-            spark.conf.set(k, v)
+    """Set the session's time zone to UTC, on which the dates in results depend.
+    Adaptive execution and its handling of skewed joins, on by default in Spark,
+    are left as the cluster sets them."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
 
 
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder named by the cluster in ``spark.checkpoint.dir``.
 
-    Only where the setting is absent (local tests) a private temporary folder
-    becomes the context's checkpoint directory (the setting itself cannot be
-    changed at run time); later calls find it through the context.
+    Only a local session may go without: a private temporary folder then becomes
+    the context's checkpoint directory (the setting itself cannot be changed at
+    run time) and is removed when Python ends; later calls find it through the
+    context. On a cluster a missing setting is an error, since executors do not
+    see the driver's disk.
     """
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None)
@@ -58,7 +51,10 @@ def checkpoint_root(spark: SparkSession) -> str:
         current = sc.getCheckpointDir()
         if current:  # <root>/<context id>, set by an earlier call
             return current.rstrip("/").rsplit("/", 1)[0]
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         d = tempfile.mkdtemp(prefix="kiln-ckpt-")
+        atexit.register(shutil.rmtree, d, ignore_errors=True)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return d.rstrip("/")
@@ -69,16 +65,9 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/kiln-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def spread(df, factor: int = 2):
-    """Round-robin ``df`` over ``factor`` x the cluster's cores when it has
-    fewer partitions than that (e.g. a file written as one row group scans in
-    one task). Heavy per-row work (tokenising whole texts) then uses every
-    core. A large input already has many more splits and is returned as is."""
-    target = factor * df.sparkSession.sparkContext.defaultParallelism
-    # only plain scans/projections are inspected: asking a plan with shuffles
-    # for its partitions would make adaptive execution run those stages now
-    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
-        return df
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+def spread(df):
+    """A scan whose files are too few to occupy the cluster, dealt to its cores.
+    For callers that read a table as it lies, such as a file of one row group; a
+    large table has more splits than this and is returned as is."""
+    target = 2 * df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df

@@ -7,4 +7,4 @@ that need whole-table facts (factor levels, one-hot levels, z-scores, global
 positions) do not, and are not offered here.
 """
 
-from kiln.streaming.rowwise import stream_parquet, run_to_memory  # noqa: F401
+from kiln.streaming.rowwise import stream_parquet, run_to_files  # noqa: F401

@@ -1,4 +1,4 @@
-"""File-source streams and a synchronous memory-sink runner for per-row work."""
+"""File-source streams and a file-sink runner for per-row work."""
 
 from __future__ import annotations
 
@@ -17,21 +17,16 @@ def stream_parquet(spark: SparkSession, path: str, schema, max_files_per_trigger
     return r.parquet(path)
 
 
-def run_to_memory(sdf: DataFrame, name: str, transform: Callable[[DataFrame], DataFrame] | None = None,
-                  checkpoint: str | None = None) -> DataFrame:
-    """Apply ``transform`` (per-row column work) to a stream, process everything
-    available into a memory table ``name`` and return that table.
+def run_to_files(sdf: DataFrame, path: str, transform: Callable[[DataFrame], DataFrame] | None = None,
+                 checkpoint: str | None = None) -> DataFrame:
+    """Apply ``transform`` (per-row column work) to a stream, write everything
+    available as parquet files to ``path`` and read them.
 
     The query's checkpoint lives in the shared checkpoint folder, so a restarted
     query resumes where it stopped.
     """
     spark = sdf.sparkSession
     out = transform(sdf) if transform else sdf
-    q = (out.writeStream.format("memory").queryName(name).outputMode("append")
-            .option("checkpointLocation", checkpoint or scratch_dir(spark, f"stream-{name}"))
-            .start())
-    try:
-        q.processAllAvailable()
-    finally:
-        q.stop()
-    return spark.table(name)
+    (out.writeStream.format("parquet").option("path", path).outputMode("append").trigger(availableNow=True)
+        .option("checkpointLocation", checkpoint or scratch_dir(spark, "stream")).start().awaitTermination())
+    return spark.read.schema(out.schema).parquet(path)

@@ -193,15 +193,15 @@ def test_quantiles_match_numpy_with_ties_and_nulls(spark):
         assert got[("b", p)] == pytest.approx(np.quantile(bb, p), abs=1e-12)
 
 
-def test_spread_only_touches_unshuffled_small_inputs(spark, sf):
+def test_spread_deals_a_small_scan_to_all_cores(spark, sf):
     from kiln.session import spread
     from kiln.sources.tables import Tables
     docs = Tables(spark, sf).documents.select("doc_id", "text")
     s = spread(docs)
     assert s.rdd.getNumPartitions() >= 2 * spark.sparkContext.defaultParallelism
     assert s.count() == docs.count()
-    shuffled = docs.groupBy("doc_id").count()
-    assert spread(shuffled) is shuffled
+    many = docs.repartition(4 * spark.sparkContext.defaultParallelism)
+    assert spread(many) is many
 
 
 def test_row_index_stable_across_recomputation(spark):

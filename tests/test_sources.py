@@ -4,12 +4,13 @@ labelled folders, streaming per-row work."""
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from kiln.functions.columns import strip_chars
 from kiln.sources import files as IO
 from kiln.sources.tables import Tables
-from kiln.streaming import run_to_memory, stream_parquet
+from kiln.streaming import run_to_files, stream_parquet
 
 MEMBERSHIP_CSV = "m1,m2,m3,mean\r\nA,,,1\r\nB,,,3\r\nA,B,,4\r\nA,B,C,9\r\n"
 
@@ -64,9 +65,8 @@ def test_stream_rowwise(spark, sf):
     src = tempfile.mkdtemp(prefix="kiln-stream-")
     e.select("event_id", "props").write.mode("overwrite").parquet(src + "/in")
     sdf = stream_parquet(spark, src + "/in", e.select("event_id", "props").schema, max_files_per_trigger=1)
-    out = run_to_memory(sdf, "kiln_stream_test",
-                        lambda d: d.select("event_id", strip_chars("props").alias("clean")),
-                        checkpoint=src + "/ckpt")
+    out = run_to_files(sdf, src + "/out", lambda d: d.select("event_id", strip_chars("props").alias("clean")),
+                       checkpoint=src + "/ckpt")
     assert out.count() == e.count()
     assert out.where(F.col("clean").contains("{")).count() == 0
 
@@ -77,6 +77,21 @@ def test_cached_table_repairs_unreadable_folder(spark):
     assert IO.cached_table(spark.range(7), d).count() == 7
 
 
+def test_a_cluster_needs_a_shared_folder():
+    """No private folder stands in for a missing setting outside of local mode."""
+    from types import SimpleNamespace
+    from kiln.session import checkpoint_root
+    here = []
+    def session(master, setting=None):
+        sc = SimpleNamespace(master=master, getCheckpointDir=lambda: None, setCheckpointDir=here.append)
+        return SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda k, d: setting))
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError):
+            checkpoint_root(session(master))
+    assert checkpoint_root(session("yarn", "hdfs:///x/")) == "hdfs:///x" and here == ["hdfs:///x/"]
+    assert checkpoint_root(session("local[4]")) == here[-1]
+
+
 def test_na_is_missing(spark, tmp_path):
     (tmp_path / "a.csv").write_text("x,y\n1,NA\nNA,b\n,c\n")
     rows = IO.read_csv(spark, str(tmp_path / "a.csv")).collect()
