@@ -349,10 +349,13 @@ def top_n(df: DataFrame, n_rows: int, wt: str) -> DataFrame:
     """Rows whose ``rank()`` by descending ``wt`` is at most ``n_rows`` (ties kept).
 
     The n-th largest weight is found by a bounded top-k and the table is
-    filtered against it - no global window. Missing weights never qualify.
+    filtered against it - no global window. Missing weights never qualify. The
+    top-k keeps all columns, so that both sides are one plan and an aggregate
+    below them is computed once.
     """
-    cut = (df.select(wt).where(F.col(wt).isNotNull()).orderBy(F.col(wt).desc())
-             .limit(n_rows).agg(F.min(wt).alias("_cut")))
+    row = F.struct(F.col(wt).alias("w"), *[F.col(c) for c in df.columns if c != wt])
+    cut = (df.where(F.col(wt).isNotNull()).orderBy(F.col(wt).desc())
+             .limit(n_rows).agg(F.min(row)["w"].alias("_cut")))
     return (df.crossJoin(F.broadcast(cut)).where(F.col(wt) >= F.col("_cut")).drop("_cut"))
 
 
