@@ -19,6 +19,7 @@ from kiln.llm.registry import query
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _ODD = np.int64(-0x61C8864680B583EB)
 _STRIPES = 64
+_FEW = 12
 
 
 def shingles(text: str, k: int) -> np.ndarray:
@@ -65,6 +66,28 @@ def may_link(sigs: list[bytes], n: np.ndarray, percent: int) -> np.ndarray:
     return ok
 
 
+def few_labels(c: list, n: list, sigs: list[bytes], percent: int) -> list:
+    """Labels of a short list, as ``smallest_reachable`` of ``may_link`` gives them."""
+    bits = 8 * min(map(len, sigs), default=0)
+    folded = []
+    for sig in sigs:
+        v, size = int.from_bytes(sig, "little"), 8 * len(sig)
+        while size > bits:
+            size //= 2
+            v = (v & ((1 << size) - 1)) ^ (v >> size)
+        folded.append(v)
+    label = list(c)
+    for i in range(1, len(c)):
+        for j in range(i):
+            if label[i] != label[j]:
+                both = n[i] + n[j]
+                if (100 * min(n[i], n[j]) >= percent * max(n[i], n[j])
+                        and (folded[i] ^ folded[j]).bit_count() <= both - 2 * -(-percent * both // (100 + percent))):
+                    old, new = max(label[i], label[j]), min(label[i], label[j])
+                    label = [new if x == old else x for x in label]
+    return label
+
+
 def prefix(s: np.ndarray, frequency: np.ndarray, percent: int) -> np.ndarray:
     """The shingles that come first, rare ones before frequent ones, as many as
     two sets must share one of if their Jaccard similarity reaches ``percent``."""
@@ -255,15 +278,36 @@ def _candidate_edges(rows: DataFrame, sets: DataFrame, k: int, percent: int, fre
                                              names=["run", "c"])
 
     def joined(batches):
-        for t in _grouped(batches, "run"):
-            c, n = t.column("c").to_numpy(), t.column("n").to_numpy()
-            if len(c) <= list_docs:
-                label = smallest_reachable(may_link(t.column("sig").to_pylist(), n, percent), c)
+        now, held = None, ([], [], [])
+        a, b = [], []
+
+        def close():
+            c, n, sig = held
+            if len(c) <= _FEW:
+                label = few_labels(c, n, sig, percent)
+            elif len(c) <= list_docs:
+                label = smallest_reachable(may_link(sig, np.array(n), percent), np.array(c)).tolist()
             else:
-                label = np.full(len(c), c.min())
-            own = label != c
-            if own.any():
-                yield pa.RecordBatch.from_arrays([pa.array(c[own]), pa.array(label[own])], names=["a", "b"])
+                label = [min(c)] * len(c)
+            for x, y in zip(c, label):
+                if x != y:
+                    a.append(x)
+                    b.append(y)
+        for batch in batches:
+            columns = [batch.column(x).to_pylist() for x in ("c", "n", "sig")]
+            runs = batch.column("run").to_numpy()
+            cuts = [0, *(np.flatnonzero(runs[1:] != runs[:-1]) + 1).tolist(), len(runs)]
+            for i, j in zip(cuts, cuts[1:]):
+                if i < j:
+                    if runs[i] != now:
+                        close()
+                        now, held = runs[i], ([], [], [])
+                    for x, y in zip(held, columns):
+                        x.extend(y[i:j])
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+            a, b = [], []
+        close()
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
     lists = rows.select("_text").mapInArrow(entries, "h long, c long, n int")
     runs = lists.repartition("h").sortWithinPartitions("h", "n", "c").mapInArrow(members, "run long, c long")
     return (runs.join(sets.select("c", "n", "sig"), "c").repartition("run").sortWithinPartitions("run", "c")

@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from kiln.llm.graph import components
-from kiln.llm.ngram_join import block_links, jaccard_components, may_link, near_dedup, overlaps, parity, shingles, smallest_reachable
+from kiln.llm.ngram_join import block_links, few_labels, jaccard_components, may_link, near_dedup, overlaps, parity, shingles, smallest_reachable
 from tests.llm.conftest import dicts, table
 
 
@@ -119,7 +119,10 @@ def test_parities_let_every_link_pass(ranges, percent):
     mix = np.random.default_rng(0).integers(0, 1 << 63, 700, dtype=np.uint64)
     sets = [np.unique(mix[a:a + n]) for a, n in ranges]
     links = block_links(sets, percent)
-    assert not (links & ~may_link([parity(s) for s in sets], np.array([len(s) for s in sets]), percent)).any()
+    sigs, n, ids = [parity(s) for s in sets], [len(s) for s in sets], list(range(50, 50 + len(sets)))
+    may = may_link(sigs, np.array(n), percent)
+    assert not (links & ~may).any()
+    assert few_labels(ids, n, sigs, percent) == smallest_reachable(may, np.array(ids)).tolist()
 
 
 def test_labels_reach_along_chains():
