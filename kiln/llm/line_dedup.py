@@ -12,8 +12,10 @@ _KEY, _DOC = ["_h1", "_h2"], ["_id", "_tk"]
 
 
 def line_key(line: Column) -> Column:
-    """The line without white space at its ends, A-Z in lower case."""
-    return F.translate(F.btrim(line, F.lit(" \t\n\x0b\x0c\r")), UPPER, LOWER)
+    """The line without white space at its ends, A-Z in lower case (``lower`` would
+    change other letters too, so it serves only lines of ASCII)."""
+    bare = F.btrim(line, F.lit(" \t\n\x0b\x0c\r"))
+    return F.when(F.length(bare) == F.octet_length(bare), F.lower(bare)).otherwise(F.translate(bare, UPPER, LOWER))
 
 
 def _occurrences(docs: DataFrame, id_col: str, text_col: str, salts: int) -> DataFrame:
@@ -38,9 +40,10 @@ def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     that a frequent line is spread over ``salts`` ranges, and sorted by document
     and position inside; the sorted rows are streamed once to count documents
     and to find the first occurrence. Rows of other keys are left out of the
-    second pass by a bitmap of fixed size.
+    second pass by a bitmap of fixed size. The hashes (36 bytes a line) are written
+    to the checkpoint folder, so that texts are read once.
     """
-    occ = _occurrences(docs, id_col, text_col, salts)
+    occ = frozen(_occurrences(docs, id_col, text_col, salts))
     stream = Window.partitionBy(*_KEY, "_salt").orderBy(*_DOC, "_pos")
     doc = F.struct(*_DOC)
     ranged = (occ.repartitionByRange(*_KEY, "_salt")
