@@ -32,6 +32,7 @@ _BOILER_WORDS = frozenset("ad ads advert adverts advertisement advertising spons
                           "menu breadcrumb breadcrumbs header masthead footer sidebar aside cookie cookies consent notice alert "
                           "popup modal newsletter subscribe signup share sharing social comment comments commentlist respond "
                           "replies reply disqus related recommended widget pagination pager search login form skip".split())
+_HEADERS = frozenset(("header", "masthead"))
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
                     r"|<(?P<end>/)?(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']+|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)"
                     r"|</?[a-zA-Z][^>]*(?:>|\Z)|(?P<text>[^<]+|<)", re.S)
@@ -69,8 +70,9 @@ def _contexts(tag: str, attrs: str) -> tuple[frozenset, bool]:
 
 def parse(page: str) -> tuple[list[Block], list[tuple[str, int]], dict[int, tuple]]:
     """(blocks, events, elements) of a page. An event is a tag's name or a piece
-    of text of a block ("", block); elements has (name, contexts) by number."""
-    blocks, events, elements = [], [], {}
+    of text of a block ("", block); elements has (name, contexts, whether an
+    article or a main heading lies inside) by number."""
+    blocks, events, elements, holders = [], [], {}, set()
     stack: list[tuple[int, str, frozenset, bool]] = []  # number, name, contexts, hidden
     block, raw, pos = None, None, 0
 
@@ -118,6 +120,8 @@ def parse(page: str) -> tuple[list[Block], list[tuple[str, int]], dict[int, tupl
             if tag in _VOID:
                 continue
             names, hidden = _contexts(tag, m["attrs"])
+            if tag in _MAIN or tag == "h1":
+                holders.update(e[0] for e in stack)
             elements[len(elements)] = (tag, names)
             stack.append((len(elements) - 1, tag, names, hidden or bool(stack) and stack[-1][3]))
         elif m["text"] is not None and not (stack and stack[-1][3]):
@@ -132,7 +136,7 @@ def parse(page: str) -> tuple[list[Block], list[tuple[str, int]], dict[int, tupl
             if any(e[1] == "a" for e in stack):
                 block.linked += len(text.split())
             events.append(("", len(blocks) - 1))
-    return blocks, events, elements
+    return blocks, events, {n: (*e, n in holders) for n, e in elements.items()}
 
 
 @dataclass(frozen=True)
@@ -149,16 +153,21 @@ DEFAULT = PageModel({"?": -1.0, "a": -2.0, "li": -1.5}, frozenset())
 
 
 def _is_boiler(block: Block, elements: dict, model: PageModel) -> bool:
+    """Whether a block lies in an element without main text, by the name of one
+    around it, by its class, id or role (unless an article or main heading lies
+    inside: then it describes the page), or by the contexts learned. An article's
+    own header holds its title."""
     in_main = False
     for n in block.path:
-        tag, names = elements[n]
-        words = names - {f"<{tag}>"}
-        if tag in _MAIN or "main" in words:
+        tag, names, holds = elements[n]
+        words = names & _BOILER_WORDS
+        if tag in _MAIN:
             in_main = True
-            continue
-        if tag in _BOILER_TAGS or (tag == "header" and not in_main) or words & _BOILER_WORDS:
+        elif tag in _BOILER_TAGS or (tag == "header" and not in_main):
+            return True
+        elif in_main and words - _HEADERS:
             return True
-        if not in_main and names & model.boiler:
+        elif not in_main and not holds and (words or names & model.boiler):
             return True
     return False
 
@@ -209,7 +218,7 @@ def page_counts(page: str) -> Counter | None:
     """Words and tags inside and outside the article of a page that marks one
     (article or main element): (kind, name, inside) -> number. None without."""
     blocks, events, elements = parse(page)
-    if not any(t in _MAIN for t, _ in elements.values()):
+    if not any(e[0] in _MAIN for e in elements.values()):
         return None
     out, inside = Counter(), 0
     for tag, b in events:

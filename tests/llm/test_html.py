@@ -35,6 +35,14 @@ def test_boilerplate_goes_without_an_article_element():
     assert main_text(page) == "A & B\n\nFirst paragraph of the text… goes on.\n\nSecond one.\n\npoint one\n\npoint two\n\nLast words."
 
 
+def test_classes_that_describe_the_page_are_no_boilerplate():
+    page = """<body class="home has-sidebar"><div class="layout with-sidebar"><header class="site-header">Our site</header>
+    <article class="post"><header class="entry-header"><h1>Title of it</h1></header><p>All of the text.</p>
+    <div class="share-buttons">Share this</div></article><div class="sidebar"><p>Most read of all these days</p></div></div></body>"""
+    assert main_text(page) == "Title of it\n\nAll of the text."
+    assert main_text(page.replace("article", "div")) == "All of the text."
+
+
 def test_odd_pages():
     assert main_text("") == main_text("<script>let x") == main_text("<!-- never closed") == main_text("<nav>only a menu</nav>") == ""
     assert main_text("plain text") == "plain text"
