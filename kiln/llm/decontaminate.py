@@ -170,7 +170,7 @@ class Index:
 
 
 def mark_leaks(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
-               segment: int = 96, error: float = 0.07, block_chars: int = 1_000_000, name: str = "leaks") -> DataFrame:
+               segment: int = 64, error: float = 0.07, block_chars: int = 1_000_000, name: str = "leaks") -> DataFrame:
     """``docs`` with an array ``name`` of (item_id, segment, start, end, edits):
     segments of benchmark items found in the whole text, with offsets in code
     points, end exclusive.
