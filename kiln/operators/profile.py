@@ -129,79 +129,38 @@ def histograms(df: DataFrame, cols, bins: int = 10) -> DataFrame:
                         F.coalesce("n", F.lit(0)).alias("n")))
 
 
-def pretty_breaks(lo: float, hi: float, n: int = 5, min_n: int | None = None,
-                  shrink: float = 0.75, high_u_bias: float = 1.5) -> list[float]:
-    """R ``pretty``: about n+1 equally spaced round values covering [lo, hi]."""
-    min_n = n // 3 if min_n is None else min_n
-    u5_bias = 0.5 + 1.5 * high_u_bias
-    eps = 1e-10
-    dx = hi - lo
-    if dx == 0 and hi == 0:
-        cell, small = 1.0, True
-    else:
-        cell = max(abs(lo), abs(hi))
-        u = 1 + (1 / (1 + high_u_bias) if u5_bias >= 1.5 * high_u_bias + 0.5 else 1.5 / (1 + u5_bias))
-        u *= max(1, n) * 2.220446049250313e-16
-        small = dx < cell * u * 3
-    if small:
-        if cell > 10:
-            cell = 9 + cell / 10
-        cell *= shrink
-        if min_n > 1:
-            cell /= min_n
-    else:
-        cell = dx
-        if n > 1:
-            cell /= n
-    if cell < 20 * 2.2250738585072014e-308:
-        cell = 20 * 2.2250738585072014e-308
-    base = 10.0 ** math.floor(math.log10(cell))
-    unit = base
-    if 2 * base - cell < high_u_bias * (cell - unit):
-        unit = 2 * base
-        if 5 * base - cell < u5_bias * (cell - unit):
-            unit = 5 * base
-            if 10 * base - cell < high_u_bias * (cell - unit):
-                unit = 10 * base
-    ns = math.floor(lo / unit + eps)
-    nu = math.ceil(hi / unit - eps)
-    while ns * unit > lo + eps * unit:
-        ns -= 1
-    while nu * unit < hi - eps * unit:
-        nu += 1
-    k = int(0.5 + nu - ns)
-    if k < min_n:
-        k = min_n - k
-        if ns >= 0:
-            nu += k // 2
-            ns -= k // 2 + k % 2
-        else:
-            ns -= k // 2
-            nu += k // 2 + k % 2
-    return [round((ns + i) * unit, 12) for i in range(int(nu - ns) + 1)]
+# A step is 1, 2, 5 or 10 times a power of ten; each serves up to
+# this ratio of the wanted width to the power.
+_STEPS = ((1, 1.4), (2, 2.8), (5, 7.0), (10, math.inf))
+
+
+def pretty_breaks(lo: float, hi: float, n: int = 5) -> list[float]:
+    """R ``pretty``: about n + 1 equally spaced round values that cover [lo, hi].
+    A range without width gets one step around its value."""
+    size = max(abs(lo), abs(hi)) or 1.0
+    narrow = hi - lo < 1e-14 * size
+    width = 0.75 * (size if size <= 10 else 9 + size / 10) if narrow else (hi - lo) / max(1, n)
+    power = 10.0 ** math.floor(math.log10(width))
+    step = power * next(u for u, most in _STEPS if width / power <= most)
+    first, last = math.floor(lo / step + 1e-10), math.ceil(hi / step - 1e-10)
+    return [round(i * step, 12) for i in range(first, max(last, first + 1) + 1)]
 
 
 def hist_pretty(df: DataFrame, c: str) -> DataFrame:
     """R ``hist`` counts: Sturges class count, ``pretty`` breaks, bins
     closed on the right with the lowest break included.
 
-    Only (n, min, max) reach the driver; the breaks go back as a literal array
-    and the binning is a native expression plus one grouped count.
+    Only (n, min, max) reach the driver; the bin of a value follows by
+    arithmetic, since the breaks are equally spaced, and one grouped count.
     """
     st = df.agg(F.count(c).alias("n"), F.min(c).alias("lo"), F.max(c).alias("hi")).first()
     if not st or st.n == 0:
         return df.sparkSession.createDataFrame([], "bin int, lower double, upper double, n bigint")
-    nclass = math.ceil(math.log2(st.n) + 1)
-    brks = pretty_breaks(float(st.lo), float(st.hi), nclass, min_n=1)
-    # R's hist widens the breaks by a small fuzz: the lowest down, the others up
-    diffs = sorted(b - a for a, b in zip(brks, brks[1:]))
-    fuzz = 1e-7 * (diffs[len(diffs) // 2] if len(diffs) % 2 else
-                   (diffs[len(diffs) // 2 - 1] + diffs[len(diffs) // 2]) / 2) if diffs else 0.0
-    fuzzy = [brks[0] - fuzz] + [b + fuzz for b in brks[1:]]
-    arr = F.array(*[F.lit(float(b)) for b in fuzzy])
-    x = F.col(c).cast("double")
-    # bin i (1-based) holds breaks[i-1] < x <= breaks[i], the lowest break included
-    idx = F.greatest(F.lit(1), F.size(F.filter(arr, lambda b: b < x)))
+    brks = pretty_breaks(float(st.lo), float(st.hi), math.ceil(math.log2(st.n) + 1))
+    step = brks[1] - brks[0]
+    # R's hist widens the breaks by a small fuzz
+    at = F.ceil((F.col(c).cast("double") - brks[0]) / step - 1e-7)
+    idx = F.greatest(F.lit(1), F.least(F.lit(len(brks) - 1), at))
     counted = (df.where(F.col(c).isNotNull()).select(idx.cast("int").alias("bin"))
                  .groupBy("bin").agg(F.count(F.lit(1)).alias("n")))
     grid = df.sparkSession.createDataFrame(
