@@ -145,7 +145,8 @@ def test_pretty_breaks_known_values():
     assert P.pretty_breaks(1, 10, 5) == [0, 2, 4, 6, 8, 10]
     assert P.pretty_breaks(0, 100, 5) == [0, 20, 40, 60, 80, 100]
     assert P.pretty_breaks(0, 1, 5) == [0, 0.2, 0.4, 0.6, 0.8, 1.0]
-    assert P.pretty_breaks(-3.2, 7.9, 4) == [-5, 0, 5, 10]
+    assert P.pretty_breaks(-3.2, 7.9, 4) == [-4, -2, 0, 2, 4, 6, 8]
+    assert P.pretty_breaks(-3.2, 7.9, 3) == [-5, 0, 5, 10]
     assert P.pretty_breaks(17, 61, 7) == [15, 20, 25, 30, 35, 40, 45, 50, 55, 60, 65]
     assert P.pretty_breaks(5, 5)[0] <= 5 <= P.pretty_breaks(5, 5)[-1] and len(P.pretty_breaks(0, 0)) == 2
 
