@@ -46,7 +46,7 @@ def _draw(seed: str, id_col: str):
 
 
 def mix_plan(docs: DataFrame, weights=(3, 1, 2), share: float = 1.5, max_epochs: int = 2, seed: str = "mix",
-             id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> tuple[DataFrame, DataFrame]:
+             id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> tuple[DataFrame, DataFrame]:
     """(sized, plan): the documents as (_id, source, size, _draw), and per source
     source_size, target, whole (repetitions of every document) and the draw up to
     which documents are taken once more (_cut, null for none).
@@ -63,12 +63,11 @@ def mix_plan(docs: DataFrame, weights=(3, 1, 2), share: float = 1.5, max_epochs:
     ahead = prefix_sum(sized, [F.col("source").asc_nulls_last(), F.col("_draw"), F.col("size")], "size", name="_ahead")
     first = ahead.groupBy("source").agg(F.min("_ahead").alias("_start"))
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
-    parts = (targets.join(first.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
+    parts = frozen(targets.join(first.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
                     .withColumn("whole", whole)
                     .withColumn("_rest", F.col("target") - F.col("whole") * F.col("source_size")))
     middle = F.col("_ahead") - F.col("_start") + F.col("size") / 2.0
-    cuts = (ahead.withColumnRenamed("source", "_s")
-                 .join(parts.select("source", "_start", "_rest"), F.col("_s").eqNullSafe(F.col("source")))
+    cuts = (_join_sources(ahead.withColumnRenamed("source", "_s"), parts.select("source", "_start", "_rest"), **options)
                  .where((F.col("size") > 0) & (middle < F.col("_rest")))
                  .groupBy("source").agg(F.max("_draw").alias("_cut")).withColumnRenamed("source", "_s"))
     plan = (parts.join(cuts, F.col("source").eqNullSafe(F.col("_s")), "left")
@@ -76,6 +75,19 @@ def mix_plan(docs: DataFrame, weights=(3, 1, 2), share: float = 1.5, max_epochs:
     return sized, frozen(plan)
 
 
+def _join_sources(rows: DataFrame, rules: DataFrame, sources_to_broadcast: int = 50_000, salts: int = 64) -> DataFrame:
+    """``rows`` (with _s, the source) joined to the source's row of ``rules``. Up
+    to ``sources_to_broadcast`` sources, counted first, are broadcast (about
+    10 MB); of more, each is repeated for ``salts`` salts, so that a source with a
+    third of all rows is spread over as many keys."""
+    same = F.col("_s").eqNullSafe(F.col("source"))
+    if rules.count() <= sources_to_broadcast:
+        return rows.join(F.broadcast(rules), same)
+    spread = rules.withColumn("_rule_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salt = F.pmod(F.xxhash64("_draw"), F.lit(salts)).cast("int")
+    return rows.withColumn("_salt", salt).join(spread, same & (F.col("_salt") == F.col("_rule_salt"))).drop("_salt", "_rule_salt")
+
+
 def _copies():
     return (F.col("whole") + F.when(F.col("_draw") <= F.col("_cut"), F.lit(1)).otherwise(F.lit(0))).cast("long")
 
@@ -89,7 +101,8 @@ def mix_counts(docs: DataFrame, **options) -> DataFrame:
     table gives an empty result. See ``mix_plan`` for the options.
     """
     sized, plan = mix_plan(docs, **options)
-    return (sized.withColumnRenamed("source", "_s").join(plan, F.col("_s").eqNullSafe(F.col("source")))
+    joins = {k: v for k, v in options.items() if k in ("sources_to_broadcast", "salts")}
+    return (_join_sources(sized.withColumnRenamed("source", "_s"), plan, **joins)
                  .withColumn("copies", _copies())
                  .select(F.col("_id").alias(options.get("id_col", "doc_id")), "source", "size", "source_size", "target",
                          "copies", (F.col("copies") * F.col("size")).alias("taken")))
@@ -97,12 +110,12 @@ def mix_counts(docs: DataFrame, **options) -> DataFrame:
 
 def mix_sources(docs: DataFrame, seed: str = "mix", id_col: str = "doc_id", source_col: str = "source", **options) -> DataFrame:
     """The mix itself: every row of ``docs`` as often as it is taken, with its
-    repetition number in ``epoch``. Texts are not shuffled where the sources'
-    plan is small enough for Spark to broadcast it."""
+    repetition number in ``epoch``. Texts are shuffled only where there are too
+    many sources to broadcast."""
     _, plan = mix_plan(docs, seed=seed, id_col=id_col, source_col=source_col, **options)
     others = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c != "epoch"])
-    return (others.select(packed(others), _draw(seed, id_col), F.col(source_col).alias("_s"))
-                  .join(plan, F.col("_s").eqNullSafe(F.col("source")))
+    joins = {k: v for k, v in options.items() if k in ("sources_to_broadcast", "salts")}
+    return (_join_sources(others.select(packed(others), _draw(seed, id_col), F.col(source_col).alias("_s")), plan, **joins)
                   .withColumn("copies", _copies()).where("copies > 0")
                   .select("_row.*", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("epoch")))
 

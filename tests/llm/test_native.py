@@ -98,6 +98,7 @@ def test_mix_comes_near_its_targets(spark):
         most[r.source] = (r.target, max(most.get(r.source, (0, 0))[1], r.size))
     assert all(abs(taken[s] - t) <= m / 2 for s, (t, m) in most.items())
     copies = Counter(r.doc_id for r in mix_sources(docs).collect())
+    assert copies == Counter(r.doc_id for r in mix_sources(docs, sources_to_broadcast=2, salts=3).collect())
     assert copies == Counter({r.doc_id: r.copies for r in got if r.copies})
 
 
