@@ -367,8 +367,8 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: s
     return found.select(F.col("_id").alias(id_col), F.col("n").cast("long").alias("n_shingles"), "component_id", "n_links")
 
 
-def _component_rows(docs: DataFrame, k: int, percent: int, id_col: str, text_col: str, sketch: int = 1 << 20, block_docs: int = 4096,
-                    block_shingles: int = 1 << 21, list_docs: int = 4096, salts: int = 32, max_bits: int = 1 << 26) -> DataFrame:
+def _component_rows(docs: DataFrame, k: int, percent: int, id_col: str, text_col: str, sketch: int = 1 << 20, block_docs: int = 2048,
+                    block_shingles: int = 1 << 21, list_docs: int = 2048, salts: int = 32, max_bits: int = 1 << 26) -> DataFrame:
     """(_id, _tk, n, _key, component_id, n_links): with the hash of the text and the
     number of the component, null without a word."""
     spark = docs.sparkSession
