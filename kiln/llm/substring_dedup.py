@@ -1,4 +1,5 @@
-"""Substring deduplication: content-defined chunks (gear rolling hash), compared by digest."""
+"""Substring deduplication: content-defined chunks (gear rolling hash), compared by
+digests of stretches of neighbouring chunks."""
 
 from __future__ import annotations
 
@@ -24,29 +25,13 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(steps)
 
 
-def _repeats(digest: np.ndarray, near: int = 4) -> np.ndarray:
-    """How often each chunk has just been said, within the ``near`` chunks before
-    and so on back. It is part of the digest, so that a word said a hundred times
-    equals only what says it as often."""
-    n = len(digest)
-    back = np.zeros(n, np.int64)
-    for k in range(min(near, n - 1), 0, -1):
-        back[k:][digest[k:] == digest[:-k]] = k
-    out = np.zeros(n, np.int64)
-    for i in np.flatnonzero(back):
-        out[i] = out[i - back[i]] + 1
-    return out
-
-
-def chunks(text: str, mean: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(bounds, digests, words before each bound) of a text's chunks, in code
-    points. A chunk ends where the gear hash of the last ``WINDOW`` code points
-    is below a threshold, on average after ``mean`` of them, so that bounds move
-    with the content. There is no least or greatest size."""
+def _cut(text: str, mean: int):
+    """(bounds, words before each bound, whether a bound lies within a word, running
+    hash before each code point) of a text."""
     cp = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
     n = len(cp)
     if not n:
-        return np.zeros(1, np.int64), np.empty(0, np.int64), np.zeros(1, np.int64)
+        return np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(1, bool), np.zeros(1, np.uint64)
     low = cp & 0xFFFF
     gear = _GEAR[low]
     h = gear.copy()
@@ -54,16 +39,45 @@ def chunks(text: str, mean: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         h[k:] += gear[:n - k] << np.uint32(k)
     ends = np.flatnonzero((h & 0xFFFF) < (1 << 16) // mean) + 1
     bounds = np.unique(np.concatenate([[0], ends, [n]]))
-    value = (_VALUE[low] + cp) * _powers(_BASE, n)
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(value, dtype=np.uint64)])
-    digest = (total[bounds[1:]] - total[bounds[:-1]]) * _powers(_BASE_INVERSE, n)[bounds[:-1]]
-    digest = (digest ^ (digest >> np.uint64(31))) * np.uint64(_BASE) + np.diff(bounds).astype(np.uint64)
-    digest += _repeats(digest).astype(np.uint64) * np.uint64(_BASE_INVERSE)
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum((_VALUE[low] + cp) * _powers(_BASE, n), dtype=np.uint64)])
     space = (cp == 32) | ((cp >= 9) & (cp <= 13))
     starts = ~space
     starts[1:] &= space[:-1]
     words = np.concatenate([[0], np.cumsum(starts)])
-    return bounds, digest.view(np.int64), words[bounds]
+    within = np.concatenate([~space & ~starts, [False]])
+    return bounds, words[bounds], within[bounds], total
+
+
+def _digest(total: np.ndarray, a: np.ndarray, z: np.ndarray) -> np.ndarray:
+    """Hashes of the code points from each of ``a`` to each of ``z``, wherever they stand."""
+    d = (total[z] - total[a]) * _powers(_BASE_INVERSE, len(total))[a]
+    return ((d ^ (d >> np.uint64(31))) * np.uint64(_BASE) + (z - a).astype(np.uint64)).view(np.int64)
+
+
+def chunks(text: str, mean: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(bounds, digests, words before each bound) of a text's chunks, in code
+    points. A chunk ends where the gear hash of the last ``WINDOW`` code points
+    is below a threshold, on average after ``mean`` of them, so that bounds move
+    with the content. There is no least or greatest size."""
+    bounds, words, _, total = _cut(text, mean)
+    return bounds, _digest(total, bounds[:-1], bounds[1:]), words
+
+
+def stretches(text: str, mean: int, min_words: int) -> tuple[np.ndarray, ...]:
+    """(digests, starts, ends, words before the start, words before the end, start
+    and end within a word) of the shortest stretches of neighbouring chunks with
+    ``min_words`` words, the first of which may be cut: one from each bound on, one
+    up to each bound. Whatever run of whole chunks with so many words two texts
+    share, such stretches cover it, and both texts have them."""
+    bounds, words, within, total = _cut(text, mean)
+    before = words - within
+    m = len(bounds)
+    on = np.searchsorted(words, before + min_words, "left")
+    back = np.searchsorted(before, words - min_words, "right") - 1
+    at = np.arange(m)
+    pair = np.unique(np.concatenate([(at * m + on)[on < m], (back * m + at)[back >= 0]]))
+    i, j = pair // m, pair % m
+    return _digest(total, bounds[i], bounds[j]), bounds[i], bounds[j], words[i], words[j], within[i], within[j]
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -76,35 +90,33 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        F.col(id_col).alias("_id"), text.alias("_text"))
 
 
-def _long_runs(repeated: np.ndarray, words: np.ndarray, min_words: int) -> np.ndarray:
-    """Numbers of the chunks in runs of repeated ones that have enough words."""
-    edges = np.flatnonzero(np.diff(np.concatenate([[False], repeated, [False]]).astype(np.int8)))
-    total = np.concatenate([[0], np.cumsum(words)])
-    runs = [np.arange(a, z) for a, z in zip(edges[::2], edges[1::2]) if total[z] - total[a] >= min_words]
-    return np.concatenate(runs) if runs else np.empty(0, np.int64)
-
-
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mean: int = 20, min_words: int = 25,
                    max_bits: int = 1 << 27) -> DataFrame:
     """Passages that occur in several documents: ``id_col``, start, end (code
-    points, end exclusive), n_words, first_id (smallest id that has one of its
-    chunks), removed (whether an earlier document has a chunk of it).
-
-    Whole texts are cut into chunks; a chunk is repeated if documents with
-    different keys have its digest. Spans are runs of neighbouring repeated
-    chunks with ``min_words`` words or more. They lose the part of a passage that
-    lies before its first and after its last chunk bound, ``mean`` characters on
-    average on each side; ``min_words`` is set so that passages of over 50 words
-    are found.
+    points, end exclusive), n_words, first_id (smallest id that has a stretch of it;
+    the document's own where it is the first), removed (whether an earlier document
+    has it).
+
+    Whole texts are cut into chunks; a passage is compared by the digests of its
+    stretches of neighbouring chunks with ``min_words`` words. A stretch is repeated
+    if documents with different keys hold all of it, and it belongs to the one with
+    the smallest key. What stretches of earlier documents cover is removed, the
+    rest of what repeated stretches cover is not: spans do not overlap, and whoever
+    deletes the removed ones keeps one holder of all they say. A span that is not
+    removed may be shorter than ``min_words`` where it goes on from a removed one.
+
+    Spans lose the part of a passage that lies before its first and after its last
+    chunk bound, ``mean`` characters on average on each side; ``min_words`` is set
+    so that passages of over 50 words are found.
 
     Null and empty texts have no span. Rows that share an id are one document,
     rows without an id are documents by their text; repeated rows are reported
     once. An empty table gives an empty result; other columns are ignored.
 
     The first pass counts (digest, document) pairs with partial aggregation. The
-    second looks the chunks up in a bitmap of the repeated digests, ``max_bits``
-    bits at most, and shuffles only runs that may be long enough: to the digests
-    by one join, then to their documents. The fuller the bitmap, the more chunks
+    second looks the stretches up in a bitmap of the repeated digests, ``max_bits``
+    bits at most, and shuffles only those that may be repeated: to the digests by
+    one join, then to their documents. The fuller the bitmap, the more stretches
     are shuffled; the join decides.
     """
     rows = _rows(docs, id_col, text_col)
@@ -112,7 +124,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def digests(batches):
         for b in batches:
             for k, t in zip(b.column("_doc").to_pylist(), b.column("_text")):
-                d = np.unique(chunks(t.as_py(), mean)[1])
+                d = np.unique(stretches(t.as_py(), mean, min_words)[0])
                 if len(d):
                     yield pa.RecordBatch.from_pydict({"_d": d, "_doc": np.full(len(d), k, np.int64)})
     seen = rows.select("_doc", "_text").mapInArrow(digests, "_d long, _doc long")
@@ -121,31 +133,48 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     bits = max(1 << 20, min(max_bits, 1 << (8 * repeated.count() + 1).bit_length()))
     bitmap = rows.sparkSession.sparkContext.broadcast(bitmap_array(key_bitmap(repeated, F.col("_d"), bits), bits))
     id_type = docs.schema[id_col].dataType
-    whole = f"_d long, _doc long, _tk long, _id {id_type.simpleString()}, _i int, _start int, _end int, _words int"
+    names = ["_start", "_end", "_w0", "_w1", "_in0", "_in1"]
+    whole = f"_d long, _doc long, _tk long, _id {id_type.simpleString()}, _start int, _end int, _w0 int, _w1 int, _in0 int, _in1 int"
 
     def located(batches):
         bit = bitmap.value
         for b in batches:
             ids = b.column("_id")
             for i, (k, tk, t) in enumerate(zip(b.column("_doc").to_pylist(), b.column("_tk").to_pylist(), b.column("_text"))):
-                bounds, d, words = chunks(t.as_py(), mean)
-                at = _long_runs(in_bitmap(bit, d), np.diff(words), min_words)
+                d, *where = stretches(t.as_py(), mean, min_words)
+                at = np.flatnonzero(in_bitmap(bit, d))
                 n = len(at)
                 if n:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(d[at]), pa.array(np.full(n, k, np.int64)), pa.array(np.full(n, tk, np.int64)),
-                         ids.take(pa.array(np.full(n, i, np.int64))), *(pa.array(x.astype(np.int32)) for x in (
-                             at, bounds[:-1][at], bounds[1:][at], np.diff(words)[at]))],
-                        names=["_d", "_doc", "_tk", "_id", "_i", "_start", "_end", "_words"])
-    maybe = rows.mapInArrow(located, whole)
-    hit = maybe.join(repeated, "_d").repartition("_doc", "_tk").dropDuplicates(["_doc", "_tk", "_i"])
-    order = Window.partitionBy("_doc", "_tk").orderBy("_i")
-    runs = (hit.withColumn("_run", F.col("_i") - F.row_number().over(order))
-               .groupBy("_doc", "_tk", "_run")
-               .agg(F.min("_id").alias(id_col), F.min("_start").alias("start"), F.max("_end").alias("end"),
-                    F.sum("_words").alias("n_words"), F.min("_first").alias("first_id"),
-                    F.max(F.col("_first") < F.col("_doc")).alias("removed")))
-    return runs.where(F.col("n_words") >= min_words).select(id_col, "start", "end", "n_words", "first_id", "removed")
+                         ids.take(pa.array(np.full(n, i, np.int64))), *(pa.array(x[at].astype(np.int32)) for x in where)],
+                        names=["_d", "_doc", "_tk", "_id", *names])
+    earlier = F.col("_first") < F.col("_doc")
+    hit = (rows.mapInArrow(located, whole).join(repeated, "_d")
+               .select("_doc", "_tk", "_id", *names, F.when(earlier, F.col("_first")).alias("_earlier"))
+               .repartition("_doc", "_tk"))
+    # what is open at each bound: a stretch adds one where it starts and takes it away where it ends
+    gone = F.col("_earlier").isNotNull().cast("int")
+    ends = F.array(F.struct(F.col("_start").alias("at"), F.col("_w0").alias("w"), F.col("_in0").alias("within"),
+                            F.lit(1).alias("open"), gone.alias("gone"), F.col("_earlier").alias("first")),
+                   F.struct(F.col("_end").alias("at"), F.col("_w1").alias("w"), F.col("_in1").alias("within"),
+                            F.lit(-1).alias("open"), (-gone).alias("gone"), F.lit(None).cast("long").alias("first")))
+    points = (hit.select("_doc", "_tk", "_id", F.explode(ends).alias("e")).select("_doc", "_tk", "_id", "e.*")
+                 .groupBy("_doc", "_tk", "at").agg(F.min("_id").alias("_id"), F.first("w").alias("w"), F.first("within").alias("within"),
+                                                   F.sum("open").alias("open"), F.sum("gone").alias("gone"), F.min("first").alias("first")))
+    order = Window.partitionBy("_doc", "_tk").orderBy("at")
+    state = F.when(F.sum("gone").over(order) > 0, 2).when(F.sum("open").over(order) > 0, 1).otherwise(0)
+    stated = points.withColumn("_state", state)
+    pieces = (stated.withColumn("_new", (F.col("_state") != F.lag("_state", 1, 0).over(order)).cast("int"))
+                    .withColumn("_piece", F.sum("_new").over(order))
+                    .groupBy("_doc", "_tk", "_piece")
+                    .agg(F.min("_id").alias("_id"), F.first("_state").alias("_state"), F.min("at").alias("_at"),
+                         F.min_by("w", "at").alias("_w"), F.min_by("within", "at").alias("_within"), F.min("first").alias("_first")))
+    after = Window.partitionBy("_doc", "_tk").orderBy("_piece")
+    spans = pieces.withColumn("_end", F.lead("_at").over(after)).withColumn("_words", F.lead("_w").over(after)).where("_state > 0")
+    return spans.select(F.col("_id").alias(id_col), F.col("_at").alias("start"), F.col("_end").alias("end"),
+                        (F.col("_words") - F.col("_w") + F.col("_within")).cast("long").alias("n_words"),
+                        F.coalesce("_first", "_doc").alias("first_id"), (F.col("_state") == 2).alias("removed"))
 
 
 @query("op3_substring_dedup")

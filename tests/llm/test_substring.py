@@ -70,3 +70,32 @@ def test_messy_rows(spark, messy, nothing):
     assert repeated_spans(table(spark, rows)).count() == 0
     rows = [(None, long_text, "s"), (None, long_text + " x", "s")]
     assert repeated_spans(table(spark, rows)).count() == 2
+
+
+def test_one_holder_of_a_passage_keeps_it_and_clean_documents_are_not_reported(spark):
+    """All texts are made of the same few phrases, so that nearly every chunk of a
+    passage occurs in earlier documents that do not hold it."""
+    rng = random.Random(7)
+    phrases = [" ".join("".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(6)) for _ in range(40)]
+
+    def say(n):
+        return " ".join(rng.choice(phrases) for _ in range(n))
+    docs = {i: say(40) for i in range(100)}
+    a, b = say(12), say(12)
+    held = {a: [110, 120, 130], b: [115, 120, 125]}
+    for i in {i for who in held.values() for i in who}:
+        docs[i] = " ".join([say(6), *[p + " " + say(6) for p, who in held.items() if i in who]])
+    runs = {}
+    for i, t in docs.items():
+        w = t.split()
+        for k in range(len(w) - 23):
+            runs.setdefault(tuple(w[k:k + 24]), set()).add(i)
+    shared = {i for who in runs.values() if len(who) > 1 for i in who}
+    got = repeated_spans(table(spark, [(i, t, "s") for i, t in docs.items()])).collect()
+    assert {r.doc_id for r in got} <= shared and len(shared) < 40
+    left = dict(docs)
+    for r in sorted(got, key=lambda r: -r.start):
+        if r.removed:
+            left[r.doc_id] = left[r.doc_id][:r.start] + left[r.doc_id][r.end:]
+    for passage, who in held.items():
+        assert [i for i in who if passage in left[i]] == who[:1]
