@@ -99,3 +99,14 @@ def test_one_holder_of_a_passage_keeps_it_and_clean_documents_are_not_reported(s
             left[r.doc_id] = left[r.doc_id][:r.start] + left[r.doc_id][r.end:]
     for passage, who in held.items():
         assert [i for i in who if passage in left[i]] == who[:1]
+
+
+def test_spans_of_sf01_are_verbatim_in_their_first_document(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    texts = dict(dicts(docs, "doc_id", "text"))
+    got = repeated_spans(docs).collect()
+    assert sum(not r.removed for r in got) > 500
+    for r in got:
+        if r.removed:
+            span, first = texts[r.doc_id][r.start:r.end].split(" "), texts[r.first_id]
+            assert r.n_words >= 25 and any(" ".join(span[k:k + 15]) in first for k in range(1, len(span) - 15))
