@@ -15,6 +15,7 @@ from kiln.llm.common import table
 from kiln.llm.registry import query
 
 Q = 10
+STRIDE = 16
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 _BITS = 22
 
@@ -101,15 +102,21 @@ def align(pattern: np.ndarray, text: np.ndarray, low: int, high: int, most: int)
 
 class Index:
     """q-grams of the segments of benchmark items. An item is cut into equal
-    segments of ``segment`` characters or more; one of them is enough to report."""
+    segments of ``segment`` characters or more; besides these, every ``STRIDE``
+    characters one of exactly ``segment`` begins, the last one flush with the end, so
+    that part of an item is found wherever it begins. One of all is enough to report."""
 
     def __init__(self, items: list[tuple], segment: int, error: float):
         self.segments, grams, owners, offsets = [], [], [], []
-        for item_id, text in items:
+        self.item, self.equal = [], []
+        for item, (item_id, text) in enumerate(items):
             cp, _ = normalise(text)
             n = max(1, len(cp) // segment)
-            for s in range(n):
-                part = cp[s * len(cp) // n:(s + 1) * len(cp) // n]
+            cuts = [(s * len(cp) // n, (s + 1) * len(cp) // n) for s in range(n)]
+            last = len(cp) - segment
+            cuts += [(a, a + segment) for a in [*range(0, last, STRIDE), last] if last > 0 and (a, a + segment) not in cuts]
+            for s, (a, z) in enumerate(cuts):
+                part = cp[a:z]
                 g = _grams(part)
                 if len(g):
                     budget = min(int(error * len(part)), (len(g) - 1) // Q)
@@ -117,6 +124,8 @@ class Index:
                     grams.append(g)
                     offsets.append(np.arange(len(g)))
                     self.segments.append((item_id, s, part, budget))
+                    self.item.append(item)
+                    self.equal.append(s < n)
         flat = np.concatenate(grams) if grams else np.empty(0, np.uint64)
         order = np.argsort(flat, kind="stable")
         self.owner = (np.concatenate(owners) if owners else np.empty(0, np.int64))[order]
@@ -157,23 +166,48 @@ class Index:
             w = int(self.width[s])
             yield s, int(key[run[0]] % span - (span >> 1)) * w, int(key[run[-1]] % span - (span >> 1) + 2) * w - 1
 
-    def leaks(self, text: str) -> list[dict]:
-        """Segments that occur in a text within their edit budget."""
+    def _hits(self, text: str) -> list[tuple]:
+        """(segment, start, end, edits) of segments that occur in a text within their
+        edit budget."""
         cp, at = normalise(text)
         out = []
         for s, low, high in self.bands(cp):
-            item_id, number, part, budget = self.segments[s]
-            hit = align(part, cp, low, high, budget)
+            hit = align(self.segments[s][2], cp, low, high, self.segments[s][3])
             if hit:
-                out.append({"item_id": item_id, "segment": number, "start": int(at[hit[1]]), "end": int(at[hit[2] - 1]) + 1, "edits": hit[0]})
+                out.append((s, int(at[hit[1]]), int(at[hit[2] - 1]) + 1, hit[0]))
+        return out
+
+    def _rows(self, hits: list[tuple]) -> list[dict]:
+        out = [{"item_id": self.segments[s][0], "segment": self.segments[s][1], "start": start, "end": end, "edits": edits}
+               for s, start, end, edits in hits]
         return sorted(out, key=lambda x: (x["start"], x["end"], str(x["item_id"]), x["segment"]))
 
+    def leaks(self, text: str) -> list[dict]:
+        """Segments that occur in a text within their edit budget."""
+        return self._rows(self._hits(text))
+
+    def new_leaks(self, text: str) -> list[dict]:
+        """The leaks: all equal segments, and overlapping ones that do not lie within
+        what the segments before them in the same item have found."""
+        hits, covered = [], defaultdict(list)
+        for hit in sorted(self._hits(text), key=lambda x: x[:3]):
+            reach = hit[1]
+            for a, z in sorted(covered[self.item[hit[0]]]):
+                if a <= reach:
+                    reach = max(reach, z)
+            if reach < hit[2] or self.equal[hit[0]]:
+                hits.append(hit)
+                covered[self.item[hit[0]]].append(hit[1:3])
+        return self._rows(hits)
+
 
 def mark_leaks(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
                segment: int = 64, error: float = 0.07, block_chars: int = 1_000_000, name: str = "leaks") -> DataFrame:
     """``docs`` with an array ``name`` of (item_id, segment, start, end, edits):
     segments of benchmark items found in the whole text, with offsets in code
-    points, end exclusive.
+    points, end exclusive. An overlapping segment is listed only where it adds to
+    what the others of its item have found. A verbatim part of an item of
+    ``segment`` + ``STRIDE`` - 1 characters holds a segment wherever it begins.
 
     Texts are compared as lower-case letters and digits with one space between
     words. A segment may differ by ``error`` x its length in edits (but only as
@@ -199,7 +233,7 @@ def mark_leaks(docs: DataFrame, items: DataFrame, text_col: str = "text", item_c
             index = Index(mine, segment, error)
             for b in batches:
                 old = b.column(name).to_pylist()
-                got = [o + index.leaks(t.as_py() or "") for o, t in zip(old, b.column(text_col))]
+                got = [o + index.new_leaks(t.as_py() or "") for o, t in zip(old, b.column(text_col))]
                 yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(got, b.schema.field(name).type)], names=[*names, name])
         out = out.mapInArrow(found, schema)
     return out

@@ -1,6 +1,7 @@
 """Benchmark decontamination against brute force."""
 
 import random
+import re
 
 import numpy as np
 from hypothesis import given, settings
@@ -100,3 +101,34 @@ def test_normalised_offsets_point_at_their_letters(text):
     cp, at = normalise(text)
     assert len(cp) == len(at) and all(cp[i] == 32 or text[at[i]].isalnum() or text[at[i]] > "\uffff" for i in range(len(cp)))
     assert not len(cp) or (cp[0] != 32 and cp[-1] != 32 and not ((cp[1:] == 32) & (cp[:-1] == 32)).any())
+
+
+def test_parts_of_items_are_found_wherever_they_begin(spark):
+    """Verbatim parts of 80 normalised characters or more at random offsets, in clean
+    text; parts of every length are planted, the clean texts stay clean."""
+    rng = random.Random(5)
+    items = [(i, "".join(map(chr, normalise(_sentence(rng, 40))[0]))) for i in range(60)]
+    index = Index(items, 64, 0.07)
+    for i, text in items:
+        for share in (0.5, 0.6, 0.7, 0.8, 0.9):
+            n = max(80, int(share * len(text)))
+            a = rng.randrange(len(text) - n + 1)
+            part = text[a:a + n]
+            around = _sentence(rng, 30) + " ", " " + _sentence(rng, 30)
+            whole = around[0] + part + around[1]
+            found = [x for x in index.leaks(whole) if x["item_id"] == i]
+            assert found and all(x["start"] < len(around[0]) + n and x["end"] > len(around[0]) for x in found)
+            segments = {(x[0], x[1]): list(map(chr, x[2])) for x in index.segments}
+            for x in found[:2]:
+                assert _edits(segments[i, x["segment"]], re.sub(" +", " ", whole[x["start"]:x["end"]])) == x["edits"] <= 8
+    assert not any(index.leaks(_sentence(rng, 300)) for _ in range(30))
+    docs = table(spark, [(1, "ahead of it " + items[0][1][20:105] + " and after", "s"), (2, _sentence(rng, 60), "s")])
+    assert dicts(clean_documents(docs, spark.createDataFrame(items, "item_id long, text string")), "doc_id") == [(2,)]
+
+
+def test_what_was_found_by_equal_segments_is_listed_once():
+    rng = random.Random(6)
+    item = _sentence(rng, 60)
+    index = Index([(1, item)], 64, 0.07)
+    n = len(normalise(item)[0]) // 64
+    assert [x["segment"] for x in index.new_leaks("x " + item + " y")] == list(range(n))
