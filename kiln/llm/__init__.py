@@ -2,7 +2,7 @@
 extraction, scoring and secret scans. Nothing outside this subpackage imports it."""
 
 from kiln.llm.registry import ORACLE, QUERIES
-from kiln.llm import decontaminate, divergence, exact_dedup, html_text, line_dedup, mixing, ngram_join, periodic, quality, secrets, substring_dedup, toxicity  # noqa: F401
+from kiln.llm import decontaminate, divergence, exact_dedup, html_text, language, line_dedup, mixing, ngram_join, periodic, quality, secrets, substring_dedup, toxicity  # noqa: F401
 
 
 def all_queries():
