@@ -116,6 +116,34 @@ def prefix_sum(df: DataFrame, order, weight: str, name: str = "offset",
                  .drop(_P, _O, _L))
 
 
+def running_sums(df: DataFrame, group, order, weights: dict[str, str], num_partitions: int | None = None) -> DataFrame:
+    """Inclusive running totals within each group: ``weights`` maps a new column to
+    the column it adds up, in the order of ``order`` (a total order in the group).
+
+    Rows are range-partitioned on (group, order), so that a group of any size is
+    spread, and added up inside each partition; a partition goes on with one group
+    of the partitions before it at most, and that group's totals so far (one row
+    for each partition) are joined to it.
+    """
+    group, order = [group] if isinstance(group, str) else list(group), _as_cols(order)
+    n = _n_parts(df, num_partitions)
+    checkpoint_root(df.sparkSession)
+    with _held(df) as src:
+        tagged = (src.repartitionByRange(n, *group, *order)
+                     .withColumn(_P, F.spark_partition_id())
+                     .checkpoint(eager=True))
+    here = Window.partitionBy(_P, *group).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = Window.partitionBy(*group).orderBy(_P).rowsBetween(Window.unboundedPreceding, -1)
+    sums = [F.sum(c).alias(f"_kiln_{name}") for name, c in weights.items()]
+    carried = (tagged.groupBy(_P, *group).agg(*sums)
+                     .select(_P, *group, *[F.sum(f"_kiln_{name}").over(before).alias(f"_kiln_{name}") for name in weights])
+                     .where(F.col(f"_kiln_{next(iter(weights))}").isNotNull()))
+    local = tagged.select("*", *[F.sum(c).over(here).alias(name) for name, c in weights.items()])
+    both = local.join(F.broadcast(carried), [_P, *group], "left")
+    zero = F.lit(0)
+    return both.select(*df.columns, *[(F.col(name) + F.coalesce(F.col(f"_kiln_{name}"), zero)).alias(name) for name in weights])
+
+
 def quantiles(df: DataFrame, cols, probs, num_partitions: int | None = None) -> DataFrame:
     """Exact, linearly interpolated quantiles (R type 7 / ``percentile``) of
     each column, without holding a column's values in one task.

@@ -1,6 +1,6 @@
 """Regression baselines with ``pyspark.ml`` (M1-M16): splits, linear models
-with scikit-learn-equivalent penalties, tree ensembles, a regression tree and
-its node table, metrics, parameter grids, random search, importances.
+with scikit-learn-equivalent penalties, tree ensembles, metrics, parameter
+grids, random search, importances. The single regression tree is in ``tree.py``.
 
 Fitting runs on the executors (one aggregation pass per optimiser iteration
 or tree level); the driver holds only parameters and small result tables.
@@ -8,13 +8,9 @@ or tree level); the driver holds only parameters and small result tables.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
-from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
-from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRegression,
-                                   RandomForestRegressor)
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -94,111 +90,6 @@ def boosted(label: str = "label", features: str = "features", n: int = 100, dept
     return GBTRegressor(featuresCol=features, labelCol=label, maxIter=n, maxDepth=depth, stepSize=step, seed=seed)
 
 
-@dataclass(frozen=True)
-class RegTree:
-    """A pruned regression tree: its nodes (root first, ids in preorder),
-    the fitted feature stages and the features' names."""
-    nodes: list
-    stages: PipelineModel
-    features: list
-
-    def predict(self, df: DataFrame, name: str = "prediction") -> DataFrame:
-        """``df`` with each row's leaf (node id) and the leaf's mean."""
-        by_id = {n["id"]: n for n in self.nodes}
-
-        def at(i):
-            n = by_id[i]
-            if n["left"] is None:
-                return F.struct(F.lit(i).alias("leaf"), F.lit(n["prediction"]).alias("mean"))
-            f = F.col(n["feature"])
-            goes_left = f.isin(n["categories"]) if n["categories"] is not None else f <= n["threshold"]
-            return F.when(goes_left, at(n["left"])).otherwise(at(n["right"]))
-        return (self.stages.transform(df).withColumn("_at", at(0))
-                    .select(*df.columns, F.col("_at.leaf").alias("leaf"), F.col("_at.mean").alias(name)))
-
-    def table(self, spark) -> DataFrame:
-        """The node table."""
-        return spark.createDataFrame(
-            [tuple(n[k] for k in ("id", "prediction", "impurity", "n", "left", "right", "feature", "threshold", "categories")) for n in self.nodes],
-            "id int, prediction double, impurity double, n long, left int, right int, feature string, threshold double, categories array<double>")
-
-
-def prune_tree(nodes: dict, root: int, cp: float) -> list:
-    """Cost-complexity pruning of ``nodes`` (id -> dict with impurity, n, left and
-    right): while some split lowers the squared error by less than ``cp`` x the
-    root's for each leaf it adds, the weakest one is undone. Returns the nodes
-    that stay, in preorder with new ids."""
-    nodes = {i: dict(n) for i, n in nodes.items()}
-    floor = cp * nodes[root]["impurity"] * nodes[root]["n"]
-
-    def weigh(i):
-        """(error of the leaves below, leaves, weakest (gain for each leaf, node))."""
-        n = nodes[i]
-        own = n["impurity"] * n["n"]
-        if n["left"] is None:
-            return own, 1, None
-        (el, kl, wl), (er, kr, wr) = weigh(n["left"]), weigh(n["right"])
-        mine = ((own - el - er) / (kl + kr - 1), i)
-        return el + er, kl + kr, min(x for x in (wl, wr, mine) if x is not None)
-    while (weakest := weigh(root)[2]) is not None and weakest[0] < floor:
-        nodes[weakest[1]] |= {"left": None, "right": None, "feature": None, "threshold": None, "categories": None}
-    out = []
-
-    def walk(i):
-        n, new = nodes[i], len(out)
-        out.append(n | {"id": new})
-        if n["left"] is not None:
-            out[new]["left"] = walk(n["left"])
-            out[new]["right"] = walk(n["right"])
-        return new
-    walk(root)
-    return out
-
-
-def reg_tree(df: DataFrame, target: str, path: str, exclude=(), max_depth: int = 10, min_leaf: int = 7,
-             cp: float = 0.01) -> RegTree:
-    """M9: regression tree of ``target`` on every other column: text indexed,
-    dates as day numbers, as many bins as a column has levels. The tree grows
-    without a least gain and is then pruned by ``cp`` (``prune_tree``), as the R
-    package weighs a split by its share of the rows. ``min_leaf=7`` is the R default.
-
-    The grown tree is written below ``path`` and its nodes are read back: at most
-    2^(max_depth + 1), whatever the number of rows.
-    """
-    types = dict(df.dtypes)
-    cols = [c for c in df.columns if c != target and c not in exclude]
-    dates = [c for c in cols if types[c] in ("date", "timestamp", "timestamp_ntz")]
-    text = [c for c in cols if types[c] == "string"]
-    stages = Pipeline(stages=[
-        SQLTransformer(statement="SELECT *" + "".join(f", CAST(datediff({c}, DATE'1970-01-01') AS DOUBLE) AS {c}__day" for c in dates) + " FROM __THIS__"),
-        *[StringIndexer(inputCol=c, outputCol=f"{c}__idx", handleInvalid="keep", stringOrderType="alphabetAsc") for c in text]]).fit(df)
-    feats = [f"{c}__day" if c in dates else f"{c}__idx" if c in text else c for c in cols]
-    levels = max([2, *(len(m.labels) + 1 for m in stages.stages[1:])])
-    tree = DecisionTreeRegressor(featuresCol="features", labelCol=target, maxDepth=max_depth, minInstancesPerNode=min_leaf,
-                                 minInfoGain=0.0, maxBins=max(64, levels))
-    vector = VectorAssembler(inputCols=feats, outputCol="features", handleInvalid="keep")
-    model = tree.fit(vector.transform(stages.transform(df)))
-    nodes = {}
-    for r in tree_nodes(df.sparkSession, model, path).collect():
-        inner = r.leftChild >= 0
-        continuous = r.num_categories == -1
-        n, total, squares = r.impurityStats  # weights are 1; a leaf's own impurity is not always stored
-        nodes[r.id] = {"prediction": total / n, "impurity": max(0.0, squares / n - (total / n) ** 2), "n": int(n), "left": r.leftChild if inner else None,
-                       "right": r.rightChild if inner else None, "feature": feats[r.feature_index] if inner else None,
-                       "threshold": r.threshold[0] if inner and continuous else None,
-                       "categories": list(r.threshold) if inner and not continuous else None}
-    return RegTree(prune_tree(nodes, 0, cp), stages, feats)
-
-
-def tree_nodes(spark, tree_model, path: str) -> DataFrame:
-    """The nodes of a fitted tree, read back from the saved model."""
-    tree_model.write().overwrite().save(path)
-    d = spark.read.parquet(f"{path}/data")
-    return d.select("id", "prediction", "impurity", "impurityStats", "rawCount", "gain", "leftChild", "rightChild",
-                    F.col("split.featureIndex").alias("feature_index"), F.col("split.numCategories").alias("num_categories"),
-                    F.col("split.leftCategoriesOrThreshold").alias("threshold"))
-
-
 def evaluate(pred: DataFrame, y: str = "label", yhat: str = "prediction", by=None) -> DataFrame:
     """MSE, RMSLE (null when a value is negative, where it is undefined)
     and R2 per group, in one aggregate."""
@@ -299,7 +190,7 @@ def grid_lists():
 
 
 __all__ = ["holdout", "assemble", "ols", "lasso", "ridge", "enet", "forest", "bagged_trees", "boosted",
-           "reg_tree", "tree_nodes", "evaluate", "leaderboard", "param_grid", "random_search",
+           "evaluate", "leaderboard", "param_grid", "random_search",
            "importances", "membership_ols", "grid_lists", "train_head", "predict_labels"]
 
 

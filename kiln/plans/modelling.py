@@ -12,8 +12,8 @@ from kiln.operators import models as M
 from kiln.operators import network as N
 from kiln.operators import relational as R
 from kiln.operators.basket import baskets
+from kiln.operators.tree import reg_tree
 from kiln.plans.registry import query
-from kiln.session import scratch_dir
 from kiln.sources.tables import Tables
 from kiln.sources.views import views
 
@@ -106,22 +106,78 @@ def receipt_tree(spark, sf_dir):
     v = views(spark, sf_dir)
     cr = R.natural_left_join(v.receipt, v.shopper)
     uc = R.count_by(cr, "customer_id")
-    d = (cr.join(uc, "customer_id")
-           .withColumn("value", (F.col("amount") * F.col("sales")).cast("double"))
-           .drop("item", "sales"))
-    return d, M.reg_tree(d, "value", scratch_dir(spark, "tree"))
-
-
-@query("m9_reg_tree")
+    d = cr.join(uc, "customer_id").withColumn("value", (F.col("amount") * F.col("sales")).cast("decimal(18,2)")).drop("item", "sales")
+    return d, reg_tree(d, "value")
+
+
+#: Columns of the tree's table in their order: number of the feature, SQL of its number or its text.
+_TREE = {"customer_id": ("num", "customer_id"), "log_month": ("num", "datediff('day', DATE '1970-01-01', log_month)"),
+         "pos_large_class_name": ("txt", "pos_large_class_name"), "amount": ("num", "amount"), "gender": ("txt", "gender"),
+         "generation": ("num", "generation"), "occupation": ("txt", "occupation"), "count": ("num", "visits")}
+_TREE_LEVELS = 30
+
+
+def _tree_sql(select: str, cp: float = 0.01, min_split: int = 20, min_leaf: int = 7, levels: int = _TREE_LEVELS) -> str:
+    """The grown and pruned tree, one group of expressions for each level. The data
+    of the oracle's scale have no open node after so many."""
+    melt = ", ".join(f"{{'f': {i}, 'num': {sql if kind == 'num' else 'NULL'}::DOUBLE, 'txt': {sql if kind == 'txt' else 'NULL'}::VARCHAR}}"
+                     for i, (kind, sql) in enumerate(_TREE.values()))
+    names = "CASE f " + " ".join(f"WHEN {i} THEN '{c}'" for i, c in enumerate(_TREE)) + " END"
+    dev = "greatest(0, q::DOUBLE - s::DOUBLE * s::DOUBLE / n)"
+    ctes = [f"""cr AS (SELECT * FROM receipt LEFT JOIN shopper USING (customer_id)),
+b0 AS MATERIALIZED (SELECT row_number() OVER () AS rid, *, (amount * sales)::DECIMAL(18,2) AS value, (count(*) OVER (PARTITION BY customer_id)) AS visits FROM cr),
+m AS MATERIALIZED (SELECT rid, value, unnest([{melt}], recursive := true) FROM b0),
+r0 AS MATERIALIZED (SELECT rid, value, 1::BIGINT AS node FROM b0)"""]
+    for d in range(levels):
+        ctes.append(f"""t{d} AS MATERIALIZED (SELECT node, count(*) AS n, sum(value) AS s, sum(value * value) AS q FROM r{d} GROUP BY node),
+a{d} AS MATERIALIZED (SELECT node FROM t{d} WHERE n >= {min_split} AND {dev} > {cp} * (SELECT {dev} FROM t0)),
+e{d} AS (SELECT node, f, num, txt, count(*) AS n, sum(m.value) AS s FROM r{d} JOIN m USING (rid) SEMI JOIN a{d} USING (node)
+         WHERE num IS NOT NULL OR txt IS NOT NULL GROUP BY node, f, num, txt),
+o{d} AS (SELECT *, CASE WHEN txt IS NOT NULL THEN s::DOUBLE / n ELSE num END AS place FROM e{d}),
+c{d} AS MATERIALIZED (SELECT node, f, num, txt, sum(n) OVER w AS nl, sum(s) OVER w AS sl, sum(n) OVER p AS na, sum(s) OVER p AS sa,
+         lead(num) OVER w AS nxt FROM o{d} WINDOW w AS (PARTITION BY node, f ORDER BY place, txt), p AS (PARTITION BY node, f)),
+g{d} AS (SELECT *, sl::DOUBLE * sl::DOUBLE / nl + (sa - sl)::DOUBLE * (sa - sl)::DOUBLE / (na - nl) - sa::DOUBLE * sa::DOUBLE / na AS gain
+         FROM c{d} WHERE nl >= {min_leaf} AND na - nl >= {min_leaf}),
+x{d} AS MATERIALIZED (SELECT node, f, (num + nxt) / 2 AS threshold, CASE WHEN txt IS NOT NULL THEN (SELECT list(c.txt ORDER BY c.txt) FROM c{d} c
+           WHERE c.node = g{d}.node AND c.f = g{d}.f AND c.nl <= g{d}.nl) END AS categories
+         FROM g{d} WHERE gain > 0 QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, f, nl) = 1),
+r{d + 1} AS MATERIALIZED (SELECT rid, value, 2 * node + CASE WHEN coalesce(num <= threshold, list_contains(categories, txt)) THEN 0 ELSE 1 END AS node
+         FROM r{d} JOIN x{d} USING (node) JOIN m USING (rid, f, value))""")
+    ctes.append(f"t{levels} AS (SELECT node, count(*) AS n, sum(value) AS s, sum(value * value) AS q FROM r{levels} GROUP BY node)")
+    leaf = f"{dev} + {cp} * (SELECT {dev} FROM t0)"
+    ctes.append(f"k{levels} AS (SELECT node, {leaf} AS cost, FALSE AS split FROM t{levels})")
+    for d in reversed(range(levels)):
+        ctes.append(f"""k{d} AS MATERIALIZED (SELECT node, coalesce(least({leaf}, below), {leaf}) AS cost, coalesce(below < {leaf}, FALSE) AS split
+         FROM t{d} LEFT JOIN (SELECT node // 2 AS node, sum(cost) AS below FROM k{d + 1} GROUP BY 1) USING (node))""")
+    ctes.append("h0 AS (SELECT node, split FROM k0)")
+    for d in range(levels):
+        ctes.append(f"h{d + 1} AS (SELECT k.node, k.split FROM k{d + 1} k JOIN h{d} ON k.node // 2 = h{d}.node AND h{d}.split)")
+
+    def each(what, last):
+        return " UNION ALL ".join(f"SELECT * FROM {what}{d}" for d in range(last))
+    ctes.append(f"""nodes AS (SELECT h.node AS id, t.n, t.s, t.q, h.split, {names} AS feature, threshold, categories
+         FROM ({each("h", levels + 1)}) h JOIN ({each("t", levels + 1)}) t USING (node) LEFT JOIN ({each("x", levels)}) x ON x.node = h.node AND h.split)""")
+    ctes.append(f"""leaves AS (SELECT rid, r.node, t.s, t.n FROM ({each("r", levels + 1).replace("*", "rid, node")}) r
+         JOIN ({each("h", levels + 1)}) h ON r.node = h.node AND NOT h.split JOIN ({each("t", levels + 1)}) t ON t.node = h.node)""")
+    return "WITH " + ",\n".join(ctes) + "\n" + select
+
+
+@query("m9_reg_tree", _tree_sql("""
+SELECT customer_id, log_month, value, node AS leaf, ROUND(s::DOUBLE / n, 4) AS prediction FROM leaves JOIN b0 USING (rid)"""))
 def m9_reg_tree(spark, sf_dir):
     d, tree = receipt_tree(spark, sf_dir)
-    return tree.predict(d).select("customer_id", "log_month", "value", "leaf", "prediction")
+    return tree.predict(d).select("customer_id", "log_month", "value", "leaf", F.round("prediction", 4).alias("prediction"))
 
 
-@query("m10_tree_nodes")
+@query("m10_tree_nodes", _tree_sql("""
+SELECT id, ROUND(s::DOUBLE / n, 4) AS prediction, ROUND(sqrt(greatest(0, (q::DOUBLE - s::DOUBLE * s::DOUBLE / n) / n)), 4) AS sd, n,
+       CASE WHEN split THEN 2 * id END AS "left", CASE WHEN split THEN 2 * id + 1 END AS "right", feature, threshold, categories
+FROM nodes"""))
 def m10_tree_nodes(spark, sf_dir):
+    """The node table; the spread of a node as the square root of its impurity."""
     _, tree = receipt_tree(spark, sf_dir)
-    return tree.table(spark)
+    return tree.table(spark).select("id", F.round("prediction", 4).alias("prediction"), F.round(F.sqrt("impurity"), 4).alias("sd"), "n",
+                                    "left", "right", "feature", "threshold", "categories")
 
 
 def _models(tr):

@@ -1,38 +1,110 @@
 """Fitted models: trees against their own node tables, forests and searches by
 what must hold for any fit."""
 
+import random
+from fractions import Fraction
+
 import pytest
 from pyspark.sql import functions as F
 
-from kiln.operators import models as M
+from kiln.operators.tree import prune, reg_tree
 from kiln.plans import all_queries, modelling
 
 
 def test_tree_leaves_are_means_of_their_rows(spark, sf):
     d, tree = modelling.receipt_tree(spark, sf)
-    leaves = {n["id"]: n for n in tree.nodes if n["left"] is None}
+    leaves = {i: n for i, n in tree.nodes.items() if n["feature"] is None}
     assert len(leaves) > 2
     own = tree.predict(d).groupBy("leaf").agg(F.avg("value").alias("mean"), F.count(F.lit(1)).alias("n")).collect()
     assert {r.leaf for r in own} == set(leaves)
     for r in own:
-        assert r.n == leaves[r.leaf]["n"] and r.mean == pytest.approx(leaves[r.leaf]["prediction"], rel=1e-9)
+        assert r.n == leaves[r.leaf]["n"] and float(r.mean) == pytest.approx(leaves[r.leaf]["prediction"], rel=1e-6)
 
 
 def test_pruning_weighs_a_split_by_its_rows():
-    leaf = {"left": None, "right": None, "feature": None, "threshold": None, "categories": None, "prediction": 0.0}
-    split = {"feature": "x", "threshold": 1.0, "categories": None, "prediction": 0.0}
-    nodes = {0: split | {"impurity": 10.0, "n": 100, "left": 1, "right": 2}, 1: leaf | {"impurity": 2.0, "n": 90},
-             2: split | {"impurity": 5.0, "n": 10, "left": 3, "right": 4}, 3: leaf | {"impurity": 4.5, "n": 5}, 4: leaf | {"impurity": 4.5, "n": 5}}
-    assert [n["left"] for n in M.prune_tree(nodes, 0, 0.01)] == [1, None, None]
-    assert len(M.prune_tree(nodes, 0, 0.004)) == 5 and len(M.prune_tree(nodes, 0, 0.9)) == 1
-
-
-def test_tree_takes_dates_and_many_levels(spark, tmp_path):
+    nodes = {1: {"error": 1000.0, "feature": "x"}, 2: {"error": 180.0, "feature": None}, 3: {"error": 50.0, "feature": "x"},
+             6: {"error": 22.0, "feature": None}, 7: {"error": 22.0, "feature": None}}
+    assert sorted(prune(nodes, 10.0)) == [1, 2, 3] and sorted(prune(nodes, 4.0)) == [1, 2, 3, 6, 7] and sorted(prune(nodes, 900.0)) == [1]
+    assert sorted(prune(nodes, 6.0)) == [1, 2, 3]  # what a split saves only equals its cost
+
+
+def plain_tree(rows, kinds, max_depth, min_split, min_leaf, cp):
+    """Grown and pruned tree of (features..., y) rows: number of a node -> (rows, feature, cut or levels on the left)."""
+    def error(part):
+        return sum(r[-1] ** 2 for r in part) - sum(r[-1] for r in part) ** 2 / len(part)
+    floor = cp * error(rows)
+
+    def grow(part, i):
+        """(cost, nodes) of the best pruned subtree."""
+        alone = error(part) + floor, {i: (len(part), None, None)}
+        best = None
+        if len(part) >= min_split and error(part) > floor and i.bit_length() <= max_depth:
+            for f, kind in enumerate(kinds):
+                known = [r for r in part if r[f] is not None]
+                groups = {}
+                for r in known:
+                    groups.setdefault(r[f], []).append(r[-1])
+                order = sorted(groups, key=lambda v: (sum(groups[v]) / len(groups[v]), v) if kind == "text" else v)
+                total, nl, sl = sum(r[-1] for r in known), 0, 0
+                for k, v in enumerate(order[:-1]):
+                    nl, sl = nl + len(groups[v]), sl + sum(groups[v])
+                    nr = len(known) - nl
+                    if nl >= min_leaf and nr >= min_leaf:
+                        gain = Fraction(sl * sl, nl) + Fraction((total - sl) ** 2, nr) - Fraction(total * total, len(known))
+                        if gain > 0 and (best is None or gain > best[0]):
+                            best = gain, f, set(order[:k + 1]), (v, order[k + 1]), nl, nr
+        if best is None:
+            return alone
+        _, f, left, cut, nl, nr = best
+        side = [r for r in part if r[f] in left or r[f] is None and nl >= nr], [r for r in part if r[f] is not None and r[f] not in left or r[f] is None and nl < nr]
+        (cl, tl), (cr, tr) = grow(side[0], 2 * i), grow(side[1], 2 * i + 1)
+        if cl + cr >= alone[0]:
+            return alone
+        return cl + cr, {i: (len(part), f, sorted(left) if kinds[f] == "text" else sum(cut) / 2)} | tl | tr
+    return grow(rows, 1)[1]
+
+
+@pytest.mark.parametrize("seed, limits", [(1, (30, 20, 7, 0.01)), (2, (30, 2, 1, 0.001)), (3, (2, 6, 2, 0.0))])
+def test_tree_equals_a_plain_one(spark, seed, limits):
+    rng = random.Random(seed)
+    rows = []
+    for _ in range(160):
+        a, b, c = rng.choice([None, *range(12)]), rng.randrange(1000) / 8, rng.choice([None, "p", "q", "r", "s", "ü"])
+        rows.append((a, b, c, (a or 3) * 5 + int(b > 60) * 40 + {"p": 9, "s": 20}.get(c, 0) + rng.randrange(8)))
+    df = spark.createDataFrame(rows, "a int, b double, c string, y long").repartition(5)
+    depth, min_split, min_leaf, cp = limits
+    tree = reg_tree(df, "y", max_depth=depth, min_split=min_split, min_leaf=min_leaf, cp=cp)
+    want = plain_tree(rows, ["number", "number", "text"], depth, min_split, min_leaf, cp)
+    got = {i: (n["n"], None if n["feature"] is None else "abc".index(n["feature"]), n["categories"] or n["threshold"]) for i, n in tree.nodes.items()}
+    assert got == want and len(got) > 3
+    leaves = {r.leaf: r["count"] for r in tree.predict(df).groupBy("leaf").count().collect()}
+    assert leaves == {i: n for i, (n, f, _) in want.items() if f is None}
+
+
+def test_tree_cuts_exactly_and_keeps_small_nodes(spark):
+    step = spark.range(10000).select(F.col("id").alias("x"), (F.col("id") > 4320).cast("double").alias("y"))
+    nodes = reg_tree(step, "y").nodes
+    assert (nodes[1]["threshold"], nodes[2]["n"], sorted(nodes)) == (4320.5, 4321, [1, 2, 3])
+    assert len(reg_tree(step.where("x < 19").withColumn("y", (F.col("x") > 8).cast("double")), "y").nodes) == 1
+    assert len(reg_tree(step.where("x < 20").withColumn("y", (F.col("x") > 8).cast("double")), "y").nodes) == 3
+
+
+def test_tree_takes_dates_and_many_levels(spark):
     df = spark.range(400).select(F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") % 300).cast("int")).alias("day"),
                                  F.concat(F.lit("level"), F.col("id") % 90).alias("name"), (F.col("id") % 300 >= 150).cast("double").alias("y"))
-    tree = M.reg_tree(df, "y", str(tmp_path / "t"))
-    assert tree.nodes[0]["feature"] == "day__day" and len(tree.nodes) >= 3
-    assert tree.predict(df).where("abs(y - prediction) > 0.3").count() <= 8
+    tree = reg_tree(df, "y")
+    assert tree.nodes[1]["feature"] == "day" and tree.nodes[1]["threshold"] == 18262 + 149.5 and tree.predict(df).where("y != prediction").count() == 0
+    # a level that the tree has not seen, and a missing one, go with the larger side
+    named = reg_tree(df.withColumn("y", F.col("name").isin("level3", "level7").cast("double")).drop("day"), "y")
+    unseen = spark.createDataFrame([("other",), (None,), ("level7",)], "name string")
+    assert [r.prediction for r in named.predict(unseen).collect()] == [0.0, 0.0, 1.0]
+
+
+def test_tree_of_nothing(spark):
+    empty = spark.createDataFrame([], "x int, y double")
+    tree = reg_tree(empty, "y")
+    assert tree.nodes[1]["n"] == 0 and tree.predict(empty).count() == 0
+    assert len(reg_tree(spark.createDataFrame([(1, None), (2, 5.0)], "x int, y double"), "y").nodes) == 1
 
 
 @pytest.mark.parametrize("name", ["m6_forest", "m7_bagged_trees", "m8_boosted"])
