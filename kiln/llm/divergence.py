@@ -136,19 +136,23 @@ def _local_band(df: DataFrame, group: list[str], higher: str, lower: str, text:
     return placed.mapInArrow(bands, df.select(*names).schema)
 
 
-def skyband(df: DataFrame, group: list[str], higher: str, lower: str, text: str, k: int, salts: int = 16) -> DataFrame:
+def skyband(df: DataFrame, group: list[str], higher: str, lower: str, text: str, k: int, part_rows: int = 250_000) -> DataFrame:
     """The rows of each group that fewer than ``k`` others of it dominate: others
     with a ``higher`` no smaller, a ``lower`` no larger and an earlier ``text``
-    (UTF-8 order; texts of a group differ, nothing is null). Whatever measure rises with ``higher``,
-    falls with ``lower`` and breaks ties by text, its first ``k`` are among them.
-
-    Each partition keeps its own skyband; those of a group are merged in ``salts``
-    parts by a hash of the text, then as a whole. A task holds three numbers for
-    each row of a skyband, never a group.
+    (UTF-8 order; texts of a group differ, nothing is null). Whatever measure rises
+    with ``higher``, falls with ``lower`` and breaks ties by text, its first ``k``
+    are among them.
+
+    Groups are dealt to partitions in as many parts, by a hash of the text, as the
+    largest one has ``part_rows`` rows (smaller parts would hardly drop anything).
+    Each keeps its skyband; then those of a group are merged. A task holds two
+    numbers for each row of a skyband, never a group.
     """
-    first = _local_band(df, group, higher, lower, text, k)
-    second = _local_band(first.repartition(*group, F.pmod(F.xxhash64(text), F.lit(salts))), group, higher, lower, text, k)
-    return _local_band(second.repartition(*group), group, higher, lower, text, k)
+    largest = df.groupBy(*group).count().agg(F.max("count")).first()[0] or 0
+    parts = -(-largest // part_rows)
+    if parts > 1:
+        df = _local_band(df.repartition(*group, F.pmod(F.xxhash64(text), F.lit(parts))), group, higher, lower, text, k)
+    return _local_band(df.repartition(*group), group, higher, lower, text, k)
 
 
 # -- measures -----------------------------------------------------------------

@@ -55,12 +55,12 @@ def test_long_words_do_not_underflow(pieces):
 
 
 def test_words_are_letters():
-    assert words_of("Ab-c12É é x_y ²") == ["ab", "c12é" if False else "c", "é", "é", "x", "y", "²"]
+    assert words_of("Ab-c12É é x_y ²") == ["ab", "c", "é", "é", "x", "y", "²"]
     assert [unit_of(w) for w in ("c", "²", "ⅷb")] == [b" c", b"", b" b"]
 
 
 def test_one_round_of_counts(spark, pieces):
-    rows = spark.createDataFrame([("x", "ab ab"), ("x", "abc"), ("y", "ca"), ("y", None or "b 7")], "lang string, text string")
+    rows = spark.createDataFrame([("x", "ab ab"), ("x", "abc"), ("y", "ca"), ("y", "b 7")], "lang string, text string")
     assert sorted(map(tuple, word_counts(rows, held_words=1).collect())) == [("x", "ab", 2), ("x", "abc", 1), ("y", "b", 1), ("y", "ca", 1)]
     model = fit_languages(rows, {"x": 2, "y": 2}, pieces, rounds=1, prior=2.0)
     want = np.zeros((len(pieces.names), 2))
