@@ -191,37 +191,16 @@ def grid_lists():
 
 __all__ = ["holdout", "assemble", "ols", "lasso", "ridge", "enet", "forest", "bagged_trees", "boosted",
            "evaluate", "leaderboard", "param_grid", "random_search",
-           "importances", "membership_ols", "grid_lists", "train_head", "predict_labels"]
+           "importances", "membership_ols", "grid_lists", "predict_labels"]
 
 
-def head_features(df: DataFrame, vec: str) -> DataFrame:
-    """``df`` with the array column ``vec`` as a feature vector."""
-    from pyspark.ml.functions import array_to_vector
-    return df.withColumn("features", array_to_vector(F.transform(vec, lambda x: x.cast("double"))))
-
-
-def train_head(df: DataFrame, vec: str, label: str, n_classes: int, hidden: int = 32,
-               max_iter: int = 100, seed: int = 0):
-    """Q13: classifier head on frozen feature vectors (array column): one
-    hidden layer and a softmax output, fitted by ``MultilayerPerceptronClassifier``."""
-    from pyspark.ml.classification import MultilayerPerceptronClassifier
-    d = head_features(df, vec)
-    n_in = len(d.select(vec).first()[0])
-    mlp = MultilayerPerceptronClassifier(layers=[n_in, hidden, n_classes], maxIter=max_iter, seed=seed,
-                                         labelCol=label, featuresCol="features")
-    return mlp.fit(d)
-
-
-def predict_labels(model, df: DataFrame, names: list[str], n: int | None = None, seed: int = 0,
-                   key: str | None = None) -> DataFrame:
+def predict_labels(scored: DataFrame, names: list[str], n: int | None = None, seed: int = 0,
+                   key: str | None = None, probabilities: str = "probabilities") -> DataFrame:
     """Q15: predicted class index and name (first maximum of the class
     probabilities), for a seeded sample of ``n`` rows (all rows if None)."""
-    from pyspark.ml.functions import vector_to_array
     from kiln.functions.arrays import argmax
     from kiln.operators.relational import sample_n
-    rows = sample_n(df, n, seed=seed, key=key) if n else df
-    p = model.transform(rows).withColumn("_probs", vector_to_array("probability"))
+    rows = sample_n(scored, n, seed=seed, key=key) if n else scored
     lab = F.array(*[F.lit(c) for c in names])
-    return (p.withColumn("predicted", argmax("_probs"))
-             .withColumn("predicted_name", F.element_at(lab, F.col("predicted") + 1))
-             .drop("_probs"))
+    return (rows.withColumn("predicted", argmax(probabilities))
+                .withColumn("predicted_name", F.element_at(lab, F.col("predicted") + 1)))

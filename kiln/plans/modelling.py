@@ -7,6 +7,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import functions as F
 
+from kiln.functions.arrays import argmax
 from kiln.functions.columns import dummies, standardize
 from kiln.operators import models as M
 from kiln.operators import network as N
@@ -294,11 +295,10 @@ def m16_membership_ols(spark, sf_dir):
 
 
 @query("q11_net_train")
-def q11_net_train(spark, sf_dir, iters=10, batch=128, lr=0.7, hidden=15):
+def q11_net_train(spark, sf_dir, iters=3500, batch=128, lr=0.7, hidden=15):
     """Seeded batch training of the one-hidden-layer net on the whole feature table
-    (one-hot codes and standardized numbers); losses per iteration (train and
-    validation). Each iteration is a step of its own over the stored batches; the
-    registered run makes ``iters`` of them."""
+    (one-hot codes and standardized numbers); losses of every iteration (train and
+    validation)."""
     h = views(spark, sf_dir).hourly.select("ts_hour", "cnt", "temp", "hum", "windspeed", "mday", "hr", "weathersit")
     z, _ = standardize(h, ["cnt", "temp", "hum", "windspeed"])
     wide = dummies(z, ["hr", "weathersit"])
@@ -313,20 +313,20 @@ def q11_net_train(spark, sf_dir, iters=10, batch=128, lr=0.7, hidden=15):
     return losses
 
 
-def _head_model(spark, sf_dir):
-    """(held-out rows, model): the head fitted on four fifths of the vectors, by a
-    hash of their id."""
+def _head_scores(spark, sf_dir, **options):
+    """Held-out rows with class probabilities: the head fitted on four fifths of the
+    vectors, by a hash of their id, and scored on the others."""
     e = M.holdout(Tables(spark, sf_dir).embeddings, 0.2, SEED, "vec_id")
-    m = M.train_head(e.where("split = 'train'"), "embedding", "label", 10, hidden=32, max_iter=100, seed=SEED)
-    return M.head_features(e.where("split = 'test'"), "embedding"), m
+    weights = N.train_head(e.where("split = 'train'"), "embedding", "label", 10, ["vec_id"], seed=SEED, **options)
+    return N.score_head(e.where("split = 'test'").select("vec_id", "label", "embedding"), "embedding", weights)
 
 
 @query("q13_train_head")
 def q13_train_head(spark, sf_dir):
-    """Classifier head (hidden layer + softmax) on the frozen vectors, scored on
-    the held-out ones."""
-    d, m = _head_model(spark, sf_dir)
-    return m.transform(d).select("vec_id", "label", F.col("prediction").cast("int").alias("prediction"))
+    """Classifier head (1,024 ReLU units and softmax, 200 epochs) on the frozen
+    vectors, scored on the held-out ones."""
+    d = _head_scores(spark, sf_dir)
+    return d.select("vec_id", "label", argmax("probabilities").cast("int").alias("prediction"))
 
 
 CLASS_NAMES = [f"class_{i}" for i in range(10)]
@@ -335,6 +335,5 @@ CLASS_NAMES = [f"class_{i}" for i in range(10)]
 @query("q15_predict_labels")
 def q15_predict_labels(spark, sf_dir, n=10):
     """Predict and name the class of a seeded sample of held-out rows."""
-    d, m = _head_model(spark, sf_dir)
-    p = M.predict_labels(m, d.select("vec_id", "label", "features"), CLASS_NAMES, n, SEED, key="vec_id")
+    p = M.predict_labels(_head_scores(spark, sf_dir), CLASS_NAMES, n, SEED, key="vec_id")
     return p.select("vec_id", "label", "predicted", "predicted_name")

@@ -139,7 +139,7 @@ def test_head_is_scored_on_held_out_rows(spark, sf):
 
 def test_training_lowers_the_loss(spark, sf):
     rows = sorted(all_queries()["q11_net_train"](spark, sf).collect())
-    assert len(rows) == 10 and min(r.train_loss for r in rows[5:]) < rows[0].train_loss
+    assert len(rows) == 3500 and rows[-1].train_loss < rows[0].train_loss / 2
 
 
 def test_importances_sum_to_one(spark, sf):
