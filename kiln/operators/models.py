@@ -10,12 +10,13 @@ from __future__ import annotations
 
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kiln.functions.columns import hash8
+from kiln.operators.boost import Booster
 from kiln.operators.relational import ranked
 
 SPARK_MAX_DEPTH = 30  # Spark's tree depth limit; deeper/unlimited settings are clamped
@@ -84,10 +85,13 @@ def bagged_trees(n: int = 10, label: str = "label", features: str = "features",
                                  bootstrap=True, subsamplingRate=1.0, maxDepth=max_depth, seed=seed)
 
 
-def boosted(label: str = "label", features: str = "features", n: int = 100, depth: int = 3,
-            step: float = 0.1, seed: int = 0) -> GBTRegressor:
-    """M8: gradient-boosted trees (stand-in for the external boosters)."""
-    return GBTRegressor(featuresCol=features, labelCol=label, maxIter=n, maxDepth=depth, stepSize=step, seed=seed)
+def boosted(kind: str = "leaf", n: int = 100, label: str = "label", features: str = "features") -> Booster:
+    """M8: the two external boosters with their defaults: ``depth`` grows six levels
+    at step 0.3 with an L2 penalty of 1 from a first margin of 0.5, ``leaf`` up to 80
+    leaves best first at step 0.1 with 20 rows in each from the mean."""
+    if kind == "depth":
+        return Booster(trees=n, step=0.3, max_depth=6, l2=1.0, min_weight=1.0, base=0.5, label=label, features=features)
+    return Booster(trees=n, step=0.1, max_leaves=80, min_rows=20, label=label, features=features)
 
 
 def evaluate(pred: DataFrame, y: str = "label", yhat: str = "prediction", by=None) -> DataFrame:
