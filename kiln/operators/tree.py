@@ -4,14 +4,17 @@ The tree grows level by level as the R package does: every cut between two
 neighbouring values of a feature is rated, not the bounds of bins. A level is a
 fixed number of jobs whatever the number of its nodes: the rows of all open nodes
 are counted by (node, feature, value), distributed running totals in the order of
-the values give both sides of every cut, and ``max_by`` picks the best one. The
-driver holds the nodes only.
+the values give both sides of every cut, and ``max_by`` picks the best one. Nodes
+that a task can hold are grown to their leaves there, each by itself, by the same
+rules. The driver holds the nodes only.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -74,7 +77,7 @@ def _walk(nodes: dict, types: dict, i: int, end) -> Column:
 
 
 def reg_tree(df: DataFrame, target: str, exclude=(), max_depth: int = 30, min_split: int = 20, min_leaf: int = 7,
-             cp: float = 0.01) -> RegTree:
+             cp: float = 0.01, part_rows: int = 20_000) -> RegTree:
     """M9: regression tree of ``target`` on every other column, with the defaults of
     the R package: nodes under ``min_split`` rows are not split, no side has less
     than ``min_leaf``, the depth is 30 at most.
@@ -89,7 +92,8 @@ def reg_tree(df: DataFrame, target: str, exclude=(), max_depth: int = 30, min_sp
     The grown tree is pruned by cost and complexity (``prune``). A node whose whole
     error is not above ``cp`` x the root's could not keep a split and is not tried,
     so that a level has 1 / cp open nodes at most, and so many rows reach the driver.
-    A decimal or integer target is added up exactly.
+    A decimal or integer target is added up exactly. Below ``part_rows`` rows a node
+    is finished in one task (``_Part``).
     """
     types = dict(df.dtypes)
     cols = [c for c in df.columns if c != target and c not in exclude]
@@ -108,6 +112,10 @@ def reg_tree(df: DataFrame, target: str, exclude=(), max_depth: int = 30, min_sp
             nodes[i] |= {"n": r["n"], "prediction": mean, "error": max(0.0, square), "impurity": max(0.0, square / r["n"])}
         floor = cp * nodes[1]["error"] if floor is None else floor
         tried = [i for i in totals if nodes[i]["n"] >= min_split and nodes[i]["error"] > floor and i.bit_length() <= max_depth]
+        small = [i for i in tried if nodes[i]["n"] <= part_rows]
+        tried = [i for i in tried if nodes[i]["n"] > part_rows]
+        if small:
+            nodes |= _finished(rows, nodes, small, cols, types, _Rules(max_depth, min_split, min_leaf, floor))
         best = _best_cuts(entries.where(F.col("f") >= 0).where(F.col("node").isin(tried)), min_leaf) if tried else []
         open_ = []
         for i, split in best.items() if tried else ():
@@ -141,6 +149,117 @@ def _entries(rows: DataFrame, nodes: dict, open_: list[int], cols: list[str], ty
                                                          F.sum(F.col("_y") * F.col("_y")).alias("q")).checkpoint(eager=True)
 
 
+@dataclass(frozen=True)
+class _Rules:
+    max_depth: int
+    min_split: int
+    min_leaf: int
+    floor: float
+
+
+_GROWN = ("id long, n long, prediction double, error double, f int, threshold double, left_known array<string>, right_known array<string>, major string")
+
+
+def _finished(rows: DataFrame, nodes: dict, small: list[int], cols: list[str], types: dict, rules: _Rules) -> dict[int, dict]:
+    """The nodes below (and at) each of ``small``, grown in one task for each."""
+    at = _walk(nodes, types, 1, lambda i: F.lit(i if i in small else None).cast("long"))
+    feats = [(F.col(c) if types[c] == "string" else _number(c, types[c])).alias(f"_f{i}") for i, c in enumerate(cols)]
+    own = rows.select(at.alias("_node"), *feats, "_y").where("_node IS NOT NULL")
+
+    def grow(part: pa.Table) -> pa.Table:
+        grown = _Part(part, len(cols), rules).grow(part.column("_node")[0].as_py())
+        names = [c.split()[0] for c in _GROWN.split(", ")]
+        kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int32(), pa.float64(), pa.list_(pa.string()), pa.list_(pa.string()), pa.string()]
+        return pa.table([pa.array([g[c] for g in grown], t) for c, t in zip(names, kinds)], names=names)
+    out = {}
+    for r in own.groupBy("_node").applyInArrow(grow, _GROWN).collect():
+        n = _node() | {"n": r["n"], "prediction": r["prediction"], "error": r["error"], "impurity": r["error"] / r["n"]}
+        if r["f"] is not None:
+            n |= {"feature": cols[r["f"]], "threshold": r["threshold"], "categories": sorted(r["left_known"]) if r["left_known"] is not None else None,
+                  "left_known": r["left_known"], "right_known": r["right_known"], "major": r["major"]}
+        out[r["id"]] = n
+    return out
+
+
+class _Part:
+    """The rows of a node in one task, as arrays: numbers, or levels by their number
+    and name; an integer or decimal target as whole multiples of ``unit``."""
+
+    def __init__(self, rows: pa.Table, width: int, rules: _Rules):
+        self.rules, self.columns, self.levels = rules, [], []
+        for i in range(width):
+            column = rows.column(f"_f{i}").combine_chunks()
+            if pa.types.is_string(column.type) or pa.types.is_large_string(column.type):
+                coded = column.dictionary_encode()
+                self.levels.append(np.array(coded.dictionary.to_pylist(), object))
+                self.columns.append(coded.indices.cast(pa.float64()).fill_null(np.nan).to_numpy(zero_copy_only=False))
+            else:
+                self.levels.append(None)
+                self.columns.append(column.cast(pa.float64()).fill_null(np.nan).to_numpy(zero_copy_only=False))
+        y = rows.column("_y")
+        self.unit = 1.0
+        if pa.types.is_decimal(y.type):
+            self.unit = 10.0 ** y.type.scale
+            self.y = np.array([int(v.scaleb(y.type.scale)) for v in y.to_pylist()], np.int64)
+        else:
+            self.y = y.to_numpy()
+
+    def _gain(self, s, n):
+        s = np.asarray(s, float) / self.unit
+        return s * s / n
+
+    def _best(self, at: np.ndarray) -> tuple | None:
+        """(gain, f, threshold, left levels, right levels, major) of the rows' best cut."""
+        best, y = None, self.y[at]
+        for f, column in enumerate(self.columns):
+            own = column[at]
+            known = ~np.isnan(own)
+            own, yk = own[known], y[known]
+            values, place = np.unique(own, return_inverse=True)
+            n = np.bincount(place, minlength=len(values))
+            s = np.zeros(len(values), self.y.dtype)
+            np.add.at(s, place, yk)
+            names = self.levels[f]
+            if names is not None:
+                names = names[values.astype(int)]
+                mean = np.asarray(s, float) / self.unit / n
+                order = sorted(range(len(values)), key=lambda k: (mean[k], names[k].encode()))
+                names, n, s = names[order], n[order], s[order]
+            nl, sl = np.cumsum(n)[:-1], np.cumsum(s)[:-1]
+            na, sa = n.sum(), s.sum()
+            ok = np.flatnonzero((nl >= self.rules.min_leaf) & (na - nl >= self.rules.min_leaf))
+            if not len(ok):
+                continue
+            gain = self._gain(sl[ok], nl[ok]) + self._gain(sa - sl[ok], na - nl[ok]) - self._gain(sa, na)
+            k = int(gain.argmax())
+            if gain[k] > 0 and (best is None or gain[k] > best[0]):
+                cut = ok[k]
+                major = "left" if 2 * nl[cut] >= na else "right"
+                if names is None:
+                    best = gain[k], f, float((values[cut] + values[cut + 1]) / 2), None, None, major
+                else:
+                    best = gain[k], f, None, names[:cut + 1].tolist(), names[cut + 1:].tolist(), major
+        return best
+
+    def grow(self, top: int) -> list[dict]:
+        out, stack = [], [(top, np.arange(len(self.y)))]
+        while stack:
+            i, at = stack.pop()
+            y = self.y[at]
+            total, squares = float(y.sum()) / self.unit, float((y.astype(float) ** 2).sum()) / self.unit ** 2
+            node = {"id": i, "n": len(at), "prediction": total / len(at), "error": max(0.0, squares - total * total / len(at))}
+            r = self.rules
+            best = self._best(at) if len(at) >= r.min_split and node["error"] > r.floor and i.bit_length() <= r.max_depth else None
+            _, f, threshold, left, right, major = best or (None,) * 6
+            out.append(node | {"f": f, "threshold": threshold, "left_known": left, "right_known": right, "major": major})
+            if best:
+                own = self.columns[f][at]
+                goes = own <= threshold if left is None else np.isin(own, np.flatnonzero(np.isin(self.levels[f], left)))
+                goes = np.where(np.isnan(own), major == "left", goes)
+                stack += [(2 * i, at[goes]), (2 * i + 1, at[~goes])]
+        return out
+
+
 def _best_cuts(entries: DataFrame, min_leaf: int) -> dict[int, dict]:
     """For each node its best cut: f, num, n (rows with the feature), nl (those on
     the left), next (the next value), left and right (levels of a text feature)."""

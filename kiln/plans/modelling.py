@@ -167,10 +167,10 @@ r{d + 1} AS MATERIALIZED (SELECT rid, value, 2 * node + CASE WHEN coalesce(num <
 
 
 @query("m9_reg_tree", _tree_sql("""
-SELECT customer_id, log_month, value, node AS leaf, ROUND(s::DOUBLE / n, 4) AS prediction FROM leaves JOIN b0 USING (rid)"""))
+SELECT customer_id, log_month, value::DOUBLE AS value, node AS leaf, ROUND(s::DOUBLE / n, 4) AS prediction FROM leaves JOIN b0 USING (rid)"""))
 def m9_reg_tree(spark, sf_dir):
     d, tree = receipt_tree(spark, sf_dir)
-    return tree.predict(d).select("customer_id", "log_month", "value", "leaf", F.round("prediction", 4).alias("prediction"))
+    return tree.predict(d).select("customer_id", "log_month", F.col("value").cast("double").alias("value"), "leaf", F.round("prediction", 4).alias("prediction"))
 
 
 @query("m10_tree_nodes", _tree_sql("""

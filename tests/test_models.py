@@ -64,8 +64,9 @@ def plain_tree(rows, kinds, max_depth, min_split, min_leaf, cp):
     return grow(rows, 1)[1]
 
 
-@pytest.mark.parametrize("seed, limits", [(1, (30, 20, 7, 0.01)), (2, (30, 2, 1, 0.001)), (3, (2, 6, 2, 0.0))])
-def test_tree_equals_a_plain_one(spark, seed, limits):
+@pytest.mark.parametrize("part_rows", [0, 60, 1000])
+@pytest.mark.parametrize("seed, limits", [(1, (30, 20, 7, 0.01)), (2, (30, 2, 1, 0.01)), (3, (2, 6, 2, 0.0))])
+def test_tree_equals_a_plain_one(spark, seed, limits, part_rows):
     rng = random.Random(seed)
     rows = []
     for _ in range(160):
@@ -73,7 +74,9 @@ def test_tree_equals_a_plain_one(spark, seed, limits):
         rows.append((a, b, c, (a or 3) * 5 + int(b > 60) * 40 + {"p": 9, "s": 20}.get(c, 0) + rng.randrange(8)))
     df = spark.createDataFrame(rows, "a int, b double, c string, y long").repartition(5)
     depth, min_split, min_leaf, cp = limits
-    tree = reg_tree(df, "y", max_depth=depth, min_split=min_split, min_leaf=min_leaf, cp=cp)
+    if seed == 2:
+        df = df.withColumn("y", F.col("y").cast("decimal(12,2)"))
+    tree = reg_tree(df, "y", max_depth=depth, min_split=min_split, min_leaf=min_leaf, cp=cp, part_rows=part_rows)
     want = plain_tree(rows, ["number", "number", "text"], depth, min_split, min_leaf, cp)
     got = {i: (n["n"], None if n["feature"] is None else "abc".index(n["feature"]), n["categories"] or n["threshold"]) for i, n in tree.nodes.items()}
     assert got == want and len(got) > 3

@@ -58,7 +58,7 @@ def duck():
 def test_registry_complete():
     assert set(ORACLE) <= set(QUERIES) <= set(E.queries())
     assert set(ORACLE) <= set(E.oracle_sql())
-    assert len(QUERIES) == 129
+    assert len(QUERIES) == 130
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
