@@ -6,7 +6,7 @@ import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from kiln.llm.substring_dedup import chunks, repeated_spans
+from kiln.llm.substring_dedup import _cut, _digest, chunks, repeated_spans, selected
 from tests.llm.conftest import dicts, table
 
 SF = "/root/testdata/sf0.01"
@@ -110,3 +110,94 @@ def test_spans_of_sf01_are_verbatim_in_their_first_document(spark):
         if r.removed:
             span, first = texts[r.doc_id][r.start:r.end].split(" "), texts[r.first_id]
             assert r.n_words >= 25 and any(" ".join(span[k:k + 15]) in first for k in range(1, len(span) - 15))
+
+
+def _sharing(texts, n):
+    """Documents that share a run of n words with another, by a rolling number of words."""
+    number, runs, owner = {}, [], []
+    for i, t in texts.items():
+        w = np.array([number.setdefault(x, len(number) + 1) for x in t.split()], np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        w ^= w >> np.uint64(29)
+        h = np.zeros(max(0, len(w) - n + 1), np.uint64)
+        for k in range(n):
+            h = h * np.uint64(1099511628211) + w[k:k + len(h)]
+        runs.append(np.unique(h))
+        owner.append(np.full(len(runs[-1]), i))
+    h, d = np.concatenate(runs), np.concatenate(owner)
+    order = np.argsort(h, kind="stable")
+    h, d = h[order], d[order]
+    same = np.zeros(len(h), bool)
+    same[1:] |= h[1:] == h[:-1]
+    same[:-1] |= h[1:] == h[:-1]
+    return set(d[same].tolist())
+
+
+def test_every_document_with_a_shared_run_of_51_words_is_found(spark):
+    """Also those that say one word again and again; none without a shared run of 20 words."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    texts = {i: t or "" for i, t in dicts(docs, "doc_id", "text")}
+    found = {r.doc_id for r in repeated_spans(docs).select("doc_id").distinct().collect()}
+    assert len(_sharing(texts, 51)) > 2000
+    assert not _sharing(texts, 51) - found and not found - _sharing(texts, 20)
+
+
+def test_phrases_said_again_and_again(spark):
+    rng = random.Random(9)
+
+    def words(n):
+        return " ".join("".join(rng.choice("abcdefghijklm") for _ in range(rng.randint(2, 8))) for _ in range(n))
+    docs, want = {}, set()
+    for k in range(60):
+        phrase = words(rng.randint(1, 3))
+        for j in range(2):
+            docs[2 * k + j] = f"{words(rng.randint(0, 30))} {' '.join([phrase] * rng.randint(60, 80))} {words(rng.randint(0, 30))}"
+            want.add(2 * k + j)
+    docs |= {1000 + k: words(200) for k in range(20)}
+    got = repeated_spans(table(spark, [(i, t, "s") for i, t in docs.items()]))
+    assert {r.doc_id for r in got.collect()} == want
+
+
+def test_selected_stretches_are_least_of_a_window():
+    rng = random.Random(3)
+    for _ in range(40):
+        text = " ".join("".join(rng.choice("abcdef") for _ in range(rng.randint(1, 9))) for _ in range(rng.randint(0, 150)))
+        bounds, words, within, total = _cut(text, 12)
+        on = {}
+        for i, (w, inside) in enumerate(zip(words, within)):
+            later = [j for j in range(len(bounds)) if words[j] >= w - inside + 8]
+            if later:
+                on[i] = int(_digest(total, bounds[[i]], bounds[[later[0]]])[0])
+        want = {min(d for j, d in on.items() if j >= i and words[j] < words[i] + 5) for i in on}
+        assert set(selected(text, 12, 8, 5).tolist()) == want
+
+
+def test_text_ids_and_spans(spark):
+    """first_id is an id, the smallest in the order of texts; spans against all runs of words."""
+    rng = random.Random(12)
+
+    def words(n):
+        return ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(3, 9))) for _ in range(n)]
+    shared = [words(70) for _ in range(6)]
+    docs, at = {}, {}
+    for k in range(24):
+        name, body = f"doc{k}", words(rng.randint(5, 60))
+        p = rng.randrange(6)
+        at[name] = (p, len(body), len(body) + 70)
+        docs[name] = body + shared[p] + words(rng.randint(5, 60))
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in docs.items()] + [(None, " ".join(words(10) + shared[0]))], "doc_id string, text string")
+    got = [r for r in repeated_spans(df).collect() if r.doc_id is not None]
+    holders = {p: sorted(n for n, (q, *_) in at.items() if q == p) for p in range(6)}
+    want = {n for who in holders.values() if len(who) > 1 for n in who} | set(holders[0])
+    assert {r.doc_id for r in got} == want
+    # two later documents may have a bound in common that the first has not, near an end: a piece of its own
+    whole = [r for r in got if r.n_words >= 25]
+    assert len(whole) == len(want) and all(r.n_words <= 15 and not r.removed for r in got if r.n_words < 25)
+    for r in whole:
+        p, a, z = at[r.doc_id]
+        text = " ".join(docs[r.doc_id])
+        begin, end = len(text[:r.start].split()), len(text[:r.end].split())
+        # inside the passage, but for the word next to it that ends alike; short of it by one chunk or two on each side
+        assert a - 1 <= begin <= a + 20 and z - 20 <= end <= z + 1
+        assert r.first_id == holders[p][0] and r.removed == (r.doc_id != holders[p][0])
+    lone = [r for r in repeated_spans(df).collect() if r.doc_id is None]
+    assert len(lone) == 1 and lone[0].first_id == holders[0][0]
