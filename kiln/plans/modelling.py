@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from kiln.functions.arrays import argmax
 from kiln.functions.columns import dummies, standardize
+from kiln.operators import forest_search as FS
 from kiln.operators import models as M
 from kiln.operators import network as N
 from kiln.operators import relational as R
@@ -256,27 +257,22 @@ def m13_param_grid(spark, sf_dir):
          .cast("int").alias("spark_max_depth"))
 
 
-#: The grid that the registered search covers: every setting of it is tried.
-SEARCH = {"n_estimators": [10, 20], "max_features": ["auto", "sqrt"], "max_depth": [4, None], "min_samples_split": [2],
-          "min_samples_leaf": [1, 4], "bootstrap": [True]}
-
-
 @query("m14_random_search")
 def m14_random_search(spark, sf_dir, lists=None, n_iter=100, folds=3):
-    """Settings sampled from a grid with 3-fold cross-validation; one row for each
-    setting with its mean MSE, and for the best one the metrics of its refit on
-    the training and validation rows."""
+    """``n_iter`` settings drawn from the grid of 4,320 with 3-fold cross-validation;
+    one row for each setting with its mean MSE, and for the best one the errors of
+    its refit on the training and validation rows."""
     tr, te, _ = _split(spark, sf_dir)
-    best, results = M.random_search(M.forest(seed=SEED), tr, M.param_grid(spark, lists or SEARCH), n_iter, folds, SEED)
+    settings = M.sample_settings(M.param_grid(spark, lists or M.grid_lists()), n_iter, SEED)
+    results = FS.nested_search(tr, settings, folds, SEED, ["ts_hour"])
     least = min(r["mean_mse"] for r in results)
-    refit = {e.dataset: e for e in M.evaluate(
-        best.transform(tr).withColumn("dataset", F.lit("training")).unionByName(best.transform(te).withColumn("dataset", F.lit("validation"))),
-        by="dataset").collect()}
-    rows = [(int(s["n_estimators"]), s["max_features"], s["max_depth"], int(s["min_samples_leaf"]), bool(s["bootstrap"]), s["mean_mse"],
-             s["mean_mse"] == least, *((refit[d].mse if s["mean_mse"] == least else None) for d in ("training", "validation")))
+    best = next(s for s, r in zip(settings, results) if r["mean_mse"] == least)
+    refit = FS.forest_scores(tr, {"training": tr, "validation": te}, best, SEED, ["ts_hour"])
+    rows = [(int(s["n_estimators"]), s["max_features"], s["max_depth"], int(s["min_samples_split"]), int(s["min_samples_leaf"]), bool(s["bootstrap"]),
+             s["mean_mse"], s["mean_mse"] == least, *((refit[d] if s["mean_mse"] == least else None) for d in ("training", "validation")))
             for s in results]
-    return spark.createDataFrame(rows, "n_estimators int, max_features string, max_depth int, min_samples_leaf int, bootstrap boolean, "
-                                       "mean_mse double, best boolean, training_mse double, validation_mse double")
+    return spark.createDataFrame(rows, "n_estimators int, max_features string, max_depth int, min_samples_split int, min_samples_leaf int, "
+                                       "bootstrap boolean, mean_mse double, best boolean, training_mse double, validation_mse double")
 
 
 @query("m15_importances")

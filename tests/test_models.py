@@ -1,12 +1,15 @@
 """Fitted models: trees against their own node tables, forests and searches by
 what must hold for any fit."""
 
+import itertools
 import random
 from fractions import Fraction
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from kiln.operators import forest_search as FS
 from kiln.operators.tree import prune, reg_tree
 from kiln.plans import all_queries, modelling
 
@@ -124,12 +127,73 @@ def test_leaderboard_has_both_sets_of_every_model(spark, sf):
     assert len({(r.model, r.dataset) for r in rows}) == len(rows) == 14 and all(r.mse >= 0 for r in rows)
 
 
+def plain_forest_tree(x, y, w, min_leaf, depth, least):
+    """Prediction function of a weighted tree on every feature, cut off by depth and least rows."""
+    def grow(rows, d):
+        mean = sum(w[i] * y[i] for i in rows) / sum(w[i] for i in rows)
+        best = None
+        if len(rows) >= least and (depth is None or d < depth):
+            def score(part):
+                return sum(w[i] * y[i] for i in part) ** 2 / sum(w[i] for i in part)
+            for f in range(len(x[0])):
+                values = sorted({x[i][f] for i in rows})
+                for a, b in zip(values, values[1:]):
+                    left, right = [i for i in rows if x[i][f] <= a], [i for i in rows if x[i][f] > a]
+                    gain = score(left) + score(right) - score(rows)
+                    if min(len(left), len(right)) >= min_leaf and gain > 1e-9 and (best is None or gain > best[0] + 1e-9):
+                        best = gain, f, (a + b) / 2, left, right
+        if best is None:
+            return lambda v: mean
+        _, f, cut, left, right = best
+        sons = grow(left, d + 1), grow(right, d + 1)
+        return lambda v: sons[0 if v[f] <= cut else 1](v)
+    return grow([i for i in range(len(y)) if w[i]], 0)
+
+
+@pytest.mark.parametrize("min_leaf", [1, 3])
+def test_cut_off_trees_equal_trees_grown_so(min_leaf):
+    rng = np.random.default_rng(min_leaf)
+    x, y = np.column_stack([rng.random(60), rng.integers(0, 3, 60), rng.random(60)]), rng.random(60) * 10
+    w = np.bincount(rng.integers(0, 60, 60), minlength=60).astype(float)
+    tree = FS.grow_tree(x, y, np.argsort(x, axis=0, kind="stable").T, w, 3, min_leaf, rng)
+    depths, leasts = [0, 1, 3, None], [2, 5, 10]
+    got = FS.cut_predictions(tree, x, depths, leasts)
+    for i, d in enumerate(depths):
+        for k, m in enumerate(leasts):
+            plain = plain_forest_tree(x.tolist(), y.tolist(), w.tolist(), min_leaf, d, m)
+            assert got[i, k] == pytest.approx([plain(v) for v in x.tolist()])
+
+
+def test_nested_search_equals_a_forest_for_each_setting(spark):
+    rng = np.random.default_rng(8)
+    x, y = np.column_stack([rng.random((50, 3)), rng.integers(0, 2, 50)]), rng.random(50)
+    df = spark.createDataFrame([(i, a.tolist(), float(b)) for i, (a, b) in enumerate(zip(x, y))], "id long, features array<double>, label double").repartition(3)
+    lists = {"n_estimators": [2, 4], "max_features": ["auto", "sqrt"], "max_depth": [2, None], "min_samples_split": [2, 9], "min_samples_leaf": [1, 3], "bootstrap": [True, False]}
+    settings = [dict(zip(lists, v)) for v in itertools.product(*lists.values())]
+    got = FS.nested_search(df, settings, 3, 5, block=2)
+    fold = np.array([r[0] for r in df.orderBy("id").select(F.pmod(F.xxhash64("id"), F.lit(3))).collect()])
+    kinds = list(dict.fromkeys((s["max_features"], s["min_samples_leaf"], s["bootstrap"]) for s in settings))
+    for s in got:
+        k, errors = kinds.index((s["max_features"], s["min_samples_leaf"], s["bootstrap"])), []
+        for p in range(3):
+            fit, held, total = fold != p, fold == p, 0
+            for t in range(s["n_estimators"]):
+                draw = np.random.default_rng([5, k, p, t // 2, t % 2])
+                n = int(fit.sum())
+                w = np.bincount(draw.integers(0, n, n), minlength=n).astype(float) if s["bootstrap"] else np.ones(n)
+                tree = FS.grow_tree(x[fit], y[fit], np.argsort(x[fit], axis=0, kind="stable").T, w, 4 if s["max_features"] == "auto" else 2, s["min_samples_leaf"], draw)
+                total = total + FS.cut_predictions(tree, x[held], [s["max_depth"]], [s["min_samples_split"]])[0, 0]
+            errors.append(np.mean((y[held] - total / s["n_estimators"]) ** 2))
+        assert s["mean_mse"] == pytest.approx(np.mean(errors))
+    assert len({r["mean_mse"] for r in got}) > 30
+
+
 def test_search_refits_the_best_setting(spark, sf):
-    small = {"n_estimators": [3, 6], "max_features": ["auto"], "max_depth": [2], "min_samples_split": [2], "min_samples_leaf": [1], "bootstrap": [True]}
-    rows = modelling.m14_random_search(spark, sf, small).collect()
+    small = {"n_estimators": [200, 400], "max_features": ["sqrt"], "max_depth": [2, 20], "min_samples_split": [2], "min_samples_leaf": [4], "bootstrap": [True]}
+    rows = modelling.m14_random_search(spark, sf, small, 3).collect()
     best = [r for r in rows if r.best]
-    assert len(rows) == 2 and best[0].mean_mse == min(r.mean_mse for r in rows)
-    assert best[0].training_mse >= 0 and best[0].validation_mse >= 0
+    assert len(rows) == 3 and best[0].mean_mse == min(r.mean_mse for r in rows)
+    assert 0 <= best[0].training_mse < best[0].mean_mse and best[0].validation_mse >= 0
 
 
 def test_head_is_scored_on_held_out_rows(spark, sf):
