@@ -107,15 +107,16 @@ def evaluate(pred: DataFrame, y: str = "label", yhat: str = "prediction", by=Non
 
 
 def leaderboard(models: dict, train: DataFrame, valid: DataFrame, label: str = "label") -> DataFrame:
-    """Fit each estimator on ``train``; MSE/RMSLE/R2 on train and validation."""
-    out = None
+    """Fit each estimator on ``train``; MSE/RMSLE/R2 on train and validation.
+    Every model is fitted and measured here, so that callers may let go of cached
+    tables; the result is two rows for each."""
+    rows = []
     for name, est in models.items():
         m = est.fit(train)
         both = (m.transform(train).withColumn("dataset", F.lit("training"))
                 .unionByName(m.transform(valid).withColumn("dataset", F.lit("validation"))))
-        e = evaluate(both, label, "prediction", "dataset").withColumn("model", F.lit(name))
-        out = e if out is None else out.unionByName(e)
-    return out.select("model", "dataset", "mse", "rmsle", "r2")
+        rows += [(name, r.dataset, r.mse, r.rmsle, r.r2) for r in evaluate(both, label, "prediction", "dataset").collect()]
+    return train.sparkSession.createDataFrame(rows, "model string, dataset string, mse double, rmsle double, r2 double")
 
 
 def param_grid(spark, lists: dict) -> DataFrame:

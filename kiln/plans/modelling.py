@@ -14,6 +14,9 @@ from kiln.operators import models as M
 from kiln.operators import network as N
 from kiln.operators import relational as R
 from kiln.operators.basket import baskets
+from kiln.operators.kernel import SupportRegressor
+from kiln.operators.neighbours import NeighbourBag
+from kiln.operators.sgd import SgdRegressor
 from kiln.operators.tree import reg_tree
 from kiln.plans.registry import query
 from kiln.sources.tables import Tables
@@ -186,17 +189,23 @@ def m10_tree_nodes(spark, sf_dir):
 
 
 def _models(tr):
+    """The thirteen models of the comparison, with the library's settings."""
     sd, n = M.label_stats(tr, "label")
-    return {"linear": M.ols(), "lasso": M.lasso(0.1), "ridge": M.ridge(0.5, sd, n), "elastic_net": M.enet(1.0, 0.5, sd),
-            "forest": M.forest(300, seed=SEED), "bagged_trees": M.bagged_trees(seed=SEED),
-            "boosted_depth": M.boosted("depth"), "boosted_leaf": M.boosted("leaf")}
+    return {"sgd": SgdRegressor(seed=SEED), "lasso": M.lasso(0.1), "elastic_net": M.enet(1.0, 0.5, sd), "ridge": M.ridge(0.5, sd, n),
+            "svr_linear": SupportRegressor("linear"), "svr_rbf": SupportRegressor("rbf"), "bagged_trees": M.bagged_trees(seed=SEED),
+            "bagged_neighbours": NeighbourBag(seed=SEED), "nu_svr": SupportRegressor("rbf", nu=0.5), "forest": M.forest(300, seed=SEED),
+            "boosted_depth": M.boosted("depth"), "linear": M.ols(), "boosted_leaf": M.boosted("leaf")}
 
 
 @query("m11_leaderboard")
 def m11_leaderboard(spark, sf_dir):
     tr, te, _ = _split(spark, sf_dir)
     tr, te = tr.cache(), te.cache()
-    return M.leaderboard(_models(tr), tr, te)
+    try:
+        return M.leaderboard(_models(tr), tr, te)
+    finally:
+        tr.unpersist()
+        te.unpersist()
 
 
 @query("m12_evaluate", """
