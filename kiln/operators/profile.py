@@ -2,8 +2,8 @@
 
 Each summary is one aggregate pass over the data, then reshaped to long form
 with ``inline`` (rows of structs), so the result is a small table.
-Exact quantiles use ``percentile`` (linear interpolation, as R/pandas); set
-``exact=False`` to use ``percentile_approx`` on very high-cardinality columns.
+Exact quantiles interpolate linearly, as R and pandas do; ``exact=False`` ranks by
+KLL sketches instead, for columns of very many values.
 """
 
 from __future__ import annotations
@@ -37,8 +37,8 @@ def describe_schema(df: DataFrame) -> DataFrame:
 def summary6(df: DataFrame, cols, exact: bool = True) -> DataFrame:
     """Min, q1, median, mean, q3, max per column (R ``summary``), long form.
 
-    Quartiles come from the distributed exact ``quantiles`` (or
-    ``percentile_approx`` with ``exact=False``); min/max/mean from one aggregate.
+    Quartiles come from the distributed exact ``quantiles`` (or from sketches
+    with ``exact=False``); min/max/mean from one aggregate.
     """
     cols = [cols] if isinstance(cols, str) else list(cols)
     base = _melt(df, cols).groupBy("column").agg(F.min("value").alias("min"), F.max("value").alias("max"),
@@ -57,53 +57,94 @@ def _quartiles(df: DataFrame, cols, probs, exact: bool) -> DataFrame:
         q = quantiles(df, cols, probs)
         return q.groupBy("column").agg(*[F.max(F.when(F.col("p") == p, F.col("value"))).alias(nm)
                                          for p, nm in zip(probs, names)])
-    m = _melt(df, cols).groupBy("column").agg(
-        F.percentile_approx("value", F.array(*[F.lit(p) for p in probs]), 100000).alias("_q"))
+    m = _melt(df, cols).where("value IS NOT NULL").groupBy("column").agg(
+        F.kll_sketch_get_quantile_double(F.kll_sketch_agg_double("value"), F.array(*[F.lit(float(p)) for p in probs])).alias("_q"))
     return m.select("column", *[F.col("_q")[i].alias(nm) for i, nm in enumerate(names)])
 
 
+def _text_counts(df: DataFrame, cols) -> DataFrame:
+    """(column, value, n): how often each text column holds each value, nulls left out."""
+    each = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("value")) for c in cols])
+    return df.select(F.inline(each)).where("value IS NOT NULL").groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
 def skim(df: DataFrame, exact: bool = True, approx_distinct: bool = False) -> DataFrame:
-    """Skimr-style profile, one row per column, in one aggregate pass.
+    """Skimr-style profile, one row per column.
 
     Text columns: n_missing, complete_rate, min/max length, empty, n_unique,
-    whitespace. Numeric: n_missing, complete_rate, mean, sd, p0..p100.
+    whitespace. Numeric: n_missing, complete_rate, mean, sd, p0..p100. All but text
+    is one aggregate. What is told of text follows from one relation of counted
+    values, so that a frequent value is one row and is measured once. With
+    ``exact=False`` sketches count distinct values (HyperLogLog, 2 % standard error)
+    and rank numbers (KLL, 1.5 % of the rows); ``approx_distinct`` has the first only.
     """
-    aggs, rows, numeric = [F.count(F.lit(1)).alias("_n")], [], []
-    null_d = F.lit(None).cast("double")
-    null_l = F.lit(None).cast("bigint")
+    texts = [c for c, t in df.dtypes if t == "string"]
+    numeric = [c for c, t in df.dtypes if t in NUMERIC]
+    aggs = [F.count(F.lit(1)).alias("_n")]
     for i, (c, t) in enumerate(df.dtypes):
         col = F.col(f"`{c}`")
         aggs.append(F.count(col).alias(f"nn{i}"))
-        if t == "string":
-            uniq = F.approx_count_distinct(col) if approx_distinct else F.count_distinct(col)
-            aggs += [F.min(F.length(col)).alias(f"lmin{i}"), F.max(F.length(col)).alias(f"lmax{i}"),
-                     F.count_if(col == "").alias(f"emp{i}"), uniq.alias(f"un{i}"),
-                     F.count_if(col.rlike(f"^{WS_CLASS}+$")).alias(f"ws{i}")]
-            kind = "character"
-            vals = [F.col(f"lmin{i}").cast("bigint"), F.col(f"lmax{i}").cast("bigint"), F.col(f"emp{i}"),
-                    F.col(f"un{i}"), F.col(f"ws{i}"), null_d, null_d, null_d, null_d, null_d, null_d, null_d]
-        elif t in NUMERIC:
+        if t in NUMERIC:
             aggs += [F.avg(col.cast("double")).alias(f"av{i}"), F.stddev_samp(col.cast("double")).alias(f"sd{i}")]
-            kind = "numeric"
-            numeric.append(c)
-            vals = [null_l] * 5 + [F.col(f"av{i}"), F.col(f"sd{i}")] + [F.lit(None).cast("double")] * 5
-        else:
-            kind = "other"
-            vals = [null_l] * 5 + [null_d] * 7
-        names = ["min_len", "max_len", "empty", "n_unique", "whitespace",
-                 "mean", "sd", "p0", "p25", "p50", "p75", "p100"]
-        rows.append(F.struct(F.lit(c).alias("skim_variable"), F.lit(kind).alias("skim_type"),
-                             (F.col("_n") - F.col(f"nn{i}")).alias("n_missing"),
+        elif t == "string" and (approx_distinct or not exact):
+            aggs.append(F.hll_sketch_estimate(F.hll_sketch_agg(col)).alias(f"un{i}"))
+    rows = []
+    for i, (c, t) in enumerate(df.dtypes):
+        kind = "character" if t == "string" else "numeric" if t in NUMERIC else "other"
+        known = {"mean": F.col(f"av{i}"), "sd": F.col(f"sd{i}")} if kind == "numeric" else {}
+        if kind == "character" and (approx_distinct or not exact):
+            known["_unique"] = F.col(f"un{i}")
+        rows.append(F.struct(F.lit(c).alias("skim_variable"), F.lit(kind).alias("skim_type"), (F.col("_n") - F.col(f"nn{i}")).alias("n_missing"),
                              F.try_divide(F.col(f"nn{i}"), F.col("_n")).alias("complete_rate"),
-                             *[v.alias(nm) for v, nm in zip(vals, names)]))
+                             known.get("_unique", F.lit(None)).cast("bigint").alias("_unique"),
+                             *[known.get(k, F.lit(None).cast("double")).alias(k) for k in ("mean", "sd")]))
     out = df.agg(*aggs).select(F.inline(F.array(*rows)))
-    if not numeric:
-        return out
-    q = _quartiles(df, numeric, [0.0, 0.25, 0.5, 0.75, 1.0], exact).withColumnRenamed("column", "skim_variable")
+    null_l = F.lit(None).cast("bigint")
+    if texts:
+        size = F.length("value").cast("bigint")
+        told = _text_counts(df, texts).groupBy("column").agg(
+            F.min(size).alias("min_len"), F.max(size).alias("max_len"), F.sum(F.when(F.col("value") == "", F.col("n")).otherwise(0)).alias("empty"),
+            F.count(F.lit(1)).alias("_values"), F.sum(F.when(F.col("value").rlike(f"^{WS_CLASS}+$"), F.col("n")).otherwise(0)).alias("whitespace"))
+        out = out.join(told.withColumnRenamed("column", "skim_variable"), "skim_variable", "left")
+        is_text = F.col("skim_type") == "character"
+        for c in ("empty", "whitespace"):
+            out = out.withColumn(c, F.when(is_text, F.coalesce(c, F.lit(0))))
+        out = out.withColumn("n_unique", F.when(is_text, F.coalesce("_unique", "_values", F.lit(0))))
+    else:
+        out = out.select("*", *[null_l.alias(c) for c in ("min_len", "max_len", "empty", "n_unique", "whitespace")])
     pcols = ["p0", "p25", "p50", "p75", "p100"]
-    return (out.drop(*pcols).join(q, "skim_variable", "left")
-               .select(*[c for c in out.columns if c not in pcols],
-                       *[F.col(f"q{k}").alias(pc) for k, pc in zip((0, 25, 50, 75, 100), pcols)]))
+    if numeric:
+        q = _quartiles(df, numeric, [0.0, 0.25, 0.5, 0.75, 1.0], exact).withColumnRenamed("column", "skim_variable")
+        out = out.join(q, "skim_variable", "left").withColumnsRenamed({f"q{k}": p for k, p in zip((0, 25, 50, 75, 100), pcols)})
+    else:
+        out = out.select("*", *[F.lit(None).cast("double").alias(p) for p in pcols])
+    return out.select("skim_variable", "skim_type", "n_missing", "complete_rate", "min_len", "max_len", "empty", "n_unique", "whitespace",
+                      "mean", "sd", *pcols)
+
+
+def sketches(df: DataFrame, by: list[str]) -> DataFrame:
+    """Mergeable sketches of each part of a table (its partitions, days, files):
+    (by..., column, n, distinct, ranks), one row for each part and column. Kept
+    next to the table, they profile any union of parts without reading it again."""
+    kept = [(c, t) for c, t in df.dtypes if c not in by and (t == "string" or t in NUMERIC)]
+    rows = [F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("n"), F.col(f"d{i}").alias("distinct"),
+                     (F.col(f"r{i}") if t != "string" else F.lit(None).cast("binary")).alias("ranks")) for i, (c, t) in enumerate(kept)]
+    aggs = []
+    for i, (c, t) in enumerate(kept):
+        col = F.col(f"`{c}`")
+        aggs += [F.count(col).alias(f"n{i}"), F.hll_sketch_agg(col if t == "string" else col.cast("double").cast("string")).alias(f"d{i}")]
+        if t != "string":
+            aggs.append(F.kll_sketch_agg_double(col.cast("double")).alias(f"r{i}"))
+    return df.groupBy(*by).agg(*aggs).select(*by, F.inline(F.array(*rows)))
+
+
+def profile_of(sketched: DataFrame, probs=(0.0, 0.25, 0.5, 0.75, 1.0)) -> DataFrame:
+    """(column, n, n_unique, quantiles) of all parts together, from their sketches;
+    quantiles are null for text."""
+    merged = sketched.groupBy("column").agg(F.sum("n").alias("n"), F.hll_sketch_estimate(F.hll_union_agg("distinct")).alias("n_unique"),
+                                            F.kll_merge_agg_double("ranks").alias("_r"), F.max(F.col("ranks").isNotNull()).alias("_num"))
+    found = F.kll_sketch_get_quantile_double("_r", F.array(*[F.lit(float(p)) for p in probs]))
+    return merged.select("column", "n", "n_unique", F.when(F.col("_num") & (F.col("n") > 0), found).alias("quantiles"))
 
 
 def _melt(df: DataFrame, cols) -> DataFrame:

@@ -8,8 +8,10 @@ may match missing keys to each other.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -371,20 +373,65 @@ def sample_n(df: DataFrame, n_rows: int, seed: int = 0, replace: bool = False,
     Without replacement: rows ordered by a seeded hash of ``key`` (default: all
     columns) and the first n kept - a bounded top-k, stable under
     repartitioning. With replacement: n seeded positions, hashes of the draw's
-    number, joined to the row positions of the table.
+    number, in the order of the table (``rows_at``).
     """
     if not replace:
         k = [F.col(c) for c in (_cols(key) if key else df.columns)]
         return (df.withColumn("_h", hash8(seed, *k))
                   .orderBy("_h", *k).limit(n_rows).drop("_h"))
+    cols = [order] if isinstance(order, str) else list(order or df.columns)
+    n = df.count()
+    draws = (df.sparkSession.range(n_rows if n else 0).withColumnRenamed("id", "draw")
+               .withColumn("_pos", F.conv(hash8(seed, "draw"), 16, 10).cast("long") % F.lit(max(n, 1))))
+    return draws.join(rows_at(df, cols, draws.select("_pos").distinct(), "_pos"), "_pos").drop("_pos")
+
+
+def rows_at(df: DataFrame, order: list[str], wanted: DataFrame, pos: str, buckets: int = 2048) -> DataFrame:
+    """The rows of ``df`` at the positions ``wanted`` (one column ``pos``, few rows,
+    counted from 0 in the order of all of ``order``), with ``pos`` added.
+
+    The table is not sorted. Bounds near the quantiles of the first column deal its
+    rows to ``buckets`` ranges, which are counted; only rows of a range that holds a
+    wanted position are moved and put in order. A first column that is no number,
+    date or time is ordered by the whole (``row_index``).
+    """
+    kind = df.schema[order[0]].dataType.typeName()
+    if kind not in ("byte", "short", "integer", "long", "float", "double", "date", "timestamp", "timestamp_ntz"):
+        idx = row_index(df, order, name=pos, start=0)
+        return idx.join(wanted, pos)
+    first = F.col(order[0])
+    if kind == "date":
+        value = F.unix_date(first).cast("double")
+    elif kind.startswith("timestamp"):
+        value = F.unix_micros(first.cast("timestamp")).cast("double")
+    else:
+        value = first.cast("double")
+    probs = F.array(*[F.lit(k / buckets) for k in range(1, buckets)])
+    bounds = df.agg(F.percentile_approx(value, probs, 4 * buckets)).first()[0] or []
+    # range of a value: how many distinct bounds lie at or below it; nulls come first
+    splits = [-math.inf, *(sorted({b for b in bounds if math.isfinite(b)}) or [0.0]), math.inf]
+    deal = Bucketizer(splits=splits, inputCol="_value", outputCol="_range", handleInvalid="keep")
+    valued = df.withColumn("_value", F.when(~F.isnan(value), value))
+    dealt = deal.transform(valued).withColumn("_range", F.when(first.isNull(), -1.0).when(F.col("_value").isNull(), float(len(splits))).otherwise(F.col("_range"))).drop("_value")
+    counts = sorted((r["_range"], r["count"]) for r in dealt.groupBy("_range").count().collect())
+    start, spans = 0, []
+    for bucket, n in counts:  # as many rows as there are ranges
+        spans.append((bucket, start, start + n))
+        start += n
     spark = df.sparkSession
-    idx = row_index(df, order or df.columns, name="_pos", start=0)
-    total = df.agg(F.count(F.lit(1)).alias("_n"))
-    draws = (spark.range(n_rows).withColumnRenamed("id", "draw")
-                  .crossJoin(F.broadcast(total))
-                  .withColumn("_pos", F.conv(hash8(seed, "draw"), 16, 10).cast("long") % F.col("_n"))
-                  .drop("_n"))
-    return draws.join(idx, "_pos").drop("_pos")
+    table = F.broadcast(spark.createDataFrame(spans, "_range double, _from long, _to long"))
+    held = wanted.join(table, (F.col(pos) >= F.col("_from")) & (F.col(pos) < F.col("_to")))
+    chosen = [r["_range"] for r in held.select("_range").distinct().collect()]
+    before, moved = 0, {}
+    for bucket, a, z in spans:
+        if bucket in set(chosen):
+            moved[bucket] = a - before  # what lies outside the chosen ranges, up to this one
+            before += z - a
+    if not moved:
+        return df.limit(0).withColumn(pos, F.lit(0).cast("long"))
+    shift = F.element_at(F.create_map(*[F.lit(x) for b, m in moved.items() for x in (b, m)]), F.col("_range"))
+    near = row_index(dealt.where(F.col("_range").isin(chosen)), ["_range", *order], name="_at", start=0)
+    return near.withColumn(pos, F.col("_at") + shift).drop("_range", "_at").join(wanted, pos)
 
 
 # --- set operations ------------------------------------------------------------

@@ -100,7 +100,23 @@ def p5_histograms(spark, sf_dir, bins=10):
     return P.histograms(views(spark, sf_dir).hourly, HOURLY_NUM, bins)
 
 
-@query("p6_hist_pretty")
+def _pretty_sql(where="TRUE"):
+    """The break rule for one subset of the counts: the step is 1, 2, 5 or 10 times a power of ten."""
+    return f"""(WITH v AS (SELECT "count"::DOUBLE AS c FROM uc WHERE {where}),
+s AS (SELECT count(*) AS n, min(c) AS lo, max(c) AS hi, ceil(log2(count(*)) + 1) AS k, greatest(abs(min(c)), abs(max(c))) AS size FROM v),
+w AS (SELECT *, CASE WHEN hi - lo < 1e-14 * size THEN 0.75 * CASE WHEN size <= 10 THEN size ELSE 9 + size / 10 END ELSE (hi - lo) / k END AS width FROM s WHERE n > 0),
+p AS (SELECT *, 10.0 ** floor(log10(width)) AS power FROM w),
+t AS (SELECT *, power * CASE WHEN width / power <= 1.4 THEN 1 WHEN width / power <= 2.8 THEN 2 WHEN width / power <= 7 THEN 5 ELSE 10 END AS step FROM p),
+b AS (SELECT *, floor(lo / step + 1e-10)::BIGINT AS a, ceil(hi / step - 1e-10)::BIGINT AS z FROM t),
+g AS (SELECT lo, step, a, greatest(z, a + 1) - a AS bins, unnest(range(1, greatest(z, a + 1) - a + 1)) AS bin FROM b),
+h AS (SELECT greatest(1, least(bins, ceil((c - a * step) / step - 1e-7)))::BIGINT AS bin, count(*) AS n FROM v, (SELECT DISTINCT a, step, bins FROM g) GROUP BY 1)
+SELECT bin::INTEGER AS bin, ((a + bin - 1) * step)::DOUBLE AS lower, ((a + bin) * step)::DOUBLE AS upper, coalesce(n, 0)::BIGINT AS n FROM g LEFT JOIN h USING (bin))"""
+
+
+@query("p6_hist_pretty", f"""
+WITH uc AS (SELECT customer_id, count(*) AS "count" FROM receipt LEFT JOIN shopper USING (customer_id) GROUP BY customer_id)
+SELECT *, 'all' AS subset FROM {_pretty_sql()} UNION ALL SELECT *, 'below_100' AS subset FROM {_pretty_sql('"count" < 100')}
+""")
 def p6_hist_pretty(spark, sf_dir):
     """Visits per customer: histogram of all counts and of counts below 100."""
     v = views(spark, sf_dir)
