@@ -390,7 +390,7 @@ def rows_at(df: DataFrame, order: list[str], wanted: DataFrame, pos: str, bucket
     """The rows of ``df`` at the positions ``wanted`` (one column ``pos``, few rows,
     counted from 0 in the order of all of ``order``), with ``pos`` added.
 
-    The table is not sorted. Bounds near the quantiles of the first column deal its
+    The table, whose rows must be the same each time it is read, is not sorted. Bounds near the quantiles of the first column deal its
     rows to ``buckets`` ranges, which are counted; only rows of a range that holds a
     wanted position are moved and put in order. A first column that is no number,
     date or time is ordered by the whole (``row_index``).
