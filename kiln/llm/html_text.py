@@ -18,9 +18,12 @@ from kiln.llm.registry import query
 
 # Names of HTML elements by their part in the page.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = frozenset("script style textarea title noscript template svg math iframe object select button canvas".split())
+_RAW = frozenset("script style textarea title iframe".split())
+_UNSHOWN = frozenset("noscript template svg select button canvas annotation annotation-xml".split())
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp "
-                    "small span strike strong sub sup time tt u var wbr img".split())
+                    "small span strike strong sub sup time tt u var wbr img object "
+                    "math merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mroot mrow ms mspace msqrt mstyle msub "
+                    "msubsup msup mtable mtd mtext mtr munder munderover semantics".split())
 _AUTO_CLOSE = {"li": {"li"}, "p": {"p"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
                "th": {"td", "th"}, "option": {"option"}}
 _CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header "
@@ -33,6 +36,7 @@ _BOILER_WORDS = frozenset("ad ads advert adverts advertisement advertising spons
                           "popup modal newsletter subscribe signup share sharing social comment comments commentlist respond "
                           "replies reply disqus related recommended widget pagination pager search login form skip".split())
 _HEADERS = frozenset(("header", "masthead"))
+_LOOSE = frozenset("search reply replies login skip form menu".split())  # inside an article also what it is about
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
                     r"|<(?P<end>/)?(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']+|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)"
                     r"|</?[a-zA-Z][^>]*(?:>|\Z)|(?P<text>[^<]+|<)", re.S)
@@ -71,10 +75,15 @@ def _contexts(tag: str, attrs: str) -> tuple[frozenset, bool]:
 def parse(page: str) -> tuple[list[Block], list[tuple[str, int]], dict[int, tuple]]:
     """(blocks, events, elements) of a page. An event is a tag's name or a piece
     of text of a block ("", block); elements has (name, contexts, whether an
-    article or a main heading lies inside) by number."""
+    article or a main heading lies inside) by number.
+
+    Scripts, styles, text areas, titles and frames hold no markup and end with their
+    own end tag. Buttons, lists to choose from, drawings and the like are left out
+    without breaking the paragraph around them; where one is not closed before the
+    next of its name, or at all, it ends with its parent or the next paragraph."""
     blocks, events, elements, holders = [], [], {}, set()
     stack: list[tuple[int, str, frozenset, bool]] = []  # number, name, contexts, hidden
-    block, raw, pos = None, None, 0
+    block, raw, pos, endless = None, None, 0, set()
 
     def close(to: int):
         nonlocal block
@@ -84,8 +93,12 @@ def parse(page: str) -> tuple[list[Block], list[tuple[str, int]], dict[int, tupl
 
     while pos < len(page):
         if raw:
-            m = re.compile(rf"</{raw}\b[^>]*(?:>|\Z)", re.I).search(page, pos)
-            pos, raw = (m.end() if m else len(page)), None
+            m = re.compile(rf"</{raw}\b[^>]*(?:>|\Z)", re.I).search(page, pos) if raw not in endless else None
+            if not m:
+                endless.add(raw)
+            if m or raw in ("script", "style"):
+                pos = m.end() if m else len(page)
+            raw = None
             continue
         m = _TOKEN.match(page, pos)
         pos = m.end()
@@ -99,6 +112,23 @@ def parse(page: str) -> tuple[list[Block], list[tuple[str, int]], dict[int, tupl
                 elif tag not in _INLINE:
                     block = None
                 continue
+            if tag in _RAW:
+                raw = None if m["attrs"].rstrip().endswith("/") else tag
+                continue
+            if tag in _UNSHOWN:
+                if m["attrs"].rstrip().endswith("/"):
+                    continue
+                e = re.compile(rf"<(/?){tag}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(page, pos)
+                if e and e[1]:
+                    pos = e.end()
+                else:
+                    elements[len(elements)] = (tag, frozenset({f"<{tag}>"}))
+                    stack.append((len(elements) - 1, tag, frozenset({f"<{tag}>"}), True))
+                continue
+            if tag in _CLOSES_P:
+                open_ = next((i for i, e in enumerate(stack) if e[1] in _UNSHOWN), None)
+                if open_ is not None:
+                    close(open_)
             if tag in _CLOSES_P or tag in _AUTO_CLOSE:
                 ends = _AUTO_CLOSE.get(tag, set()) | ({"p"} if tag in _CLOSES_P else set())
                 for i in range(len(stack) - 1, -1, -1):
@@ -114,9 +144,6 @@ def parse(page: str) -> tuple[list[Block], list[tuple[str, int]], dict[int, tupl
                     continue
             elif tag not in _INLINE:
                 block = None
-            if tag in _RAW:
-                raw = None if m["attrs"].rstrip().endswith("/") else tag
-                continue
             if tag in _VOID:
                 continue
             names, hidden = _contexts(tag, m["attrs"])
@@ -165,13 +192,26 @@ def _is_boiler(block: Block, elements: dict, model: PageModel) -> bool:
             in_main = True
         elif tag in _BOILER_TAGS or (tag == "header" and not in_main):
             return True
-        elif in_main and words - _HEADERS:
+        elif in_main and words - _HEADERS - _LOOSE:
             return True
         elif not in_main and not holds and (words or names & model.boiler):
             return True
     return False
 
 
+def highest_run(scores: list) -> tuple[int, int] | None:
+    """First and last index of the run with the highest sum, in one scan; of equal
+    ones the first to end. None if no sum is above 0."""
+    best, run, total, start = 0.0, None, 0.0, 0
+    for i, score in enumerate(scores):
+        total += score
+        if total <= 0:
+            total, start = 0.0, i + 1
+        elif total > best:
+            best, run = total, (start, i)
+    return run
+
+
 def main_text(page: str, model: PageModel = DEFAULT) -> str:
     """Main text of a page: its blocks joined by two line feeds, "" if none.
 
@@ -184,18 +224,12 @@ def main_text(page: str, model: PageModel = DEFAULT) -> str:
     blocks, events, elements = parse(page)
     boiler = [_is_boiler(b, elements, model) for b in blocks]
     sizes = [len(b.text.split()) for b in blocks]
-    best, best_run, total, start = 0.0, None, 0.0, 0
-    seen = set()
-    for i, (tag, b) in enumerate(events):
-        if tag:
-            total += model.tag(tag)
-        elif b not in seen:
+    scores, seen = [], set()
+    for tag, b in events:
+        scores.append(model.tag(tag) if tag else 0 if b in seen else -sizes[b] if boiler[b] else sizes[b])
+        if not tag:
             seen.add(b)
-            total += -sizes[b] if boiler[b] else sizes[b]
-        if total <= 0:
-            total, start = 0.0, i + 1
-        elif total > best:
-            best, best_run = total, (start, i)
+    best_run = highest_run(scores)
     if best_run is None:
         return ""
     chosen = [k for k, b in enumerate(blocks) if best_run[0] <= b.first <= best_run[1] and not boiler[k]]

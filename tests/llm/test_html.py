@@ -6,7 +6,7 @@ import re
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from kiln.llm.html_text import extract_pages, fit_pages, main_text, parse
+from kiln.llm.html_text import extract_pages, fit_pages, highest_run, main_text, parse
 
 SF = "/root/testdata/sf0.01"
 
@@ -68,3 +68,32 @@ def test_messy_pages(spark):
 def test_any_markup_is_read_to_its_end(page):
     blocks, events, elements = parse(page)
     assert isinstance(main_text(page), str)
+
+
+WORDS = "some words that make up the text of it at a length that counts"
+
+
+def test_unclosed_elements_lose_no_paragraph():
+    for name in ("button", "svg", "canvas", "noscript", "object", "template", "select", "textarea", "iframe"):
+        page = f"<article><h1>Title</h1><p>First {WORDS}.</p><{name}>Play<p>Second {WORDS}.</p><p>Third <b>{WORDS}</b></article><footer>us</footer>"
+        got = main_text(page).split("\n\n")
+        assert got[:2] == ["Title", f"First {WORDS}."] and got[-2:] == [f"Second {WORDS}.", f"Third {WORDS}"], name
+    many = "<textarea>" * 20_000 + f"<p>{WORDS}</p>"
+    assert main_text(many) == WORDS
+
+
+def test_elements_within_a_paragraph_keep_it_whole():
+    page = (f"<article><p>Formula <math><mi>x</mi><mo>=</mo><mn>3</mn><annotation>x=3</annotation></math> holds. {WORDS}</p>"
+            f"<p>Press <button class=b>Go</button> now <svg><text>pic</text></svg>or <script>var a = '<p>'</script>later {WORDS}</p>"
+            f"<div class='highlight search'>{WORDS}</div><blockquote class='reply'>{WORDS}!</blockquote><div class='advert'>Buy</div></article>")
+    assert main_text(page).split("\n\n") == [f"Formula x=3 holds. {WORDS}", f"Press now or later {WORDS}", WORDS, WORDS + "!"]
+
+
+@given(st.lists(st.integers(-5, 5), max_size=40))
+@settings(max_examples=200, deadline=None)
+def test_the_scan_finds_the_highest_run(scores):
+    run = highest_run(scores)
+    best = max((sum(scores[a:b]) for a in range(len(scores)) for b in range(a + 1, len(scores) + 1)), default=0)
+    assert (run is None) == (best <= 0)
+    if run is not None:
+        assert sum(scores[run[0]:run[1] + 1]) == best
