@@ -17,6 +17,7 @@ from kiln.operators.indexing import quantiles
 from kiln.operators.relational import first_rows
 
 NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
+KLL_K = 2000  # size of the sketches that rank numbers: rank errors of about 0.2 %
 WS_CLASS = "[ \\t\\n\\x0B\\f\\r]"
 
 
@@ -58,7 +59,7 @@ def _quartiles(df: DataFrame, cols, probs, exact: bool) -> DataFrame:
         return q.groupBy("column").agg(*[F.max(F.when(F.col("p") == p, F.col("value"))).alias(nm)
                                          for p, nm in zip(probs, names)])
     m = _melt(df, cols).where("value IS NOT NULL").groupBy("column").agg(
-        F.kll_sketch_get_quantile_double(F.kll_sketch_agg_double("value"), F.array(*[F.lit(float(p)) for p in probs])).alias("_q"))
+        F.kll_sketch_get_quantile_double(F.kll_sketch_agg_double("value", F.lit(KLL_K)), F.array(*[F.lit(float(p)) for p in probs])).alias("_q"))
     return m.select("column", *[F.col("_q")[i].alias(nm) for i, nm in enumerate(names)])
 
 
@@ -76,7 +77,7 @@ def skim(df: DataFrame, exact: bool = True, approx_distinct: bool = False) -> Da
     is one aggregate. What is told of text follows from one relation of counted
     values, so that a frequent value is one row and is measured once. With
     ``exact=False`` sketches count distinct values (HyperLogLog, 2 % standard error)
-    and rank numbers (KLL, 1.5 % of the rows); ``approx_distinct`` has the first only.
+    and rank numbers (KLL, some 0.2 % of the rows); ``approx_distinct`` has the first only.
     """
     texts = [c for c, t in df.dtypes if t == "string"]
     numeric = [c for c, t in df.dtypes if t in NUMERIC]
@@ -134,7 +135,7 @@ def sketches(df: DataFrame, by: list[str]) -> DataFrame:
         col = F.col(f"`{c}`")
         aggs += [F.count(col).alias(f"n{i}"), F.hll_sketch_agg(col if t == "string" else col.cast("double").cast("string")).alias(f"d{i}")]
         if t != "string":
-            aggs.append(F.kll_sketch_agg_double(col.cast("double")).alias(f"r{i}"))
+            aggs.append(F.kll_sketch_agg_double(col.cast("double"), F.lit(KLL_K)).alias(f"r{i}"))
     return df.groupBy(*by).agg(*aggs).select(*by, F.inline(F.array(*rows)))
 
 
