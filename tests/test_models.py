@@ -87,6 +87,21 @@ def test_tree_equals_a_plain_one(spark, seed, limits, part_rows):
     assert leaves == {i: n for i, (n, f, _) in want.items() if f is None}
 
 
+@pytest.mark.parametrize("kind", ["long", "double", "decimal(12,2)"])
+def test_tree_is_the_same_for_any_bins(spark, kind):
+    """A cut within a bin of many values is found like one between bins, and as by counting each value."""
+    rng = random.Random(5)
+    rows = [(rng.randrange(400), rng.choice([None, *(k / 4 for k in range(300))]), rng.choice([None, "p", "q", "r"])) for _ in range(700)]
+    rows = [(*r, (r[0] % 190) // 3 + int((r[1] or 20) > 33.3) * 30 + {"p": 4}.get(r[2], 0) + rng.randrange(5)) for r in rows]
+    df = spark.createDataFrame(rows, "a int, b double, c string, y long").withColumn("y", F.col("y").cast(kind)).repartition(3)
+    one, many, counted = (reg_tree(df, "y", part_rows=50, **o).nodes for o in ({"n_bins": 3}, {}, {"most_levels": 0}))
+    assert len(one) > 9 and one.keys() == many.keys() == counted.keys()
+    for i, n in counted.items():
+        for other in (one[i], many[i]):
+            assert all(other[c] == n[c] for c in ("n", "feature", "threshold", "categories", "major"))
+            assert abs(other["error"] - n["error"]) < 1e-6
+
+
 def test_tree_cuts_exactly_and_keeps_small_nodes(spark):
     step = spark.range(10000).select(F.col("id").alias("x"), (F.col("id") > 4320).cast("double").alias("y"))
     nodes = reg_tree(step, "y").nodes
