@@ -174,7 +174,8 @@ def pair_values(terms: DataFrame, heads: DataFrame, parts: int, cells: int = 1 <
     """(lang, source, item, value) of all pairs of sources of a language: the sum
     of floor((p - q)^2 / q) over its terms, p being the source's share and q the item's.
 
-    Terms are dealt to ``parts`` by hash, each part gets the row of ``heads`` (lang,
+    Terms are dealt by hash to as many parts as there are ``cells`` shares, at most
+    ``parts``, so that sums grow with the terms and not with the tasks; each part gets the row of ``heads`` (lang,
     terms, sources by name with their counts) of every language. A task lays ``cells`` shares at a
     time out as a block of terms by sources and adds up its columns against each
     source; only these sums are shuffled.
@@ -231,6 +232,8 @@ def pair_values(terms: DataFrame, heads: DataFrame, parts: int, cells: int = 1 <
                         yield from block()
         if head is not None:
             yield from block()
+    shares = heads.agg(F.sum(F.col("terms") * F.size("sources"))).first()[0] or 0
+    parts = max(1, min(parts, -(-shares // cells)))
     columns = ["part", "lang", "is_term", "terms", "names", "counts"]
     of_terms = terms.select(F.pmod(F.xxhash64("term"), F.lit(parts)).cast("int").alias("part"), "lang", F.lit(True).alias("is_term"),
                             F.lit(0).cast("long").alias("terms"), F.col("sources.source").alias("names"), F.col("sources.n").alias("counts"))

@@ -104,3 +104,17 @@ def test_shares_beyond_63_bits(spark):
     assert share(np.array([n]), total).tolist() == [want]
     df = spark.createDataFrame([(n, total)], "n long, t long")
     assert df.select(share_of("n", F.col("t"))).first()[0] == want
+
+
+def test_pair_sums_grow_with_the_terms_not_with_the_tasks(spark):
+    from kiln.llm.divergence import kept_terms, pair_values, term_counts
+    rows = [(i, f"w{i % 7} w{i % 5} x", "en", f"s{i % 3}") for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    terms = kept_terms(term_counts(df), 1).localCheckpoint()
+    words = terms.select("lang", F.explode("sources").alias("s")).groupBy("lang", F.col("s.source").alias("source")).agg(F.sum("s.n").alias("n"))
+    heads = (words.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("source", "n"))).alias("sources"))
+                  .join(terms.groupBy("lang").agg(F.count(F.lit(1)).alias("terms")), "lang").select("lang", "terms", "sources"))
+    few, many = pair_values(terms, heads, 64), pair_values(terms, heads, 64, cells=1)
+    assert sorted(map(tuple, few.collect())) == sorted(map(tuple, many.collect())) and few.count() == 6
+    one, each = ("rangepartitioning(part" in d._jdf.queryExecution().executedPlan().toString() for d in (few, many))
+    assert each and not one
