@@ -1,17 +1,20 @@
 """Market-basket analysis (R1-R12, J7): baskets, item frequencies, frequent
-itemsets and rules with ``pyspark.ml.fpm.FPGrowth`` (parallel FP-growth), and
-rule post-processing as DataFrame joins.
+itemsets grown from baskets counted once each, rules, and rule post-processing,
+all as DataFrame joins and aggregates.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.ml.fpm import FPGrowth
+import math
+from dataclasses import dataclass
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kiln.functions.columns import split_wide, strip_chars
 from kiln.operators.relational import top_n
+from kiln.session import checkpoint_root
 
 
 def set_label(arr) -> Column:
@@ -48,26 +51,69 @@ def item_frequency(b: DataFrame, top: int | None = 20, relative: bool = False,
     return top_n(f, top, "count") if top else f
 
 
+@dataclass(frozen=True)
+class Itemsets:
+    """Frequent item sets (items sorted, freq) of ``n_sets`` baskets with items out
+    of ``kiln_n_baskets``, and the rules of one item that follow from them."""
+    freqItemsets: DataFrame
+    min_confidence: float
+    n_sets: int
+    kiln_n_baskets: int
+
+    @property
+    def associationRules(self) -> DataFrame:
+        """(antecedent, consequent, confidence, lift, support)."""
+        sets = self.freqItemsets
+        whole = sets.where(F.size("items") > 1).select("items", "freq", F.explode("items").alias("_item"))
+        halves = whole.select(F.array_except("items", F.array("_item")).alias("antecedent"), F.array("_item").alias("consequent"), "freq")
+        left = sets.select(F.col("items").alias("antecedent"), F.col("freq").alias("_left"))
+        right = sets.where(F.size("items") == 1).select(F.col("items").alias("consequent"), F.col("freq").alias("_right"))
+        found = (halves.join(left, "antecedent").withColumn("confidence", F.col("freq") / F.col("_left"))
+                       .where(F.col("confidence") >= self.min_confidence).join(right, "consequent"))
+        n = F.lit(float(self.n_sets))
+        return found.select("antecedent", "consequent", "confidence", (F.col("confidence") / (F.col("_right") / n)).alias("lift"), (F.col("freq") / n).alias("support"))
+
+
+def counted_baskets(b: DataFrame, items: str = "items") -> DataFrame:
+    """(items sorted, n): each different basket once, with how many are equal to it.
+    As in Spark's FP-growth, a basket that names an item twice is an error."""
+    column = F.col(items)
+    twice = F.size(F.array_distinct(column)) < F.size(column)
+    once = F.when(twice, F.raise_error(F.lit("Items in a basket must be unique"))).otherwise(F.array_sort(column))
+    return b.select(once.alias("items")).groupBy("items").agg(F.count(F.lit(1)).alias("n"))
+
+
 def fit(b: DataFrame, min_support: float = 0.001, min_confidence: float = 0.8,
-        items: str = "items", num_partitions: int | None = None):
-    """Parallel FP-growth; the conditional trees are spread over
-    ``num_partitions`` groups (default: the session's shuffle partitions)."""
-    n = num_partitions or int(b.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    fp = FPGrowth(itemsCol=items, minSupport=min_support, minConfidence=min_confidence, numPartitions=n)
-    # FP-growth reads its input several times (count, frequent items, trees):
-    # hold it for the fit only
-    inp = b.select(items).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        n_baskets = inp.count()
-        model = fp.fit(inp)
-        # the model's item sets are a lazy DataFrame: every use (item sets,
-        # rules) would rerun FP-growth. Keep them; their number is bounded by
-        # the support threshold, and lost blocks are recomputed from lineage.
-        model.freqItemsets.persist(StorageLevel.MEMORY_AND_DISK).count()
-    finally:
-        inp.unpersist()
-    model.kiln_n_baskets = n_baskets
-    return model
+        items: str = "items", small: int = 100_000) -> Itemsets:
+    """All frequent item sets, by growing sets item by item on ever shorter baskets.
+
+    Equal baskets become one row with their number, so that the work after the first
+    shuffle grows with the different baskets. A row holds a set, the items after it
+    in some baskets and their number; a level counts each set with one item more,
+    drops what is not frequent from the items left, and adds up rows that became
+    equal. Every shuffle is on a set and items, none on an item alone; the level's
+    frequent sets are broadcast if there are ``small`` of them at most.
+    """
+    checkpoint_root(b.sparkSession)
+    rows = counted_baskets(b, items).select(F.col("items").alias("_rest"), F.col("n").alias("_n")).checkpoint(eager=True)
+    n_baskets, n_sets = rows.agg(F.coalesce(F.sum("_n"), F.lit(0)), F.coalesce(F.sum(F.when(F.col("_rest").isNotNull(), F.col("_n"))), F.lit(0))).first()
+    least = math.ceil(min_support * n_sets)
+    kind = rows.schema["_rest"].dataType.simpleString()
+    rows = rows.where("_rest IS NOT NULL").select(F.array().cast(kind).alias("_set"), "_rest", "_n")
+    found = []
+    while True:
+        counted = rows.select("_set", F.explode("_rest").alias("_item"), "_n").groupBy("_set", "_item").agg(F.sum("_n").alias("freq"))
+        level = counted.where(F.col("freq") >= least).checkpoint(eager=True)
+        grown, n = F.concat("_set", F.array("_item")), level.count()
+        found.append(level.select(grown.alias("items"), "freq"))
+        if not n:
+            break
+        good = level.groupBy("_set").agg(F.collect_list("_item").alias("_good"))
+        shorter = rows.join(F.broadcast(good) if n <= small else good, "_set").select("_set", F.array_intersect("_rest", "_good").alias("_rest"), "_n")
+        each = shorter.where(F.size("_rest") > 1).select("_set", "_rest", "_n", F.posexplode("_rest").alias("_at", "_item"))
+        rows = (each.select(grown.alias("_set"), F.slice("_rest", F.col("_at") + 2, F.size("_rest")).alias("_rest"), "_n")
+                    .where(F.size("_rest") > 0).groupBy("_set", "_rest").agg(F.sum("_n").alias("_n")).checkpoint(eager=True))
+    return Itemsets(reduce(DataFrame.unionByName, found), min_confidence, n_sets, n_baskets)
 
 
 def _n_rows(b: DataFrame, model) -> DataFrame:

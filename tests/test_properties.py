@@ -1,7 +1,10 @@
 """Property tests: splits complete and disjoint, positions contiguous, shares
 sum to one, round trips, sample sizes, pruning and importances."""
 
+import itertools
+import math
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -248,3 +251,30 @@ def test_quantiles_of_hot_values(spark):
     got = {(r["column"], r.p): r.value for r in quantiles(df, ["x", "y"], [0.0, 0.1, 0.5, 0.9, 1.0]).collect()}
     own = [x for x in xs if x is not None]
     assert all(abs(got[("x", p)] - np.quantile(own, p)) < 1e-9 and got[("y", p)] == 1.0 for p in (0.0, 0.1, 0.5, 0.9, 1.0))
+
+
+def test_item_sets_grow_from_different_baskets(spark):
+    """FP-growth went through every basket, however many were equal."""
+    rng = random.Random(5)
+    some = [sorted(rng.sample("abcdefgh", rng.randint(0, 6))) for _ in range(30)]
+    txns = [rng.choice(some) for _ in range(600)] + [None]
+    b = spark.createDataFrame(list(enumerate(txns)), "order_id int, items array<string>")
+    each = {tuple(r["items"]): r.n for r in B.counted_baskets(b).where("items IS NOT NULL").collect()}
+    assert each == Counter(tuple(t) for t in txns if t is not None)
+    least = math.ceil(0.05 * 600)
+    plain = Counter(s for t in txns if t is not None for k in range(1, 7) for s in itertools.combinations(t, k))
+    want = {s: n for s, n in plain.items() if n >= least}
+    assert max(map(len, want)) > 3
+    for small in (0, 1000):
+        m = B.fit(b, 0.05, 0.4, small=small)
+        assert {tuple(r["items"]): r.freq for r in m.freqItemsets.collect()} == want
+    rules = {(tuple(sorted(r.antecedent)), r.consequent[0]): (r.confidence, r.lift, r.support) for r in m.associationRules.collect()}
+    expected = {}
+    for s, n in want.items():
+        for c in s if len(s) > 1 else ():
+            left = tuple(x for x in s if x != c)
+            if n / want[left] >= 0.4:
+                expected[left, c] = pytest.approx((n / want[left], n / want[left] / (want[c,] / 600), n / 600))
+    assert rules == expected
+    with pytest.raises(Exception, match="unique"):
+        B.fit(spark.createDataFrame([(1, ["a", "a"])], "order_id int, items array<string>"))
