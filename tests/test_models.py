@@ -227,3 +227,31 @@ def test_training_lowers_the_loss(spark, sf):
 def test_importances_sum_to_one(spark, sf):
     rows = all_queries()["m15_importances"](spark, sf).collect()
     assert sum(r.importance for r in rows) == pytest.approx(1.0) and [r["rank"] for r in sorted(rows, key=lambda r: r["rank"])] == list(range(1, len(rows) + 1))
+
+
+def test_head_step_meets_the_first_layer_once():
+    """A step took the product of its rows and the first layer twice."""
+    import numpy as np
+    from kiln.operators.network import epoch_picks, head_start, head_step
+    products = []
+
+    class Rows(np.ndarray):
+        def __matmul__(self, other):
+            products.append(other.shape)
+            return np.asarray(self) @ other
+    rng = np.random.default_rng(1)
+    batch, state = np.column_stack([rng.normal(size=(9, 4)), rng.integers(0, 3, 9)]), head_start(4, 6, 3, 2)
+    for v in state[4:]:
+        v += rng.normal(size=v.shape)
+    before = [s.copy() for s in state]
+    got = head_step(state, batch.view(Rows), 0.1, 0.9)
+    assert products.count((4, 6)) == 1 and all((a == b).all() for a, b in zip(before, state))
+    w1, b1, w2, b2, *v = state
+    x, y = batch[:, :-1], np.eye(3)[batch[:, -1].astype(int)]
+    z = x @ w1 + b1
+    e = np.exp(np.maximum(z, 0) @ w2 + b2)
+    d = (e / e.sum(1, keepdims=True) - y) / 9
+    back = (d @ w2.T) * (z > 0)
+    for a, s, u, g in zip(got[:4], state, v, (x.T @ back, back.sum(0), np.maximum(z, 0).T @ d, d.sum(0))):
+        assert np.allclose(a, s + 0.9 * u - 0.1 * g)
+    assert [p.tolist() for p in epoch_picks(7, 1, 3, 4)] != [] and sorted(np.concatenate(list(epoch_picks(7, 1, 3, 4)))) == list(range(7))
