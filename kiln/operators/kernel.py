@@ -45,6 +45,19 @@ def summed(rows: DataFrame, make, groups: int = 16) -> np.ndarray | None:
     return sum((np.frombuffer(r["s"]) for r in got[1:]), start=np.frombuffer(got[0]["s"])) if got else None
 
 
+def gathered(rows: DataFrame, part_rows: int = 10_000) -> DataFrame:
+    """``rows`` held for many passes, in no more partitions than one for each
+    ``part_rows`` rows: a pass over few rows is then few tasks."""
+    held = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    parts = -(-held.count() // part_rows) or 1
+    if parts >= held.rdd.getNumPartitions():
+        return held
+    fewer = held.coalesce(parts).persist(StorageLevel.MEMORY_AND_DISK)
+    fewer.count()
+    held.unpersist()
+    return fewer
+
+
 @dataclass(frozen=True)
 class KernelMap:
     """Features of rows: the numbers themselves, or those of landmarks; the last one is constant."""
@@ -101,8 +114,8 @@ class SupportRegressor:
     features: str = "features"
 
     def fit(self, df: DataFrame) -> SupportModel:
-        rows = (df.select(_numbers(df, self.features).alias("x"), F.col(self.label).cast("double").alias("y"))
-                  .where("y IS NOT NULL AND NOT isnan(y)").persist(StorageLevel.MEMORY_AND_DISK))
+        rows = gathered(df.select(_numbers(df, self.features).alias("x"), F.col(self.label).cast("double").alias("y"))
+                          .where("y IS NOT NULL AND NOT isnan(y)"))
         try:
             phi, width = self._map(rows)
             if phi is None:

@@ -255,3 +255,14 @@ def test_head_step_meets_the_first_layer_once():
     for a, s, u, g in zip(got[:4], state, v, (x.T @ back, back.sum(0), np.maximum(z, 0).T @ d, d.sum(0))):
         assert np.allclose(a, s + 0.9 * u - 0.1 * g)
     assert [p.tolist() for p in epoch_picks(7, 1, 3, 4)] != [] and sorted(np.concatenate(list(epoch_picks(7, 1, 3, 4)))) == list(range(7))
+
+
+def test_few_rows_are_passed_over_in_few_tasks(spark):
+    """A pass over some hundred rows took a task for each partition of the table."""
+    from kiln.operators.kernel import gathered
+    rows = spark.range(700).repartition(40)
+    few, many = gathered(rows), gathered(rows, 50)
+    assert few.rdd.getNumPartitions() == 1 and many.rdd.getNumPartitions() == 14
+    assert sorted(r.id for r in few.collect()) == sorted(r.id for r in many.collect()) == list(range(700))
+    assert gathered(spark.range(0)).count() == 0
+    few.unpersist(), many.unpersist()
