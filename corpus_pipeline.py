@@ -15,7 +15,7 @@ from kiln.llm.exact_dedup import exact_dedup
 from kiln.llm.mixing import mix_sources
 from kiln.llm.ngram_join import near_dedup
 from kiln.llm.quality import good_documents
-from kiln.session import scratch_dir
+from kiln.session import freed_shuffles, scratch_dir
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,6 +58,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         path = scratch_dir(spark, name)
-        stage(spark, docs, sf_dir).write.parquet(path)
+        kept = stage(spark, docs, sf_dir)
+        with freed_shuffles(spark):
+            kept.write.parquet(path)
         docs = spark.read.parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kiln.session import checkpoint_root
+from kiln.session import checkpoint_root, freed_shuffles
 
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -36,9 +36,11 @@ def squeezed(col) -> Column:
 
 
 def frozen(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared checkpoint folder and read from there."""
+    """``df`` written to the shared checkpoint folder and read from there. What it
+    shuffled is dropped."""
     checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    with freed_shuffles(df.sparkSession):
+        return df.select("*").checkpoint(eager=True)
 
 
 def _slot(h: Column, bits: int) -> Column:

@@ -44,45 +44,51 @@ def class_of(s: np.ndarray) -> int:
 
 
 def parity(s: np.ndarray) -> bytes:
-    """Parities of the numbers of shingles in a power of two of bins, half as many
-    bins as shingles or more. Two sets differ by at least as many shingles as bins."""
-    bins = max(64, 1 << max(len(s) // 2 - 1, 1).bit_length())
+    """Parities of the numbers of shingles in a power of two of bins, as many bins as
+    shingles or more, so that unrelated sets of a size differ in far more bins than
+    a link allows. Two sets differ by at least as many shingles as bins."""
+    bins = max(64, 1 << max(len(s) - 1, 1).bit_length())
     at = np.bincount(((s >> np.uint64(20)) & np.uint64(bins - 1)).astype(np.int64), minlength=bins) & 1
     return np.packbits(at.astype(np.uint8)).tobytes()
 
 
 def may_link(sigs: list[bytes], n: np.ndarray, percent: int) -> np.ndarray:
-    """Boolean matrix of the pairs whose sizes and parities allow a link. The
-    parities of a larger set are folded to as many bins as the smallest has."""
-    size = min(map(len, sigs))
-    words = np.stack([np.bitwise_xor.reduce(np.frombuffer(x, np.uint64).reshape(-1, size // 8), axis=0) for x in sigs])
+    """Boolean matrix of the pairs whose sizes and parities allow a link. Of a pair,
+    the parities of the larger set are folded to as many bins as the smaller has."""
+    lengths, n = np.array([len(x) for x in sigs]), n.astype(np.int64)
     differ = np.zeros((len(n), len(n)), np.int32)
-    for w in words.T:
-        differ += np.bitwise_count(w[:, None] ^ w[None, :])
-    both = n[:, None].astype(np.int64) + n[None, :]
+    for size in np.unique(lengths):
+        own = np.flatnonzero(lengths == size)
+        near = np.flatnonzero((lengths >= size) & (percent * n <= 100 * n[own].max()))
+        words = np.stack([np.bitwise_xor.reduce(np.frombuffer(sigs[i], np.uint64).reshape(-1, size // 8), axis=0) for i in near])
+        block = np.zeros((len(own), len(near)), np.int32)
+        for a, b in zip(words[np.searchsorted(near, own)].T, words.T):
+            block += np.bitwise_count(a[:, None] ^ b[None, :])
+        differ[np.ix_(own, near)] = block
+        differ[np.ix_(near, own)] = block.T
+    both = n[:, None] + n[None, :]
     ok = differ <= both - 2 * -(-percent * both // (100 + percent))
-    ok &= 100 * np.minimum(n[:, None], n[None, :]).astype(np.int64) >= percent * np.maximum(n[:, None], n[None, :])
+    ok &= 100 * np.minimum(n[:, None], n[None, :]) >= percent * np.maximum(n[:, None], n[None, :])
     np.fill_diagonal(ok, False)
     return ok
 
 
 def few_labels(c: list, n: list, sigs: list[bytes], percent: int) -> list:
     """Labels of a short list, as ``smallest_reachable`` of ``may_link`` gives them."""
-    bits = 8 * min(map(len, sigs), default=0)
-    folded = []
-    for sig in sigs:
-        v, size = int.from_bytes(sig, "little"), 8 * len(sig)
+    whole = [int.from_bytes(sig, "little") for sig in sigs]
+
+    def folded(i, bits):
+        v, size = whole[i], 8 * len(sigs[i])
         while size > bits:
             size //= 2
             v = (v & ((1 << size) - 1)) ^ (v >> size)
-        folded.append(v)
+        return v
     label = list(c)
     for i in range(1, len(c)):
         for j in range(i):
-            if label[i] != label[j]:
-                both = n[i] + n[j]
-                if (100 * min(n[i], n[j]) >= percent * max(n[i], n[j])
-                        and (folded[i] ^ folded[j]).bit_count() <= both - 2 * -(-percent * both // (100 + percent))):
+            if label[i] != label[j] and 100 * min(n[i], n[j]) >= percent * max(n[i], n[j]):
+                both, bits = n[i] + n[j], 8 * min(len(sigs[i]), len(sigs[j]))
+                if (folded(i, bits) ^ folded(j, bits)).bit_count() <= both - 2 * -(-percent * both // (100 + percent)):
                     old, new = max(label[i], label[j]), min(label[i], label[j])
                     label = [new if x == old else x for x in label]
     return label

@@ -6,7 +6,9 @@ from collections import defaultdict
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
+from kiln.llm.common import frozen
 from kiln.llm.graph import components
 from kiln.llm.ngram_join import block_links, few_labels, jaccard_components, may_link, near_dedup, overlaps, parity, shingles, smallest_reachable
 from tests.llm.conftest import dicts, table
@@ -153,3 +155,20 @@ def test_components_of_a_graph(spark):
     nodes = {x for p in pairs if p[0] != p[1] for x in p}
     assert got == {x: find(x) for x in nodes}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_unrelated_sets_may_not_link_beside_a_small_one():
+    """Parities were folded to the bins of the smallest set of a list, and a set had half as many bins
+    as shingles: most pairs of unrelated large sets passed, and their candidate components grew together."""
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64)) for n in (40, *range(700, 712), *[1020] * 100)]
+    sigs, n, ids = [parity(s) for s in sets], [len(s) for s in sets], list(range(len(sets)))
+    assert not may_link(sigs, np.array(n), 80).any()
+    assert few_labels(ids[:10], n[:10], sigs[:10], 80) == ids[:10]
+
+
+def test_what_is_stored_keeps_no_shuffle_files(spark):
+    statuses = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses()
+    before = set(statuses.keySet().mkString(",").split(","))
+    rows = frozen(spark.range(1000).groupBy((F.col("id") % 10).alias("k")).count())
+    assert set(statuses.keySet().mkString(",").split(",")) <= before and rows.count() == 10
